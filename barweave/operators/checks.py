@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType
@@ -66,26 +68,33 @@ def check_unique(bars: DataFrame) -> DataFrame:
     return per_day.agg(_none(F.col("n") > 1).alias("bars_are_unique_check"))
 
 
+def _check_names(checks: DataFrame) -> list[str]:
+    return [field.name for field in checks.schema if isinstance(field.dataType, BooleanType)]
+
+
 def check_report(checks: DataFrame) -> DataFrame:
     """(check_name, passed) rows. A NULL result counts as failed."""
-    names = [field.name for field in checks.schema if isinstance(field.dataType, BooleanType)]
-    pairs = F.array(
-        *[
-            F.struct(F.lit(name).alias("check_name"), F.coalesce(name, F.lit(False)).alias("passed"))
-            for name in names
-        ]
-    )
-    return checks.select(F.inline(pairs))
+    results = [
+        F.struct(F.lit(name).alias("check_name"), F.coalesce(name, F.lit(False)).alias("passed"))
+        for name in _check_names(checks)
+    ]
+    return checks.select(F.inline(F.array(*results)))
 
 
 def run_checks(*checks: DataFrame) -> None:
-    """Raise unless every boolean of every row is true. Each input is a one-row aggregate."""
-    failed = []
-    for check in checks:
-        rows = check.collect()
-        if not rows:
-            raise DataQualityError("a check returned no row")
-        names = [field.name for field in check.schema if isinstance(field.dataType, BooleanType)]
-        failed += [name for row in rows for name in names if row[name] is not True]
+    """Raise unless every boolean of every check is true.
+
+    All checks run in one action, and only their booleans reach the driver. A check without a
+    row is an error: it has tested nothing.
+    """
+    reports = [
+        check_report(check).withColumn("position", F.lit(position))
+        for position, check in enumerate(checks)
+    ]
+    rows = reduce(DataFrame.unionByName, reports).collect()
+    answered = {row["position"] for row in rows}
+    if len(answered) < len(checks):
+        raise DataQualityError("a check returned no row")
+    failed = sorted({row["check_name"] for row in rows if not row["passed"]})
     if failed:
         raise DataQualityError(", ".join(failed))

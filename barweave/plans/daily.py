@@ -62,8 +62,11 @@ class Feeds:
 
 def start_history(tables: Tables, bars: DataFrame, splits: DataFrame, day: date) -> None:
     """Publish the first partition, which every daily step needs the day before."""
+    arrays = backfill_cumulative(bars, splits, as_of=day)
+    if tables.buckets:
+        arrays = arrays.repartition(tables.buckets, "ticker")
     publish_partition(
-        backfill_cumulative(bars, splits, as_of=day),
+        arrays,
         tables.cumulative,
         CUMULATIVE,
         day,

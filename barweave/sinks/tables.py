@@ -82,15 +82,16 @@ def stage_partition(
     """Write one partition's rows to a staging folder of the table; returns the folder.
 
     ``column`` is left to the folder name. With ``buckets`` the files are bucketed and sorted by
-    ``key``, so the next day's join does not shuffle them.
+    ``key``, so the next day's join does not shuffle them. The rows must then already be
+    partitioned by ``key`` into that many partitions, as a join over a table of the same
+    bucketing leaves them: then every task writes one file, and writing shuffles nothing either.
     """
     folder = f"{table}/_staged/{uuid.uuid4().hex}"
     rows = conform(frame, schema).drop(column)
     if buckets:
         name = f"staged_{uuid.uuid4().hex}"
         (
-            rows.repartition(buckets, key)
-            .write.bucketBy(buckets, key)
+            rows.write.bucketBy(buckets, key)
             .sortBy(key)
             .option("path", folder)
             .saveAsTable(name)

@@ -147,8 +147,9 @@ def _step(name: str, before: str, splits: str, day: date) -> str:
     return f"""
 {name} AS (
   SELECT b.ticker, {", ".join(columns)}, b.transactions, b.snapshot_date
-  FROM {before} b LEFT JOIN (SELECT * FROM {splits} WHERE execution_date = '{day}') s
-    ON b.ticker = s.ticker
+  FROM {before} b LEFT JOIN (
+    SELECT ticker, product(split_from) AS split_from, product(split_to) AS split_to
+    FROM {splits} WHERE execution_date = '{day}' GROUP BY ticker) s ON b.ticker = s.ticker
   WHERE b.snapshot_date > DATE '{day}' - 365{today if weekday else ""})"""
 
 
@@ -330,7 +331,7 @@ documents_found AS (
 _days = [DAY + timedelta(days=offset) for offset in range(3)]
 CATCH_UP = _with(
     BARS, SPLITS, DAY_SPLITS, FEED, EVE_HISTORY,
-    _step("day0", "eve", "feed_of_day", _days[0]).replace("feed_of_day", "feed"),
+    _step("day0", "eve", "feed", _days[0]),
     _step("day1", "day0", "feed", _days[1]),
     _step("day2", "day1", "feed", _days[2]),
     *[
