@@ -7,7 +7,7 @@ from datetime import date, timedelta
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.arrays import adjust_bar, bar_row, keep_after, newest_first, prepend
+from ..functions.arrays import adjust_bar, bar_row, keep_after, prepend
 from ..operators.bars import max_date, one_bar_per_day, price_arrays, valid_bars
 from ..operators.splits import combined_ratio, factor_as_of, split_history
 from ..schemas import WINDOW_DAYS
@@ -39,11 +39,16 @@ def backfill_cumulative(
     kept = F.when(F.col("snapshot_date").isNotNull(), bar_row())
     arrays = days.groupBy("ticker").agg(F.collect_list(kept).alias("rows"))
 
-    def adjusted(bar: Column) -> Column:
+    def matched(bar: Column) -> Column:
         split = factor_as_of(F.col("history"), bar["snapshot_date"])
-        return adjust_bar(bar, split["from_factor"], split["to_factor"])
+        return F.struct(bar.alias("bar"), split.alias("split"))
 
-    array = F.transform(newest_first(F.col("rows")), adjusted)
+    def adjusted(pair: Column) -> Column:
+        split = pair["split"]
+        return adjust_bar(pair["bar"], split["from_factor"], split["to_factor"])
+
+    # Two passes, so that the split of a bar is looked up once and not once per price.
+    array = F.transform(F.transform(F.sort_array("rows", asc=False), matched), adjusted)
     return arrays.join(split_history(splits), "ticker", "left").select(
         "ticker",
         F.when(F.size("rows") > 0, array).alias("price_array"),
@@ -124,7 +129,8 @@ def daily_step(
 
 def late_splits(splits: DataFrame, applied: DataFrame) -> DataFrame:
     """Splits not yet applied, identified by ticker and execution date."""
-    return splits.join(applied.select("ticker", "execution_date"), ["ticker", "execution_date"], "left_anti")
+    keys = ["ticker", "execution_date"]
+    return splits.join(applied.select(*keys), keys, "left_anti")
 
 
 def apply_late_splits(cumulative: DataFrame, splits: DataFrame, applied: DataFrame) -> DataFrame:
@@ -144,7 +150,7 @@ def apply_late_splits(cumulative: DataFrame, splits: DataFrame, applied: DataFra
         ).alias("pending")
     )
 
-    def restated(bar: Column) -> Column:
+    def matched(bar: Column) -> Column:
         later = F.filter("pending", lambda s: s["execution_date"] > bar["snapshot_date"])
         ratio = F.aggregate(
             later,
@@ -154,13 +160,18 @@ def apply_late_splits(cumulative: DataFrame, splits: DataFrame, applied: DataFra
                 (r["split_to"] * s["split_to"]).alias("split_to"),
             ),
         )
-        touched = F.exists("pending", lambda s: s["execution_date"] > bar["snapshot_date"])
-        return F.when(touched, adjust_bar(bar, ratio["split_from"], ratio["split_to"])).otherwise(bar)
+        ratio = F.when(F.size(later) > 0, ratio)
+        return F.struct(bar.alias("bar"), ratio.alias("ratio"))
+
+    def restated(pair: Column) -> Column:
+        bar, ratio = pair["bar"], pair["ratio"]
+        adjusted = adjust_bar(bar, ratio["split_from"], ratio["split_to"])
+        return F.when(ratio.isNotNull(), adjusted).otherwise(bar)
 
     return cumulative.join(pending, "ticker", "left").select(
         "ticker",
         F.when(F.col("pending").isNull(), F.col("price_array"))
-        .otherwise(F.transform("price_array", restated))
+        .otherwise(F.transform(F.transform("price_array", matched), restated))
         .alias("price_array"),
         "as_of_date",
     )

@@ -17,8 +17,15 @@ from . import folders
 
 def conform(frame: DataFrame, schema: StructType) -> DataFrame:
     """Columns of ``schema`` in its order and types; a missing column is an error."""
+    have = {field.name: field.dataType.simpleString() for field in frame.schema}
+    # Casting an array to its own type still rebuilds every element, so equal types are left.
     return frame.select(
-        *[F.col(field.name).cast(field.dataType).alias(field.name) for field in schema]
+        *[
+            F.col(field.name)
+            if have.get(field.name) == field.dataType.simpleString()
+            else F.col(field.name).cast(field.dataType).alias(field.name)
+            for field in schema
+        ]
     )
 
 
