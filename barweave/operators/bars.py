@@ -36,16 +36,15 @@ def today_arrays(bars: DataFrame) -> DataFrame:
 
 
 def one_bar_per_day(bars: DataFrame, day: Column) -> DataFrame:
-    """One whole bar per ticker and ``day``, always the same one.
+    """One whole bar per ticker and ``day``: the greatest by its fields, so always the same.
 
-    Picking by a hash of the row keeps the buffers fixed-width, so Spark uses a hash
-    aggregate and drops duplicates before the shuffle, wherever they are concentrated.
+    Duplicates combine before the shuffle, wherever they are concentrated.
     """
     values = [name for name in BAR_FIELDS if name != "snapshot_date"]
-    choice = F.xxhash64(*values)
-    return bars.groupBy("ticker", day.alias("snapshot_date")).agg(
-        *[F.max_by(name, choice).alias(name) for name in values]
+    greatest = bars.groupBy("ticker", day.alias("snapshot_date")).agg(
+        F.max(F.struct(*values)).alias("bar")
     )
+    return greatest.select("ticker", "snapshot_date", "bar.*")
 
 
 def unnest_prices(cumulative: DataFrame) -> DataFrame:
