@@ -93,9 +93,12 @@ def split_history(splits: DataFrame) -> DataFrame:
         F.lit(1.0).alias("to_factor"),
         F.array().cast(f"array<{_ENTRY}>").alias("entries"),
     )
+    # Grouped by a struct, the result is not yet partitioned by ticker. A join by ticker then
+    # shuffles this small side once more, directly below the join: only a join shuffled on both
+    # sides lets adaptive execution split up a ticker that holds much of the other side.
     collected = (
         _distinct_splits(splits)
-        .groupBy("ticker")
+        .groupBy(F.struct("ticker").alias("key"))
         .agg(
             F.sort_array(
                 F.collect_list(
@@ -106,7 +109,7 @@ def split_history(splits: DataFrame) -> DataFrame:
         )
     )
     return collected.select(
-        "ticker", F.aggregate("rows", start, _fold, lambda s: s["entries"]).alias("history")
+        "key.ticker", F.aggregate("rows", start, _fold, lambda s: s["entries"]).alias("history")
     )
 
 

@@ -9,8 +9,8 @@ from pyspark.sql import SparkSession
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkSession:
-    """A session for tests and benches. A cluster brings its own settings; nothing in the
-    package depends on the ones below except the UTC time zone."""
+    """A session for tests and benches. A cluster brings its own settings; no result depends
+    on the ones below."""
     return (
         SparkSession.builder.master(f"local[{cores}]")
         .appName("barweave")
@@ -32,7 +32,7 @@ def work_dir(spark: SparkSession, purpose: str) -> str:
     a machine-local folder would be lost with its machine, so there the setting is required.
     """
     context = spark.sparkContext
-    root = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
+    root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if root is None:
         if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")

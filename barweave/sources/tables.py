@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import hashlib
+import uuid
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -35,16 +35,19 @@ def read_bucketed_partition(
     """One date partition written by ``stage_partition(buckets=...)``, with its bucketing.
 
     Bucketing lives in the catalog, not in the files, so the partition's folder is declared as
-    an external table. Joins and aggregates by ``key`` then need no shuffle of this side.
+    an external table for as long as it takes to resolve the frame. Joins and aggregates by
+    ``key`` then need no shuffle of this side.
     """
+    name = f"bucketed_{uuid.uuid4().hex}"
     folder = f"{path}/{column}={day.isoformat()}"
-    name = "bucketed_" + hashlib.sha256(f"{folder}#{buckets}".encode()).hexdigest()[:24]
     spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {name} ({without(schema, column).toDDL()}) USING parquet "
+        f"CREATE TABLE {name} ({without(schema, column).toDDL()}) USING parquet "
         f"CLUSTERED BY ({key}) SORTED BY ({key}) INTO {buckets} BUCKETS LOCATION '{folder}'"
     )
-    spark.catalog.refreshTable(name)
-    return spark.table(name).withColumn(column, F.lit(day).cast("date"))
+    rows = spark.table(name)
+    # The frame keeps its resolved relation; dropping an external table leaves the files.
+    spark.sql(f"DROP TABLE {name}")
+    return rows.withColumn(column, F.lit(day).cast("date"))
 
 
 def reference_columns(current: DataFrame) -> DataFrame:

@@ -63,7 +63,7 @@ def start_updates(
             return
         current = spark.read.schema(CURRENT_DAY).parquet(f"{table}/{_VERSION}{before[-1]}")
         _write_version(apply_quotes(current, batch, last_write_wins), table, batch_id)
-        for number in before[: 1 - keep_versions or None]:
+        for number in before[: len(before) + 1 - keep_versions]:
             folders.delete(spark, f"{table}/{_VERSION}{number}")
 
     writer = quotes.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 from datetime import date, timedelta
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
@@ -91,18 +91,23 @@ def _updated(spark, sf_dir):
 
 
 def _updates(spark, sf_dir):
+    utc = F.concat(F.col("t").cast("string"), F.lit("Z")).cast("timestamp")
     valid = valid_quotes(views.quotes(spark, sf_dir)).select(
         "ticker",
         F.col("c").alias("current_price"),
-        F.col("t").cast("timestamp").alias("last_updated_datetime"),
+        utc.alias("last_updated_datetime"),
         "event_id",
     )
     return latest_quote(valid, "event_id")
 
 
-def _zoneless(frame: DataFrame, column: str = "last_updated_datetime") -> DataFrame:
-    """UTC wall-clock time, the type SQL engines give a TIMESTAMP."""
-    return frame.withColumn(column, F.col(column).cast("timestamp_ntz"))
+def _utc(time: Column) -> Column:
+    """UTC wall-clock time without a zone, whatever the session's zone: SQL's TIMESTAMP."""
+    return F.convert_timezone(F.current_timezone(), F.lit("UTC"), time.cast("timestamp_ntz"))
+
+
+def _zoneless(frame: DataFrame) -> DataFrame:
+    return frame.withColumn("last_updated_datetime", _utc(F.col("last_updated_datetime")))
 
 
 _flat = bar_ops.positioned_prices
@@ -321,9 +326,9 @@ def parse_quote_ts(spark, sf_dir):
     whole = F.concat(F.substring("t", 1, 19), F.lit("Z"))
     return feed.select(
         "event_id",
-        parse_quote_time(F.col("t")).cast("timestamp_ntz").alias("t"),
-        parse_quote_time(whole).cast("timestamp_ntz").alias("t_seconds"),
-        parse_quote_time(F.col("ticker")).cast("timestamp_ntz").alias("t_none"),
+        _utc(parse_quote_time(F.col("t"))).alias("t"),
+        _utc(parse_quote_time(whole)).alias("t_seconds"),
+        _utc(parse_quote_time(F.col("ticker"))).alias("t_none"),
     )
 
 
