@@ -8,10 +8,11 @@ from datetime import date, timedelta
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import checks
-from ..schemas import BARS, CUMULATIVE, DIM_PRICES, SPLITS
-from ..sinks.tables import publish_partition, read_staged, replace_table
+from ..operators.details import ticker_details
+from ..schemas import BARS, CUMULATIVE, DIM_PRICES, SPLITS, TICKER_DETAILS
+from ..sinks.tables import overwrite_partitions, publish_partition, read_staged, replace_table
 from ..sources.bars import read_daily_bars
-from ..sources.json_feeds import read_splits
+from ..sources.json_feeds import read_splits, read_ticker_documents
 from ..sources.tables import read_bucketed_partition, read_partition, read_table
 from .history import backfill_cumulative, daily_step
 from .reference_prices import dim_prices
@@ -19,7 +20,7 @@ from .reference_prices import dim_prices
 
 @dataclass(frozen=True)
 class Tables:
-    """Folders of the daily tables below ``root``.
+    """Folders of the tables below ``root``.
 
     ``buckets`` buckets the arrays by ticker, the one large table that is joined every day.
     Size it so that a bucket of one day's partition is a few hundred megabytes.
@@ -44,6 +45,14 @@ class Tables:
     def prices(self) -> str:
         return f"{self.root}/dim_daily_stock_price"
 
+    @property
+    def details(self) -> str:
+        return f"{self.root}/dim_ticker_details"
+
+    @property
+    def current(self) -> str:
+        return f"{self.root}/current_day_stock_price"
+
     def arrays_of(self, spark: SparkSession, day: date) -> DataFrame:
         if self.buckets:
             return read_bucketed_partition(spark, self.cumulative, CUMULATIVE, day, self.buckets)
@@ -113,3 +122,17 @@ def run_days(
     """Catch up in order: each day reads the partition the day before published."""
     for offset in range((last - first).days + 1):
         run_day(spark, tables, feeds, first + timedelta(days=offset))
+
+
+def load_details(
+    spark: SparkSession, tables: Tables, documents: str, run_date: date, lines: bool = False
+) -> None:
+    """Add a snapshot of the instrument details, or replace the one of the same date."""
+    rows = ticker_details(read_ticker_documents(spark, documents, not lines), run_date)
+    overwrite_partitions(
+        rows,
+        tables.details,
+        TICKER_DETAILS,
+        ["as_of_date"],
+        ["asset_type", "market_cap_description"],
+    )

@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from ..plans.daily import Tables
 from ..plans.intraday import apply_quotes
-from ..schemas import CURRENT_DAY
+from ..plans.reference_prices import init_current_day
+from ..schemas import CURRENT_DAY, DIM_PRICES, TICKER_DETAILS
 from ..sinks import folders
 from ..sinks.tables import conform
+from ..sources.tables import read_partition, read_table
 
 _VERSION = "v="
 
@@ -33,6 +38,13 @@ def initialise(current: DataFrame, table: str) -> None:
     _write_version(current, table, -1)
 
 
+def start_day(spark: SparkSession, tables: Tables, day: date) -> None:
+    """Start from the reference prices of ``day`` and the newest instrument details."""
+    prices = read_partition(spark, tables.prices, DIM_PRICES, day)
+    details = read_table(spark, tables.details, TICKER_DETAILS)
+    initialise(init_current_day(prices, details, day), tables.current)
+
+
 def read_current(spark: SparkSession, table: str) -> DataFrame:
     """The newest complete version."""
     newest = _versions(spark, table)[-1]

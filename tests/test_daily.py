@@ -8,9 +8,12 @@ import pytest
 from conftest import closes, nanos
 
 from barweave.operators.checks import DataQualityError
-from barweave.plans.daily import Feeds, Tables, run_day, run_days, start_history
+from barweave.operators.leaderboard import leaderboard
+from barweave.plans.daily import Feeds, Tables, load_details, run_day, run_days, start_history
 from barweave.schemas import BAR_CSV, DIM_PRICES, SPLITS
+from barweave.sources.json_feeds import stream_quotes
 from barweave.sources.tables import read_table
+from barweave.streaming.current_day import read_current, start_day, start_updates
 
 EVE = date(2000, 6, 14)  # a Wednesday; EVE + 3 and EVE + 4 are the weekend
 TICKERS = [f"T{i:03d}" for i in range(200)]
@@ -101,3 +104,35 @@ def test_bad_splits_stop_the_day_before_they_are_published(spark, tmp_path, load
     write_day(tmp_path, at(1), splits=[("T000", 0, 2)])
     with pytest.raises(DataQualityError, match="split_from_is_positive_check"):
         run_day(spark, tables, feeds, at(1))
+
+
+def test_from_files_to_leaderboard(spark, tmp_path, load):
+    """The daily load, the details, a day of quotes, and the board over them."""
+    tables, feeds = load
+    write_day(tmp_path, at(1), close=10.0)
+    run_day(spark, tables, feeds, at(1))
+    details = tmp_path / "details"
+    details.mkdir()
+    for name, cap in (("T000", 5e9), ("T001", 5e11)):
+        document = {"results": {"ticker": name, "market": "stocks", "market_cap": cap}}
+        (details / f"{name}.json").write_text(json.dumps(document))
+    (details / "missing.json").write_text(json.dumps({"status": "NOT_FOUND"}))
+    for _ in range(2):
+        load_details(spark, tables, str(details), at(0))
+    start_day(spark, tables, at(1))
+
+    polls = tmp_path / "quotes"
+    polls.mkdir()
+    bars = {name: {"c": 10 + i, "t": "2000-06-16T14:00:00Z"} for i, name in enumerate(TICKERS)}
+    (polls / "page.json").write_text(json.dumps({"bars": bars}))
+    feed = stream_quotes(spark, str(polls))
+    start_updates(feed, tables.current, str(tmp_path / "checkpoint")).awaitTermination()
+
+    current = read_current(spark, tables.current)
+    assert current.count() == len(TICKERS)
+    board = leaderboard(current, "m_price_change_last_day_pct", ascending=False)
+    rows = [tuple(row) for row in board.collect()]
+    assert len(rows) == 50 and rows[0] == ("T199", 1990.0)
+    mid = leaderboard(current, "m_price_change_last_day_pct", False, caps=["Mid Cap"])
+    assert [tuple(row) for row in mid.collect()] == [("T000", 0.0)]
+    assert current.filter("market_cap_description = 'Not Provided'").count() == len(TICKERS) - 2

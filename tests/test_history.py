@@ -44,6 +44,29 @@ def test_duplicate_bars_leave_one_whole_bar(spark, make_bars, make_splits):
     assert len(closes(backfill_cumulative(bars, make_splits()))["A"]) == 1
 
 
+def test_a_ticker_with_most_rows_equals_brute_force(spark, make_bars, make_splits):
+    """Many duplicates of one ticker, and few bars of the others."""
+    generator = random.Random(5)
+    start = date(2000, 1, 1)
+    rows = [
+        ("HOT" if i % 3 == 0 else f"T{i % 40}", str(start + timedelta(days=generator.randint(0, 30))),
+         float(generator.randint(1, 9) * 4))
+        for i in range(900)
+    ]
+    splits = [("HOT", "2000-01-10", 1, 2), ("HOT", "2000-01-20", 1, 2), ("T1", "2000-01-15", 2, 1)]
+    expected = {}
+    for ticker, on, close in rows:
+        days = expected.setdefault(ticker, {})
+        days[on] = max(close, days.get(on, 0.0))
+    for ticker, days in expected.items():
+        for on in days:
+            for name, executed, split_from, split_to in splits:
+                if name == ticker and on < executed:
+                    days[on] *= split_from / split_to
+    found = closes(backfill_cumulative(make_bars(*rows), make_splits(*splits)))
+    assert found == {t: sorted(days.items(), reverse=True) for t, days in expected.items()}
+
+
 def test_step_covers_old_new_and_both(spark, make_bars, make_arrays, make_splits):
     before = make_arrays(
         ("BOTH", "2000-01-03", [("2000-01-03", 1.0)]), ("GONE", "2000-01-03", [("2000-01-03", 2.0)])

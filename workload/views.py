@@ -4,30 +4,27 @@ derivations as SQL."""
 from __future__ import annotations
 
 from datetime import date
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 DAY = date(2000, 6, 15)  # a Thursday
 SUNDAY = date(2000, 6, 18)
 
 
-_schemas: dict[str, StructType] = {}
-
-
+@cache
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A given table. Its schema is read from the file once, not by a job on every use."""
-    path = f"{sf_dir}/{name}.parquet"
-    if path not in _schemas:
-        _schemas[path] = spark.read.parquet(path).schema
-    return spark.read.schema(_schemas[path]).parquet(path)
+    """A given table. Like the views below, the lazy frame is built once per session and
+    folder (no data is kept), so that its schema is not read by a job on every use."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _ticker(key: str):
     return F.concat(F.lit("S"), F.col(key).cast("string"))
 
 
+@cache
 def bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Supplier = ticker; one bar per supplier and ship date."""
     order = (F.col("l_orderkey") * 10 + F.col("l_linenumber")) * 1_000_000 + F.col("l_partkey")
@@ -53,6 +50,7 @@ def bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@cache
 def splits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two per ticker, forward and reverse, 1996 to 2000."""
     key, i = F.col("s_suppkey"), F.col("i")
@@ -70,6 +68,7 @@ def splits(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@cache
 def day_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Splits executed on DAY: 10:1 at high account balances, 1:5 at negative ones."""
     balance = F.col("s_acctbal")
@@ -97,6 +96,7 @@ def market_cap():
     )
 
 
+@cache
 def details(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two snapshots of every ticker."""
     snapshots = F.array(F.lit(date(2000, 6, 1)), F.lit(date(2000, 6, 10)))
@@ -108,6 +108,7 @@ def details(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@cache
 def quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Intraday quotes; errors are invalid (c = 0) and some tickers are unknown."""
     price = (F.col("value").cast("decimal(12,2)") * 100).cast("double")
@@ -119,6 +120,7 @@ def quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@cache
 def quote_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quotes in the feed's form, with the time as text."""
     # Second to microsecond digits; the stored times have no zone and mean UTC.
