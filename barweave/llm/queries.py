@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from barweave.llm import byte_bpe, prefix_counts
+from barweave.llm import byte_bpe, decontaminate, line_dedup, prefix_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -32,3 +32,14 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
     return byte_bpe.digests(table(spark, sf_dir, "documents"), path)
+
+
+@query
+def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, benchmark = (table(spark, sf_dir, name) for name in ("documents", "benchmark"))
+    return decontaminate.digests(decontaminate.find_hits(spark, documents, benchmark))
+
+
+@query
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.digests(table(spark, sf_dir, "documents"))
