@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from barweave.llm import byte_bpe, decontaminate, line_dedup, prefix_counts
+from barweave.llm import byte_bpe, decontaminate, line_dedup, prefix_counts, quality
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -43,3 +43,11 @@ def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.digests(table(spark, sf_dir, "documents"))
+
+
+@query
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(table(spark, sf_dir, "documents"))
+
+
+ORACLE["op5_quality_rules"] = quality.SQL
