@@ -18,6 +18,9 @@ HOST_LIMIT = 0.5
 #: Bounds of the prior's weight, in documents. The upper one holds where all hosts are alike.
 PRIOR_WEIGHT = (1.0, 1000.0)
 
+#: Parts into which a host's documents are dealt to meet the verdicts.
+SALTS = 32
+
 _BLANK = "[\\x20\\x09-\\x0D]"
 
 
@@ -131,7 +134,9 @@ def judge(df: DataFrame, key: str = "doc_id", host: str = "source", text: str =
     """
     measured = checkpointed(features(df, key, host, text))
     hosts = host_verdicts(measured).where("NOT host_kept").select("host", "host_kept")
-    joined = measured.join(hosts, "host", "left")
+    salts = F.explode(F.array(*map(F.lit, range(SALTS)))).alias("salt")
+    salted = measured.withColumn("salt", F.pmod(F.xxhash64(key, "n_words"), F.lit(SALTS)).cast("int"))
+    joined = salted.join(hosts.select("*", salts), ["host", "salt"], "left")
     failed = base_failed()
     good = F.coalesce(F.col("host_kept"), F.lit(True))
     return joined.select(
