@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from barweave.llm import byte_bpe, chat, decontaminate, jaccard_join, language, line_dedup, prefix_counts, quality
+from barweave.llm import byte_bpe, chat, decontaminate, jaccard_join, language, line_dedup, prefix_counts, quality, suffix_tree
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -92,3 +92,8 @@ FROM formatted GROUP BY conv_id
 @query
 def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.classes(table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_tree.score(table(spark, sf_dir, "documents"))
