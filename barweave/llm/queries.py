@@ -7,7 +7,18 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from barweave.llm import byte_bpe, chat, decontaminate, jaccard_join, language, line_dedup, prefix_counts, quality, suffix_tree
+from barweave.llm import (
+    byte_bpe,
+    chat,
+    decontaminate,
+    html_extract,
+    jaccard_join,
+    language,
+    line_dedup,
+    prefix_counts,
+    quality,
+    suffix_tree,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -97,3 +108,8 @@ def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_tree.score(table(spark, sf_dir, "documents"))
+
+
+@query
+def op1_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(table(spark, sf_dir, "pages"))
