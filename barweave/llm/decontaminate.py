@@ -310,14 +310,12 @@ def without_spans():
 def clean(spark: SparkSession, df: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The input's columns without contaminated rows; shorter hits are cut out of the rows that
     stay. ``n_chars``, where there is such a column, is counted again for those."""
-    columns = df.columns
-    packed = df.select(F.struct(*columns).alias("row"), F.col("text"))
+    others = [name for name in df.columns if name != "text"]
+    packed = df.select(F.struct(*others).alias("row"), "text")
     found = find_hits(spark, packed, benchmark, key="row")
     found = found.where(~is_contaminated()).withColumn("text", without_spans())
-    out = {name: F.col(f"row.`{name}`") for name in columns} | {
-        "text": F.when(F.size("hits") > 0, F.col("text")).otherwise(F.col("row.text"))
-    }
-    if "n_chars" in columns:
+    out = {name: F.col(f"row.`{name}`") for name in others} | {"text": F.col("text")}
+    if "n_chars" in others:
         size = F.char_length("text").cast(df.schema["n_chars"].dataType)
-        out["n_chars"] = F.when(F.size("hits") > 0, size).otherwise(F.col("row.n_chars"))
-    return found.select(*(value.alias(name) for name, value in out.items()))
+        out["n_chars"] = F.when(F.size("hits") > 0, size).otherwise(out["n_chars"])
+    return found.select(*(out[name].alias(name) for name in df.columns))

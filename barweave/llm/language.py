@@ -140,7 +140,8 @@ def has_letter(text: str | None) -> bool:
 
 
 def predict(df: DataFrame, model: Model | None, text: str = "text") -> DataFrame:
-    """(row, lang_pred, score, rejected): every input row beside its language.
+    """(row, text, lang_pred, score, rejected): every input row, its other columns in ``row``,
+    beside its language.
 
     ``lang_pred`` is a learned language, or ``und`` with score 0, rejected, if the text is null or
     has no letter, or if nothing was learned. The score is the cosine to the nearest centroid.
@@ -150,7 +151,8 @@ def predict(df: DataFrame, model: Model | None, text: str = "text") -> DataFrame
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            letters = [has_letter(t) for t in batch.column(1).to_pylist()]
+            shown = batch.column(1)
+            letters = [has_letter(t) for t in shown.to_pylist()]
             start = 0
             for part in small(batch):
                 n = part.num_rows
@@ -170,18 +172,19 @@ def predict(df: DataFrame, model: Model | None, text: str = "text") -> DataFrame
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column(0),
+                        shown.slice(start - n, n),
                         pa.array([m if k else "und" for m, k in zip(names, known, strict=True)]),
                         pa.array(np.where(known, best, 0.0).astype(float)),
                         pa.array(rejected),
                     ],
-                    ["row", "lang_pred", "score", "rejected"],
+                    ["row", "text", "lang_pred", "score", "rejected"],
                 )
 
-    packed = df.select(F.struct(*df.columns).alias("row"), F.col(text).alias("text"))
+    others = [name for name in df.columns if name != text]
+    packed = df.select(F.struct(*others).alias("row"), F.col(text).alias("text"))
     kind = packed.schema["row"].dataType.simpleString()
-    return packed.mapInArrow(
-        run, f"row {kind}, lang_pred string, score double, rejected boolean"
-    )
+    schema = f"row {kind}, text string, lang_pred string, score double, rejected boolean"
+    return packed.mapInArrow(run, schema)
 
 
 def identify(df: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang"):
@@ -196,4 +199,6 @@ def identify(df: DataFrame, key: str = "doc_id", text: str = "text", lang: str =
 def accepted(df: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang"):
     """The input's rows, as they are, whose text is in a learned language."""
     found = predict(df, fit(df, key, text, lang), text).where("NOT rejected")
-    return found.select(*(F.col(f"row.`{name}`").alias(name) for name in df.columns))
+    return found.select(
+        *(F.col("text" if c == text else f"row.`{c}`").alias(c) for c in df.columns)
+    )

@@ -146,9 +146,10 @@ def drops(df: DataFrame, key: str = "doc_id", text: str = "text", batches: int =
 
 
 def without_lines(df: DataFrame, lost: DataFrame, key: str = "doc_id", text: str = "text"):
-    """(row, text, n_lines, n_dropped, kept): every input row beside its text without lost lines.
+    """(row, kept, n_lines, n_dropped): every input row, its other columns in ``row``, beside its
+    text without lost lines.
 
-    One output row per input row. A null or empty text is one empty line. Rows that repeat an id
+    One output row per input row. A null or empty text is one empty line, and stays as it is. Rows that repeat an id
     count as one document: they lose the same lines and none to each other. Rows without an id come
     last, as one document.
     """
@@ -165,7 +166,7 @@ def without_lines(df: DataFrame, lost: DataFrame, key: str = "doc_id", text: str
                     stay = [line for line in lines if line_hash(line) not in gone]
                 counts.append(len(lines))
                 dropped.append(len(lines) - len(stay))
-                kept.append(b"\n".join(stay).decode())
+                kept.append(value if stay is lines else b"\n".join(stay).decode())
             arrays = [
                 batch.column(0),
                 pa.array(counts, pa.int64()),
@@ -176,9 +177,10 @@ def without_lines(df: DataFrame, lost: DataFrame, key: str = "doc_id", text: str
 
     packed = df.select(
         F.coalesce(F.col(key).cast("bigint"), F.lit(LAST)).alias("doc"),
-        F.struct(*df.columns).alias("row"),
+        F.struct(*(name for name in df.columns if name != text)).alias("row"),
+        F.col(text).alias("text"),
     )
-    joined = packed.join(lost, "doc", "left").select("row", F.col(f"row.`{text}`"), "hashes")
+    joined = packed.join(lost, "doc", "left").select("row", "text", "hashes")
     schema = T.StructType(
         [
             T.StructField("row", packed.schema["row"].dataType),
@@ -195,8 +197,7 @@ def dedup(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     a column, is counted again for changed texts; a document that loses all lines stays, empty."""
     found = without_lines(df, drops(df, key, text), key, text)
     changed = F.col("n_dropped") > 0
-    out = {name: F.col(f"row.`{name}`") for name in df.columns}
-    out[text] = F.when(changed, F.col("kept")).otherwise(out[text])
+    out = {c: F.col("kept" if c == text else f"row.`{c}`") for c in df.columns}
     if "n_chars" in out:
         size = F.char_length("kept").cast(df.schema["n_chars"].dataType)
         out["n_chars"] = F.when(changed, size).otherwise(out["n_chars"])
@@ -211,5 +212,5 @@ def digests(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
         F.col(f"row.`{key}`").alias(key),
         "n_lines",
         "n_dropped",
-        F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"),
+        F.sha2(F.coalesce("kept", F.lit("")).cast("binary"), 256).alias("kept_sha256"),
     )
