@@ -28,7 +28,7 @@ from barweave.llm.scratch import checkpointed
 DEPTH = 6
 #: Symbols with their own probability in kept contexts: 12 bytes each where the model is held. The
 #: divergence asked for is raised until the model fits.
-ENTRIES = 2_000_000
+ENTRIES = 1_000_000
 #: Words whose counts every task holds; the others' counts are joined.
 HELD_WORDS = 1 << 18
 #: The end symbol; it cannot be part of a word.
@@ -203,20 +203,27 @@ def build(tables: list[DataFrame], entries: int = ENTRIES) -> Model:
     kept_entries, kept_contexts = [], []
     total = 0
     for depth, table in enumerate(tables):
-        kept = table if depth == 0 else table.where((F.col("gain") > 1) & (strength >= least))
-        rows = kept.select("key", F.log10("p").cast("float").alias("p"), "total", "kinds").toPandas()
-        rows = rows.sort_values("key")
-        found = rows["key"].to_numpy().astype(np.uint64)
-        kept_entries.append((found, rows["p"].to_numpy(np.float32)))
         if depth == 0:
-            total = int(rows["total"].max()) if len(rows) else 0
-        names, first = np.unique(found >> np.uint64(8), return_index=True)
-        size, weight = (rows[c].to_numpy(float)[first] for c in ("total", "kinds"))
-        weight = (weight + 1) / 2
-        kept_contexts.append((names, np.log10(weight / (size + weight)).astype(np.float32)))
+            total = table.agg(F.coalesce(F.max("total"), F.lit(0))).first()[0]
+            kept = table
+        else:
+            kept = table.where((F.col("gain") > 1) & (strength >= least))
+        kept_entries.append(_sorted(kept.select("key", F.log10("p").cast("float"))))
+        weight = (F.col("kinds") + 1) / 2
+        left = F.log10(weight / (F.col("total") + weight)).cast("float")
+        context = F.shiftright("key", 8)
+        kept_contexts.append(_sorted(kept.groupBy(context).agg(F.first(left))))
     return Model(kept_entries, kept_contexts, float(np.log10(0.5 / (total + 128.0))))
 
 
+def _sorted(frame: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """A bounded frame of (key, value) as two arrays, by key."""
+    table = frame.toArrow()
+    found, values = (column.to_numpy() for column in table.columns)
+    order = np.argsort(found)
+    return found[order].view(np.uint64), values[order]
+
+
 def _find(table: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     if not len(table):
         return np.zeros(len(wanted), np.int64), np.zeros(len(wanted), bool)
@@ -269,13 +276,14 @@ def held_words(counted: DataFrame) -> tuple[Words, DataFrame]:
     while least and room >= (rows[least - 1]["n"] if least - 1 in rows else 0):
         least -= 1
         room -= rows[least]["n"] if least in rows else 0
-    held = words.where(F.col("count") >= F.lit(1 << least)).toPandas()
-    hashes = held["key"].to_numpy(np.int64).view(np.uint64)
+    held = words.where(F.col("count") >= F.lit(1 << least)).toArrow()
+    hashes, counts = (column.to_numpy() for column in held.columns)
+    hashes = hashes.view(np.uint64)
     order = np.argsort(hashes)
     tokens = sum(row["sum"] for row in rows.values()) + texts
     distinct = sum(row["n"] for row in rows.values()) + (texts > 0)
     found = Words(
-        int(tokens), int(distinct), int(texts), hashes[order], held["count"].to_numpy()[order]
+        int(tokens), int(distinct), int(texts), hashes[order], counts[order]
     )
     return found, words.where(F.col("count") < F.lit(1 << least))
 
