@@ -20,6 +20,7 @@ links leave, in an entry, only pairs of sets of different components, which are
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -41,6 +42,10 @@ _PIECE = 1 << 14
 #: A token is frequent if its counter exceeds this multiple of the mean counter, plus a margin.
 FREQUENT = (4.0, 32.0)
 
+#: Up to so many candidate documents their ids (8 MB) are sent to the texts; beyond that the texts
+#: are shuffled to them.
+SENT_IDS = 1_000_000
+
 _PLACE = mix(np.arange(1, SHINGLE + 2, dtype=np.uint64)) | np.uint64(1)
 
 
@@ -176,6 +181,7 @@ def _measure(df: DataFrame) -> DataFrame:
         for at in range(0, COUNTERS, _PIECE):
             if counters[at : at + _PIECE].any():
                 counts = counters[at : at + _PIECE].astype(np.uint32).tobytes()
+                counts = zlib.compress(counts, 1)
                 null = pa.nulls(1, pa.int64())
                 row = [null, null, null, pa.array([at], pa.int32()), pa.array([counts])]
                 yield pa.RecordBatch.from_arrays(row, names)
@@ -193,7 +199,7 @@ def _order(counted: DataFrame) -> Order:
         for batch in batches:
             for piece, counts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 sums.setdefault(piece, np.zeros(_PIECE, np.int64))
-                sums[piece] += np.frombuffer(counts, np.uint32)
+                sums[piece] += np.frombuffer(zlib.decompress(counts), np.uint32)
         totals = pa.array([s.sum() for s in sums.values()], pa.int64())
         levels = pa.array([_level(s).tobytes() for s in sums.values()], pa.binary())
         pieces = pa.array(list(sums), pa.int32())
@@ -239,7 +245,35 @@ def _fits(a: str, b: str):
     return F.expr(f"100 * least({a}, {b}) >= {PERCENT} * greatest({a}, {b})")
 
 
-def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def _near(frame: DataFrame, names: DataFrame, on: list[str], how: str) -> DataFrame:
+    """A join with names of few bytes each, sent to the frame's tasks where they are few."""
+    small = names.count() <= SENT_IDS
+    return frame.join(F.broadcast(names) if small else names.hint("shuffle_hash"), on, how)
+
+
+def _sets(df: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(set_id, n, doc, tokens) for each of ``wanted`` (set_id, n, doc), made from its document."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in chunks(batch, "text"):
+                value, first = shingle_sets(part.column(1))
+                n, ids = pa.array(np.diff(first)), pa.array(set_ids(value, first))
+                edges = zip(first[:-1].tolist(), first[1:].tolist(), strict=True)
+                tokens = pa.array([value[a:b].tobytes() for a, b in edges], pa.binary())
+                same = pa.compute.and_(
+                    pa.compute.equal(ids, part.column(2)), pa.compute.equal(n, part.column(3))
+                )
+                made = [ids, n, part.column(0), tokens]
+                names = ["set_id", "n", "doc", "tokens"]
+                yield pa.RecordBatch.from_arrays(made, names).filter(same)
+
+    texts = _near(df.select(F.col("doc_id").alias("doc"), "text"), wanted, ["doc"], "inner")
+    texts = texts.select("doc", "text", "set_id", "n")
+    return texts.mapInArrow(run, "set_id bigint, n bigint, doc bigint, tokens binary")
+
+
+def _verified(df: DataFrame, pairs: DataFrame, classes: DataFrame) -> DataFrame:
     """(u, v): the pairs (a, b) of set names whose sets link, as the sets' first documents."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -251,29 +285,15 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
                 good.append(100 * both >= PERCENT * (len(x) + len(y) - both))
             yield batch.select(["u", "v"]).filter(pa.array(good, pa.bool_()))
 
-    left = sets.selectExpr("struct(set_id, n) AS a", "doc AS u", "tokens AS x")
-    right = sets.selectExpr("struct(set_id, n) AS b", "doc AS v", "tokens AS y")
+    pairs = checkpointed(pairs)
+    left, right = (pairs.select(F.col(end).alias("s")).distinct() for end in ("a", "b"))
+    named = classes.withColumn("s", F.struct("set_id", "n"))
+    wanted = named.join(left.union(right).distinct(), "s").select("set_id", "n", "doc")
+    sets = checkpointed(_sets(df, checkpointed(wanted))).withColumn("s", F.struct("set_id", "n"))
+    left = _near(sets, left, ["s"], "left_semi").selectExpr("s AS a", "doc AS u", "tokens AS x")
+    right = _near(sets, right, ["s"], "left_semi").selectExpr("s AS b", "doc AS v", "tokens AS y")
     found = pairs.join(left, "a").join(right, "b").select("u", "v", "x", "y")
-    return found.mapInArrow(run, "u bigint, v bigint")
-
-
-def _sets(df: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(set_id, n, doc, tokens) for the documents of ``wanted`` (doc, set_id, n)."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in chunks(batch, "text"):
-                value, first = shingle_sets(part.column(1))
-                n, ids = np.diff(first), set_ids(value, first)
-                edges = zip(first[:-1].tolist(), first[1:].tolist(), strict=True)
-                tokens = pa.array([value[a:b].tobytes() for a, b in edges], pa.binary())
-                arrays = [pa.array(ids), pa.array(n), part.column(0), tokens]
-                yield pa.RecordBatch.from_arrays(arrays, ["set_id", "n", "doc", "tokens"])
-
-    texts = df.select(F.col("doc_id").alias("doc"), "text")
-    texts = texts.join(wanted.select("doc").distinct().hint("shuffle_hash"), "doc", "left_semi")
-    made = texts.mapInArrow(run, "set_id bigint, n bigint, doc bigint, tokens binary")
-    return made.join(wanted, ["set_id", "n", "doc"], "left_semi").dropDuplicates(["set_id", "n"])
+    return checkpointed(found.mapInArrow(run, "u bigint, v bigint"))
 
 
 def links(df: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -291,14 +311,13 @@ def links(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     index = checkpointed(index.where("low < high").select("entry", "set_id", "n").distinct())
     classes = documents.where("doc_id IS NOT NULL AND n > 0")
     classes = classes.groupBy("set_id", "n").agg(F.min("doc_id").alias("doc"))
-    wanted = classes.join(index.select("set_id", "n").distinct(), ["set_id", "n"], "left_semi")
-    wanted = checkpointed(wanted)
-    sets = checkpointed(_sets(named, wanted))
+    indexed = index.select("set_id", "n").distinct()
+    wanted = checkpointed(classes.join(indexed, ["set_id", "n"], "left_semi"))
 
     first = index.groupBy("entry").agg(F.min(F.struct("set_id", "n")).alias("a"))
     tried = index.select("entry", F.struct("set_id", "n").alias("b")).join(first, "entry")
     tried = tried.where("a.set_id <> b.set_id").where(_fits("a.n", "b.n")).select("a", "b").distinct()
-    stars = checkpointed(_verified(tried, sets))
+    stars = _verified(named, tried, wanted)
 
     joined_up = components(stars)
     node = wanted.join(joined_up, wanted["doc"] == joined_up["node"], "left").selectExpr(
@@ -318,7 +337,7 @@ def links(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     rest = mixed.selectExpr("entry", "s AS b", "component AS d", "main", "tried").join(others, "entry")
     # A pair of two sets outside the main component is met from both ends and kept once.
     rest = rest.where("c <> d AND b.set_id <> tried AND (d = main OR a < b)").where(_fits("a.n", "b.n"))
-    more = _verified(rest.select("a", "b").distinct(), sets)
+    more = _verified(named, rest.select("a", "b").distinct(), wanted)
     return documents, stars.unionByName(more)
 
 
