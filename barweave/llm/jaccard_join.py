@@ -14,8 +14,9 @@ How frequent a token is comes from counts of all shingles of all documents in ``
 counters. They only choose order and classes: any counts give the same links.
 
 Only components are wanted, so a pair whose ends are already known to be in one component need not
-be verified. Each index entry first tries all its sets against one of them; the components of these
-links leave, in an entry, only pairs of sets of different components, which are all tried then.
+be verified. Each index entry first tries all its sets against one of them. While the components of
+the links leave many pairs of different components, a round tries all against a few others. What is
+left then, in an entry, are few pairs of sets of different components, and all of them are tried.
 """
 
 from __future__ import annotations
@@ -46,6 +47,10 @@ FREQUENT = (4.0, 32.0)
 #: are shuffled to them.
 SENT_IDS = 1_000_000
 
+#: Rounds in which the sets of an entry are tried against a few of them, while many pairs are left.
+ROUNDS = 5
+PIVOTS = 8
+
 _PLACE = mix(np.arange(1, SHINGLE + 2, dtype=np.uint64)) | np.uint64(1)
 
 
@@ -336,29 +341,54 @@ def links(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     tried = tried.selectExpr(
         "named_struct('set_id', low, 'n', low_n) AS a", "struct(set_id, n) AS b"
     )
-    stars = _verified(named, tried.distinct(), wanted)
+    edges = _verified(named, tried.distinct(), wanted)
+    for number in range(ROUNDS):
+        mixed, rows, pairs = _mixed(index, wanted, edges)
+        if pairs <= 2 * PIVOTS * rows:
+            break
+        seeds = range(number * PIVOTS, (number + 1) * PIVOTS)
+        by_seed = [F.expr(f"min(struct(xxhash64(s, {k}L) AS h, s, component)) {by_entry}") for k in seeds]
+        tried = mixed.select("s", "component", F.array(*by_seed).alias("pivots"))
+        tried = tried.select("s", "component", F.explode("pivots").alias("p"))
+        tried = tried.where("component <> p.component").where(_fits("s.n", "p.s.n"))
+        tried = tried.selectExpr("least(s, p.s) AS a", "greatest(s, p.s) AS b").distinct()
+        edges = checkpointed(edges.unionByName(_verified(named, tried, wanted)))
+    else:
+        mixed, _, _ = _mixed(index, wanted, edges)
+    others = mixed.where("component <> main").selectExpr("entry", "s AS a", "component AS c")
+    rest = mixed.selectExpr("entry", "s AS b", "component AS d", "main").join(others, "entry")
+    # A pair of two sets outside the main component is met from both ends and kept once.
+    rest = rest.where("c <> d AND (d = main OR a < b)").where(_fits("a.n", "b.n"))
+    more = _verified(named, rest.select("a", "b").distinct(), wanted)
+    return documents, edges.unionByName(more)
+
 
-    joined_up = components(stars)
-    node = wanted.join(joined_up, wanted["doc"] == joined_up["node"], "left").selectExpr(
+def _mixed(index: DataFrame, wanted: DataFrame, edges: DataFrame) -> tuple[DataFrame, int, int]:
+    """(entry, s, component, main): the index entries whose sets s are of several components, as
+    far as the edges tell; main is the component of most. Also their rows, and the pairs left."""
+    found = components(edges)
+    node = wanted.join(found, wanted["doc"] == found["node"], "left").selectExpr(
         "set_id", "n", "coalesce(component, doc) AS component"
     )
     placed = _near(index, checkpointed(node), ["set_id", "n"], "inner")
+    by_entry = "OVER (PARTITION BY entry)"
     mixed = placed.selectExpr(
         "entry",
         "struct(set_id, n) AS s",
         "component",
-        "low AS tried",
         f"min(component) {by_entry} AS least",
         f"max(component) {by_entry} AS most",
-        f"max(if(set_id = low, component, null)) {by_entry} AS main",
     )
-    mixed = checkpointed(mixed.where("least < most").drop("least", "most").distinct())
-    others = mixed.where("component <> main").selectExpr("entry", "s AS a", "component AS c")
-    rest = mixed.selectExpr("entry", "s AS b", "component AS d", "main", "tried").join(others, "entry")
-    # A pair of two sets outside the main component is met from both ends and kept once.
-    rest = rest.where("c <> d AND b.set_id <> tried AND (d = main OR a < b)").where(_fits("a.n", "b.n"))
-    more = _verified(named, rest.select("a", "b").distinct(), wanted)
-    return documents, stars.unionByName(more)
+    mixed = mixed.where("least < most").select("entry", "s", "component").distinct()
+    sizes = mixed.groupBy("entry", "component").count()
+    main = sizes.groupBy("entry").agg(
+        F.max(F.struct("count", "component")).alias("m"), F.sum("count").alias("size")
+    )
+    main = main.selectExpr("entry", "m.component AS main", "size", "size - m.count AS others")
+    mixed = checkpointed(mixed.join(main, "entry"))
+    pairs = F.expr("if(component = main, 0, size)")
+    rows, left = mixed.agg(F.count(F.lit(1)), F.coalesce(F.sum(pairs), F.lit(0))).first()
+    return mixed.select("entry", "s", "component", "main"), rows, left
 
 
 def classes(df: DataFrame) -> DataFrame:
