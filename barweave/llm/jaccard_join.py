@@ -256,61 +256,57 @@ def _near(frame: DataFrame, names: DataFrame, on: list[str], how: str) -> DataFr
     return frame.join(F.broadcast(names) if small else names.hint("shuffle_hash"), on, how)
 
 
-def _sets(df: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(set_id, n, doc, tokens, shorts) for each of ``wanted`` (set_id, n, doc), made from its
-    document; shorts are the tokens' lowest 16 bits."""
+def _sets(df: DataFrame, wanted: DataFrame, kind: type) -> DataFrame:
+    """(s, doc, tokens) for each of ``wanted`` (set_id, n, doc), made from its document; tokens are
+    cut to the bits of ``kind``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in chunks(batch, "text"):
                 value, first = shingle_sets(part.column(1))
                 n, ids = pa.array(np.diff(first)), pa.array(set_ids(value, first))
+                cut = value.astype(kind)
                 edges = zip(first[:-1].tolist(), first[1:].tolist(), strict=True)
-                tokens = pa.array([value[a:b].tobytes() for a, b in edges], pa.binary())
+                tokens = pa.array([cut[a:b].tobytes() for a, b in edges], pa.binary())
                 same = pa.compute.and_(
                     pa.compute.equal(ids, part.column(2)), pa.compute.equal(n, part.column(3))
                 )
-                edges = zip(first[:-1].tolist(), first[1:].tolist(), strict=True)
-                short = value.astype(np.uint16)
-                shorts = pa.array([short[a:b].tobytes() for a, b in edges], pa.binary())
-                made = [ids, n, part.column(0), tokens, shorts]
-                names = ["set_id", "n", "doc", "tokens", "shorts"]
+                made = [ids, n, part.column(0), tokens]
+                names = ["set_id", "n", "doc", "tokens"]
                 yield pa.RecordBatch.from_arrays(made, names).filter(same)
 
     texts = _near(df.select(F.col("doc_id").alias("doc"), "text"), wanted, ["doc"], "inner")
     texts = texts.select("doc", "text", "set_id", "n")
-    schema = "set_id bigint, n bigint, doc bigint, tokens binary, shorts binary"
-    return texts.mapInArrow(run, schema)
+    made = texts.mapInArrow(run, "set_id bigint, n bigint, doc bigint, tokens binary")
+    return checkpointed(made.select(F.struct("set_id", "n").alias("s"), "doc", "tokens"))
 
 
 def _verified(df: DataFrame, pairs: DataFrame, classes: DataFrame) -> DataFrame:
     """(u, v): the pairs (a, b) of set names whose sets link, as the sets' first documents. Equal
-    tokens have equal lowest bits, so a first look at those alone, a quarter of the bytes, drops
+    tokens have equal lowest bits, so a first look at 16 of them, a quarter of the bytes, drops
     most pairs that do not link and none that do."""
-    pairs = checkpointed(pairs)
-    ends = pairs.select(F.col("a").alias("s")).union(pairs.select("b")).distinct()
-    named = classes.withColumn("s", F.struct("set_id", "n"))
-    wanted = checkpointed(named.join(ends, "s").select("set_id", "n", "doc"))
-    sets = checkpointed(_sets(df, wanted)).withColumn("s", F.struct("set_id", "n"))
-    near = checkpointed(_linked(pairs, sets, "shorts", np.uint16).select("a", "b"))
-    return checkpointed(_linked(near, sets, "tokens", np.uint64).select("u", "v"))
+    near = checkpointed(_linked(df, checkpointed(pairs), classes, np.uint16).select("a", "b"))
+    return checkpointed(_linked(df, near, classes, np.uint64).select("u", "v"))
 
 
-def _linked(pairs: DataFrame, sets: DataFrame, column: str, kind: type) -> DataFrame:
-    """The pairs, with their documents, whose tokens in ``column`` are similar enough."""
+def _linked(df: DataFrame, pairs: DataFrame, classes: DataFrame, kind: type) -> DataFrame:
+    """The pairs, with their documents, whose tokens in ``kind`` are similar enough."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             good = []
             for x, y in zip(batch.column(4).to_pylist(), batch.column(5).to_pylist(), strict=True):
                 x, y = np.frombuffer(x, kind), np.frombuffer(y, kind)
-                both = np.count_nonzero(np.isin(x, y, kind="sort"))
+                both = np.count_nonzero(np.isin(x, y))
                 good.append(100 * both >= PERCENT * (len(x) + len(y) - both))
             yield batch.select(["a", "b", "u", "v"]).filter(pa.array(good, pa.bool_()))
 
     left, right = (pairs.select(F.col(end).alias("s")).distinct() for end in ("a", "b"))
-    left = _near(sets, left, ["s"], "left_semi").selectExpr("s AS a", "doc AS u", f"{column} AS x")
-    right = _near(sets, right, ["s"], "left_semi").selectExpr("s AS b", "doc AS v", f"{column} AS y")
+    named = classes.withColumn("s", F.struct("set_id", "n"))
+    wanted = named.join(left.union(right).distinct(), "s").select("set_id", "n", "doc")
+    sets = _sets(df, checkpointed(wanted), kind)
+    left = _near(sets, left, ["s"], "left_semi").selectExpr("s AS a", "doc AS u", "tokens AS x")
+    right = _near(sets, right, ["s"], "left_semi").selectExpr("s AS b", "doc AS v", "tokens AS y")
     found = pairs.join(left, "a").join(right, "b").select("a", "b", "u", "v", "x", "y")
     name = "struct<set_id:bigint,n:bigint>"
     return found.mapInArrow(run, f"a {name}, b {name}, u bigint, v bigint")
@@ -344,7 +340,7 @@ def links(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     edges = _verified(named, tried.distinct(), wanted)
     for number in range(ROUNDS):
         mixed, rows, pairs = _mixed(index, wanted, edges)
-        if pairs <= 2 * PIVOTS * rows:
+        if pairs <= 2 * rows:
             break
         seeds = range(number * PIVOTS, (number + 1) * PIVOTS)
         by_seed = [F.expr(f"min(struct(xxhash64(s, {k}L) AS h, s, component)) {by_entry}") for k in seeds]
