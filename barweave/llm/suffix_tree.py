@@ -34,7 +34,7 @@ HELD_WORDS = 1 << 18
 #: The end symbol; it cannot be part of a word.
 END = 0x0A
 #: Distinct keys counted in a task before they are passed on.
-WAITING = 1 << 22
+WAITING = 1 << 20
 
 
 class Texts(NamedTuple):
@@ -104,7 +104,7 @@ def count(training: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums, texts = [_Sums(), _Sums()], 0
         for batch in batches:
-            for part in chunks(batch, "text", 1 << 21):
+            for part in chunks(batch, "text", 1 << 19):
                 chunk = read(part.column(0))
                 texts += part.num_rows
                 for kind, found in ((0, keys(chunk)), (1, chunk.words)):
