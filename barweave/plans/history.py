@@ -25,13 +25,15 @@ def backfill_cumulative(
     Adjustment runs inside the finished arrays: the join with the split histories then has one
     row per ticker on both sides and reuses the array aggregate's partitioning, instead of
     matching every bar. Bars outside the window all map to the day NULL and combine to one row
-    per ticker before the shuffle; they only keep their ticker present, with a NULL array.
+    per ticker before the shuffle; they only keep their ticker present, with a NULL array. Splits
+    executed after ``as_of`` are left to their own day's step.
     """
     if valid_only:
         bars = valid_bars(bars)
     if as_of is not None:
         newest = F.lit(as_of).cast("date")
         bars = bars.filter(F.col("snapshot_date") <= newest)
+        splits = splits.filter(F.to_date("execution_date") <= newest)
     else:
         newest = max_date(bars, "snapshot_date")
     in_window = F.col("snapshot_date") > _window_start(newest)

@@ -16,7 +16,8 @@ def apply_quotes(
 
     Unknown tickers are dropped, rows without a quote keep their values, and a matched row is
     overwritten whole, NULLs included. A quote older than the stored one is ignored unless
-    ``last_write_wins``.
+    ``last_write_wins``; of equal times the higher price stays, as within a batch, so the result
+    does not depend on how quotes are cut into batches.
     """
     newest = latest_quote(price_updates(quotes)).select(
         "ticker",
@@ -27,9 +28,9 @@ def apply_quotes(
     accepted = F.col("matched")
     if not last_write_wins:
         stored = F.col("last_updated_datetime")
-        accepted = accepted & (
-            stored.isNull() | F.coalesce(F.col("new_time") >= stored, F.lit(False))
-        )
+        later = F.col("new_time") > stored
+        dearer = (F.col("new_time") == stored) & (F.col("new_price") >= F.col("current_price"))
+        accepted = accepted & (stored.isNull() | F.coalesce(later | dearer, F.lit(False)))
     updates = metric_values(F.col("new_price"), {base: F.col(base) for base in METRICS})
     updates["current_price"] = F.col("new_price")
     updates["last_updated_datetime"] = F.col("new_time")

@@ -1,7 +1,9 @@
 """JSON feeds, read from landed pages instead of over HTTP.
 
-``multi_line=True`` reads one document per file, as a feed returns it. Pages landed as JSON
-lines (one document per line) are splittable and the better choice for large volumes.
+``multi_line=True`` reads whole files, as a feed returns them: one document, laid out on any number
+of lines, or several after each other. Pages landed as JSON lines (one document per line) are
+splittable and the better choice for large volumes; ``multi_line=False`` reads only those. Nothing
+is lost silently: what is torn, of another type or laid out otherwise than said raises.
 """
 
 from __future__ import annotations
@@ -10,13 +12,28 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, StructType
 
 from ..schemas import ASSET, QUOTE_PAGE, SPLIT_PAGE, TICKER_DOCUMENT
 
 
+_STRICT = {"mode": "FAILFAST"}
+
+
+def _documents(files: DataFrame, schema: StructType) -> DataFrame:
+    """The documents of whole files (one text column). Between two documents there is no comma,
+    which nothing inside a document looks like; a list of documents is one already."""
+    text = F.trim(F.col("value"))
+    items = F.regexp_replace(text, r"\}\s*\{", "},{")
+    listed = F.when(text.startswith("["), text).otherwise(F.concat(F.lit("["), items, F.lit("]")))
+    pages = F.from_json(listed, ArrayType(schema), _STRICT)
+    return files.select(F.explode(pages).alias("page")).select("page.*")
+
+
 def _read(spark: SparkSession, path: str | list[str], schema: StructType, multi_line: bool):
-    return spark.read.schema(schema).option("multiLine", multi_line).json(path)
+    if multi_line:
+        return _documents(spark.read.text(path, wholetext=True), schema)
+    return spark.read.schema(schema).options(**_STRICT).json(path)
 
 
 def read_splits(
@@ -70,7 +87,9 @@ def stream_quotes(
     spark: SparkSession, path: str, files_per_batch: int | None = None, multi_line: bool = True
 ) -> DataFrame:
     """The same feed as a stream of arriving files."""
-    reader = spark.readStream.schema(QUOTE_PAGE).option("multiLine", multi_line)
+    reader = spark.readStream
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return flatten_quotes(reader.json(path))
+    if multi_line:
+        return flatten_quotes(_documents(reader.text(path, wholetext=True), QUOTE_PAGE))
+    return flatten_quotes(reader.schema(QUOTE_PAGE).options(**_STRICT).json(path))

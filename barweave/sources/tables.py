@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..schemas import METRICS, without
+from ..sinks.folders import exists
 
 
 def read_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
@@ -19,8 +20,15 @@ def read_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
 def read_partition(
     spark: SparkSession, path: str, schema: StructType, day: date, column: str = "as_of_date"
 ) -> DataFrame:
-    """One date partition. The literal prunes the file listing, not only the rows."""
-    return read_table(spark, path, schema).filter(F.col(column) == F.lit(day).cast("date"))
+    """One date partition, listed alone: its folder is read and no other. A partition that was
+    never written has no rows."""
+    folder = f"{path}/{column}={day.isoformat()}"
+    stored = without(schema, column)
+    if exists(spark, folder):
+        rows = spark.read.schema(stored).parquet(folder)
+    else:
+        rows = spark.createDataFrame([], stored)
+    return rows.withColumn(column, F.lit(day).cast("date")).select(*schema.fieldNames())
 
 
 def read_bucketed_partition(

@@ -229,8 +229,8 @@ def test_read_partition_prunes_folders(spark, tmp_path):
         tables.publish_partition(prices(spark, on, ("A", 1.0)), path, DIM_PRICES, day(on))
     one = read_partition(spark, path, DIM_PRICES, day("2000-01-04"))
     assert one.count() == 1
-    plan = one._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(as_of_date" in plan
+    assert all("as_of_date=2000-01-04" in file for file in one.inputFiles())
+    assert read_partition(spark, path, DIM_PRICES, day("2000-01-05")).count() == 0
 
 
 def test_bucketed_partition_reads_back(spark, tmp_path, make_arrays):
@@ -244,3 +244,45 @@ def test_bucketed_partition_reads_back(spark, tmp_path, make_arrays):
     assert closes(back) == closes(rows)
     names = [n for n in os.listdir(f"{path}/as_of_date=2000-01-03") if n.endswith(".parquet")]
     assert len(names) <= 4
+
+
+PAGE = """{
+  "status": "OK",
+  "results": [
+    {"execution_date": "2000-01-03", "split_from": 1, "split_to": 2, "ticker": "A"},
+    {"execution_date": "2000-01-03", "split_from": 1, "split_to": 4, "ticker": "B"}
+  ]
+}"""
+
+
+def one_line(page: str) -> str:
+    return " ".join(page.split())
+
+
+@pytest.mark.parametrize("text", [PAGE, PAGE + "\n" + PAGE, one_line(PAGE) + "\n" + one_line(PAGE)])
+def test_whole_files_lose_no_document(spark, tmp_path, text):
+    (tmp_path / "page.json").write_text(text)
+    (tmp_path / "other.json").write_text(one_line(PAGE))
+    read = json_feeds.read_splits(spark, str(tmp_path), day("2000-01-03"), day("2000-01-03"))
+    assert read.count() == 2 * (text.count("status") + 1)
+
+
+@pytest.mark.parametrize("lines", [True, False])
+@pytest.mark.parametrize(
+    "text", [one_line(PAGE)[:-30], one_line(PAGE).replace("2,", '"two",')], ids=["torn", "type"]
+)
+def test_unreadable_pages_raise(spark, tmp_path, text, lines):
+    (tmp_path / "page.json").write_text(text)
+    read = json_feeds.read_splits(
+        spark, str(tmp_path), day("2000-01-03"), day("2000-01-03"), multi_line=not lines
+    )
+    with pytest.raises(Exception, match="(?i)malformed"):
+        read.collect()
+
+
+def test_a_page_on_many_lines_is_not_json_lines(spark, tmp_path):
+    (tmp_path / "page.json").write_text(PAGE)
+    with pytest.raises(Exception, match="(?i)malformed"):
+        json_feeds.read_splits(
+            spark, str(tmp_path), day("2000-01-03"), day("2000-01-03"), multi_line=False
+        ).collect()

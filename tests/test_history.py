@@ -237,3 +237,10 @@ def test_stepping_equals_backfilling(spark, make_bars, make_splits, seed):
         assert min(dates) > str(last - timedelta(days=365))
         for (_, a), (_, b) in zip(stepped[ticker], array):
             assert a == pytest.approx(b, rel=1e-3)
+
+
+def test_a_backfill_leaves_later_splits_to_their_day(spark, make_bars, make_splits):
+    bars = make_bars(("A", "2000-01-03", 100.0))
+    splits = make_splits(("A", "2000-01-05", 1, 10))
+    arrays = backfill_cumulative(bars, splits, as_of=day("2000-01-04"))
+    assert closes(arrays) == {"A": [("2000-01-03", 100.0)]}

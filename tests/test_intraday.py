@@ -169,3 +169,12 @@ def test_change_by_cap(spark, make_current):
 def test_change_by_cap_without_quotes(spark, make_current):
     row = change_by_cap(make_current(("A", 1.0, "x")), [METRIC]).first()
     assert row[f"{METRIC}_n"] == 0 and row[f"{METRIC}_avg"] is None
+
+
+@pytest.mark.parametrize("batches", [1, 2, 3])
+def test_equal_times_do_not_depend_on_batches(spark, make_current, batches):
+    feed = [("A", 10.0, T1), ("A", 9.0, T1), ("A", 11.0, T1), ("A", 8.0, T1)]
+    current = make_current(("A", 100.0, "Mid Cap"))
+    for number in range(batches):
+        current = apply_quotes(current, quotes(spark, *feed[number::batches]))
+    assert by_ticker(current)["A"]["current_price"] == 11.0

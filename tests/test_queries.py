@@ -6,6 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_file
+from workload.queries import QUERIES
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
@@ -30,7 +31,7 @@ def normalised(names, rows):
     return sorted(tuple(text(row[i]) for i in order) for row in rows)
 
 
-@pytest.mark.parametrize("name", sorted(entry_file.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_its_sql(spark, sf_dir, database, name):
     frame = entry_file.queries()[name](spark, sf_dir)
     found = normalised(frame.columns, [tuple(row) for row in frame.collect()])
@@ -41,7 +42,8 @@ def test_query_equals_its_sql(spark, sf_dir, database, name):
 
 
 def test_every_query_has_sql():
-    assert set(entry_file.queries()) == set(entry_file.oracle_sql())
+    assert set(QUERIES) <= set(entry_file.queries())
+    assert set(QUERIES) <= set(entry_file.oracle_sql())
 
 
 def test_entry(spark):

@@ -1,6 +1,6 @@
 """The registered queries as SQL over the given tables, for DuckDB.
 
-Written independently of the DataFrame code: recursive factors, an ASOF join and flat rows
+Written independently of the DataFrame code: reduced lists of ratios, ASOF joins and flat rows
 where the package uses folds and arrays.
 """
 
@@ -91,17 +91,21 @@ def _with(*ctes: str, select: str) -> str:
 
 
 def _factors(name: str, source: str) -> str:
+    """Each split's running product, from the ticker's list of splits, newest first."""
+
+    def product(field: str) -> str:
+        step = _round("x * y", 4)
+        return f"list_reduce([s.{field} FOR s IN known[:rn]], lambda x, y: {step})"
+
     return f"""
-{name}_ranked AS (
-  SELECT ticker, CAST(execution_date AS DATE) AS executed, split_from, split_to, as_of_date,
-    row_number() OVER (PARTITION BY ticker ORDER BY execution_date DESC) AS rn
-  FROM {source}),
+{name}_lists AS (
+  SELECT ticker, list({{'executed': CAST(execution_date AS DATE), 'split_from': split_from,
+    'split_to': split_to, 'as_of_date': as_of_date}} ORDER BY execution_date DESC) AS known
+  FROM {source} GROUP BY ticker),
 {name} AS (
-  SELECT ticker, executed, split_from, split_to, as_of_date, rn FROM {name}_ranked WHERE rn = 1
-  UNION ALL
-  SELECT r.ticker, r.executed, {_round("f.split_from * r.split_from", 4)},
-    {_round("f.split_to * r.split_to", 4)}, r.as_of_date, r.rn
-  FROM {name}_ranked r JOIN {name} f ON r.ticker = f.ticker AND r.rn = f.rn + 1)"""
+  SELECT ticker, known[rn].executed AS executed, {product("split_from")} AS split_from,
+    {product("split_to")} AS split_to, known[rn].as_of_date AS as_of_date, rn
+  FROM (SELECT *, unnest(range(1, len(known) + 1)) AS rn FROM {name}_lists))"""
 
 
 def _history(name: str, as_of: str, until: date | None) -> str:
@@ -443,11 +447,8 @@ WHERE symbol NOT LIKE '%/%'""",
     ),
     "split_asof_map": _with(
         BARS, SPLITS, _all_factors,
-        select="""SELECT ticker, snapshot_date, split_from, split_to FROM (
-  SELECT b.ticker, b.snapshot_date, f.split_from, f.split_to,
-    row_number() OVER (PARTITION BY b.ticker, b.snapshot_date ORDER BY f.rn DESC) AS n
-  FROM bars b LEFT JOIN factors f ON b.ticker = f.ticker AND b.snapshot_date < f.executed)
-WHERE n = 1""",
+        select="""SELECT b.ticker, b.snapshot_date, f.split_from, f.split_to
+FROM bars b ASOF LEFT JOIN factors f ON b.ticker = f.ticker AND b.snapshot_date < f.executed""",
     ),
     "adjusted_bars": _with(
         BARS, SPLITS, _all_factors, _all_adjusted, select="SELECT * FROM adjusted"
