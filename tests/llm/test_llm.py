@@ -1,0 +1,315 @@
+"""The operators of the llm folder against plain Python versions and on odd input."""
+
+import hashlib
+import html
+import itertools
+import random
+import re
+import zlib
+
+import duckdb
+import numpy as np
+import public_tokenizers
+import pyarrow as pa
+import pytest
+import tiktoken
+from tokenizers import Tokenizer
+
+from barweave.llm import (
+    byte_bpe,
+    chat,
+    decontaminate,
+    html_extract,
+    jaccard_join,
+    language,
+    line_dedup,
+    prefix_counts,
+    quality,
+    suffix_tree,
+)
+from barweave.llm.components import components
+from barweave.llm.html_dom import TEXT, features, parse
+from barweave.llm.html_samples import Maker
+from barweave.llm.queries import ORACLE, QUERIES
+
+BPE = public_tokenizers.path("byte_bpe_50k.tiktoken")
+WORDS = public_tokenizers.path("word_bpe_49k.json")
+PIECES = (
+    "' s t re ve ll r e a É 1 ½ ! é 漢 😀 don't I'LL ́   Σ İ <|endoftext|> <| |>".split(" ")
+    + [" ", "  ", "\n", "\t", "\x00", "\x85"]
+)
+
+
+def odd_texts(n, seed=1):
+    rng = random.Random(seed)
+    return ["".join(rng.choices(PIECES, k=rng.randint(0, 30))) for _ in range(n)]
+
+
+#: Nulls, empty and blank texts, repeated rows, a repeated id, and columns named like results.
+ODD = [
+    (1, None, "en", "a"),
+    (2, "", "en", None),
+    (3, " \n\t ", None, "a"),
+    (4, "One two three four five six seven eight nine ten. " * 3, "en", "a"),
+    (4, "One two three four five six seven eight nine ten. " * 3, "en", "a"),
+    (5, "one two three four five six seven eight nine TEN. " * 3, "en", "b"),
+    (None, "One two three four five six seven eight nine ten. " * 3, "en", "b"),
+    (6, "x" * 30_000 + " y " * 5_000, "de", "b"),
+    (7, "12345 67890", "de", "b"),
+]
+
+
+@pytest.fixture
+def odd(spark):
+    schema = "doc_id bigint, text string, lang string, source string, n bigint, row string, n_tokens int"
+    return spark.createDataFrame([(*row, 9, "r", 8) for row in ODD], schema)
+
+
+@pytest.fixture
+def benchmark_items(spark):
+    return spark.createDataFrame(
+        [(1, "two three four five six seven"), (2, None), (None, "x"), (3, "")],
+        "item_id bigint, text string",
+    )
+
+
+def operators(spark, items):
+    return {
+        "bpe": lambda d: byte_bpe.digests(d, BPE),
+        "encode": lambda d: byte_bpe.encode(d, BPE),
+        "counts": lambda d: prefix_counts.count_tokens(d, WORDS),
+        "prefixes": lambda d: prefix_counts.prefix_counts(d, WORDS),
+        "decontaminate": lambda d: decontaminate.find_hits(spark, d, items),
+        "lines": line_dedup.digests,
+        "language": language.identify,
+        "quality": quality.judge,
+        "jaccard": jaccard_join.classes,
+        "tree": suffix_tree.score,
+    }
+
+
+@pytest.mark.parametrize("name", list(operators(None, None)))
+def test_odd_rows_and_empty_tables(spark, odd, benchmark_items, name):
+    run = operators(spark, benchmark_items)[name]
+    rows = run(odd).collect()
+    key = "id" if "id" in rows[0] else "doc_id"
+    expected = sorted(str(row[0]) for row in ODD)
+    assert sorted(str(row[key]) for row in rows) == expected
+    assert run(odd.limit(0)).collect() == []
+
+
+def test_stages_keep_columns(spark, odd, benchmark_items):
+    kept = odd.withColumnRenamed("n", "n_chars")
+    for stage in (
+        language.accepted,
+        line_dedup.dedup,
+        jaccard_join.distinct_documents,
+        lambda d: decontaminate.clean(spark, d, benchmark_items),
+    ):
+        kept = stage(kept)
+        assert kept.columns[:4] == odd.columns[:4] and set(kept.columns) >= {"n_chars", "row"}
+        assert "n_tokens" in kept.columns
+    kept.collect()
+
+
+def test_bpe_equals_the_library():
+    vocabulary = byte_bpe.vocabulary(BPE)
+    library = tiktoken.Encoding(
+        "own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=vocabulary.ranks, special_tokens={}
+    )
+    texts = [*odd_texts(3000), "x" * 5000 + " qzj" * 100]
+    ids, first = vocabulary.encode(texts)
+    for at, text in enumerate(texts):
+        found = ids[first[at] : first[at + 1]]
+        assert found.tolist() == library.encode_ordinary(text)
+        assert vocabulary.decode(found) == text.encode()
+
+
+def test_encode_and_decode(spark):
+    texts = odd_texts(50)
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    encoded = byte_bpe.encode(frame, BPE)
+    back = {row["doc_id"]: row["text"] for row in byte_bpe.decode(encoded, BPE).collect()}
+    assert back == dict(enumerate(texts))
+    assert all(
+        (row["ends"] or [0])[-1] == len(texts[row["doc_id"]].encode()) for row in encoded.collect()
+    )
+
+
+def test_prefix_counts_equal_the_library():
+    counter, library = prefix_counts.counter(WORDS), Tokenizer.from_file(WORDS)
+
+    def count(texts):
+        return [len(e.ids) for e in library.encode_batch(texts, add_special_tokens=False)]
+
+    texts = odd_texts(1500)
+    assert counter.counts(texts).tolist() == count(texts)
+    for text in texts[:150]:
+        shown, counts = counter.every_prefix(text)
+        assert counts == count([shown[:i] for i in range(len(shown) + 1)])
+
+
+def test_truncation(spark):
+    frame = spark.createDataFrame([(1, "some words of a longer text"), (2, "")], "doc_id int, text string")
+    rows = prefix_counts.truncate(prefix_counts.prefix_counts(frame, WORDS), 3).collect()
+    assert [(row["cut"].strip(), row["cut_tokens"]) for row in rows] == [("some words of", 3), ("", 0)]
+
+
+def test_automaton_equals_windows():
+    rng = random.Random(3)
+    for _ in range(200):
+        items = [(str(i), rng.choices([b"a", b"b", b"c"], k=rng.randint(1, 9))) for i in range(rng.randint(1, 5))]
+        words = rng.choices([b"a", b"b", b"c", b"d"], k=40)
+        windows = {}
+        for item, own in items:
+            n = min(4, len(own))
+            for k in range(len(own) - n + 1):
+                windows.setdefault(tuple(own[k : k + n]), set()).add(item)
+        hit, found = set(), set()
+        for n, k in itertools.product(range(1, 5), range(40)):
+            if tuple(words[k : k + n]) in windows and k + n <= 40:
+                found |= windows[tuple(words[k : k + n])]
+                hit.update(range(k, k + n))
+        part = pa.RecordBatch.from_pydict({"k": [1], "text": [b" ".join(words).decode()]})
+        _, spans, _, held = next(decontaminate.match(decontaminate.Automaton(items, 4), part))
+        assert held == sorted(found) and {x for a, b in spans for x in range(a, b)} == hit
+
+
+def test_blocks_of_items_give_the_same(spark, sf_dir):
+    documents, items = (spark.read.parquet(f"{sf_dir}/{n}.parquet") for n in ("documents", "benchmark"))
+    one, many = (
+        sorted(decontaminate.digests(decontaminate.find_hits(spark, documents, items, block_words=n)).collect())
+        for n in (decontaminate.BLOCK_WORDS, 500)
+    )
+    assert one == many and any(row["contaminated"] for row in one)
+    clean = decontaminate.clean(spark, documents, items)
+    assert not any(r["n_hit"] for r in decontaminate.digests(decontaminate.find_hits(spark, clean, items)).collect())
+
+
+def lower(text):
+    return re.sub("[A-Z]+", lambda m: m[0].lower(), text or "")
+
+
+def test_lines_equal_brute_force(spark, sf_dir):
+    documents = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    rows = sorted((row["doc_id"], row["text"]) for row in documents.collect())
+    owner, expected = {}, {}
+    for doc, text in rows:
+        for line in text.split("\n"):
+            owner.setdefault(lower(line.strip(" \t\n\x0b\x0c\r")), doc)
+    for doc, text in rows:
+        lines = text.split("\n")
+        keys = [lower(line.strip(" \t\n\x0b\x0c\r")) for line in lines]
+        stay = [a for a, k in zip(lines, keys, strict=True) if len(k) < 10 or owner[k] == doc]
+        digest = hashlib.sha256("\n".join(stay).encode()).hexdigest()
+        expected[doc] = (doc, len(lines), len(lines) - len(stay), digest)
+    assert {row[0]: tuple(row) for row in line_dedup.digests(documents).collect()} == expected
+
+
+def brute_components(rows):
+    sets = {}
+    for doc, text in rows:
+        words = re.findall(r"[^\x20\x09-\x0D]+", lower(text))
+        n = len(words)
+        sets[doc] = {tuple(words[i : i + 5]) for i in range(max(1, n - 4))} if n else set()
+    name = {doc: doc for doc in sets}
+
+    def root(x):
+        while name[x] != x:
+            x = name[x]
+        return x
+
+    for a, b in itertools.combinations(sorted(sets), 2):
+        both = len(sets[a] & sets[b])
+        if both and 100 * both >= 80 * len(sets[a] | sets[b]):
+            x, y = root(a), root(b)
+            name[max(x, y)] = min(x, y)
+    return {doc: (doc, len(s), root(doc)) for doc, s in sets.items()}
+
+
+@pytest.mark.parametrize("frequent", [jaccard_join.FREQUENT, (0.0, 1.0)])
+def test_components_equal_brute_force(spark, monkeypatch, frequent):
+    """With the second bound every shingle that occurs twice is frequent and is combined."""
+    monkeypatch.setattr(jaccard_join, "FREQUENT", frequent)
+    rng, rows = random.Random(5), []
+    for doc in range(160):
+        words = [f"w{i}" for i in range(rng.choice([60, 60, 30, 12, 7]))]
+        for _ in range(rng.choice([0, 1, 1, 2, 3])):
+            words[rng.randrange(len(words))] = f"x{rng.randrange(6)}"
+        rows.append((doc, " ".join(words)))
+    rows += [(1000, None), (1001, ""), (1002, "A b"), (1003, "a  B"), (1004, "a c")]
+    found = jaccard_join.classes(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert {row[0]: tuple(row) for row in found} == brute_components(rows)
+
+
+def test_components_of_a_path(spark):
+    edges = spark.createDataFrame([(i, i + 1) for i in range(20)] + [(30, 31), (31, 31)], "u bigint, v bigint")
+    found = {row["node"]: row["component"] for row in components(edges).collect()}
+    assert found == {i: 0 for i in range(21)} | {30: 30, 31: 30}
+
+
+def test_a_bad_host_goes_whole(spark):
+    rows = [(i, "bad", "too short") for i in range(40)] + [(99, "bad", "word " + " ".join(map(str, range(30))))]
+    rows += [(100 + i, f"good{i % 4}", " ".join(map(str, range(i, i + 30)))) for i in range(80)]
+    judged = quality.judge(spark.createDataFrame(rows, "doc_id bigint, source string, text string"))
+    kept = {row["doc_id"] for row in judged.collect() if row["kept"]}
+    assert kept == set(range(100, 180))
+
+
+@pytest.mark.parametrize("name", sorted(ORACLE))
+def test_query_equals_its_sql(spark, sf_dir, name):
+    connection = duckdb.connect()
+    for table in ("documents", "conversations"):
+        connection.sql(f"CREATE VIEW {table} AS SELECT * FROM '{sf_dir}/{table}.parquet'")
+    frame = QUERIES[name](spark, sf_dir)
+    result = connection.execute(ORACLE[name])
+    assert [c[0] for c in result.description] == frame.columns
+    assert sorted(map(tuple, frame.collect())) == sorted(result.fetchall())
+
+
+def test_rendered_examples(spark):
+    rows = [(1, 0, "system", "a <turn user>[INST]"), (1, 1, "user", None), (1, 2, "assistant", "b & c")]
+    rows += [(1, 3, "user", "d"), (1, 4, "assistant", ""), (2, 0, "user", "alone")]
+    turns = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
+    found = chat.render(chat.expand(chat.segments(turns))).sort("position").collect()
+    assert [chat.unescape(r["text"][r["target_begin"] : r["target_end"]]) for r in found] == ["b & c", ""]
+    assert found[1]["text"].startswith(found[0]["text"]) and found[0]["text"].count("<turn ") == 3
+
+
+def test_language_of_held_out_documents(spark, sf_dir):
+    documents = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    truth = {row["doc_id"]: row["lang"] for row in documents.collect()}
+    held = [r for r in language.identify(documents).collect() if r["held_out"]]
+    assert held and all(zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0 for r in held)
+    assert np.mean([r["lang_pred"] == truth[r["doc_id"]] for r in held]) > 0.95
+
+
+def test_tree_probabilities_sum_to_one(spark, sf_dir):
+    texts = spark.read.parquet(f"{sf_dir}/documents.parquet").select("text")
+    model = suffix_tree.build(suffix_tree.levels(suffix_tree.count(texts)))
+    for context in (b"\n\n\n\n\n\n", b"of the", b"\x00zqx\xff ", b" ering"):
+        code = int.from_bytes(context, "big") << 8
+        each = suffix_tree.log_probabilities(model, np.array([code + b for b in range(256)], np.uint64))
+        assert abs(np.sum(10**each) - 1) < 1e-3
+
+
+def test_extraction(spark, sf_dir):
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    trees = html_extract.fit(pages)
+    for row in html_extract.extract(pages, trees).join(pages.select("page_id", "html"), "page_id").collect():
+        article = re.search(r"<article>(.*?)</article>", row["html"], re.DOTALL)[1]
+        blocks = re.split(r"</?(?:p|h1)\b[^>]*>", re.sub(r"</?(?:b|a|i)>|<br>", "", article))
+        blocks = [" ".join(html.unescape(block).split()) for block in blocks]
+        assert row["text"] == "\n\n".join(block for block in blocks if block)
+    maker, right = Maker(["Alpha beta gamma, delta. " * 20, "Short text."], 99), []
+    for _ in range(100):
+        nodes, rows, parent = features(parse(maker.page()))
+        stays = html_extract.decode(html_extract.margins(trees, rows), parent)
+        wanted = html_extract.labels(nodes, parent)
+        right += [a == b for node, a, b in zip(nodes, stays, wanted, strict=True) if node.tag == TEXT]
+        assert all(stays[p] for s, p in zip(stays[1:], parent[1:], strict=True) if s)
+    assert np.mean(right) > 0.97
+    odd = [(1, None), (2, ""), (3, "<div"), (4, "<p>a<script>x</p>"), (5, "<!-- <p>a"), (6, "a < b &amp; c")]
+    odd = spark.createDataFrame([(i, "u", page) for i, page in odd], "page_id bigint, url string, html string")
+    assert html_extract.extract(odd, trees).count() == 6
+    assert html_extract.extract(odd.limit(0), trees).count() == 0
