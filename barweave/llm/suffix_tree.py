@@ -317,7 +317,7 @@ def score(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
                 at, held = _find(known.hashes, names)
                 logs, held_at = np.zeros(len(names)), at[held]
                 logs[held] = np.log10(known.counts[held_at] + 0.5) - base
-                sums = np.bincount(texts.word_doc, logs[which], n)
+                sums = np.bincount(texts.word_doc, logs[which], n).astype(float)
                 sums += np.log10(known.texts + 0.5) - base
                 seen = np.bincount(texts.word_doc, held[which], n).astype(np.int64)
                 seen += known.texts > 0
