@@ -6,15 +6,22 @@ from dataclasses import dataclass
 from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators import checks
 from ..operators.details import ticker_details
-from ..schemas import BARS, CUMULATIVE, DIM_PRICES, SPLITS, TICKER_DETAILS
+from ..schemas import BARS, CUMULATIVE, DIM_PRICES, SPLITS, TICKER_DETAILS, WINDOW_DAYS
+from ..sinks.folders import exists
 from ..sinks.tables import overwrite_partitions, publish_partition, read_staged, replace_table
 from ..sources.bars import read_daily_bars
 from ..sources.json_feeds import read_splits, read_ticker_documents
-from ..sources.tables import read_bucketed_partition, read_partition, read_table
-from .history import backfill_cumulative, daily_step
+from ..sources.tables import (
+    read_bucketed_partition,
+    read_partition,
+    read_partitions,
+    read_table,
+)
+from .history import backfill_cumulative, daily_step, late_splits, restate
 from .reference_prices import dim_prices
 
 
@@ -70,7 +77,10 @@ class Feeds:
 
 
 def start_history(tables: Tables, bars: DataFrame, splits: DataFrame, day: date) -> None:
-    """Publish the first partition, which every daily step needs the day before."""
+    """Publish the first partition, which every daily step needs the day before, and record the
+    splits it applied, so that none is taken for a late one."""
+    applied = splits.filter(F.to_date("execution_date") <= F.lit(day))
+    publish_partition(applied, tables.splits, SPLITS, day)
     arrays = backfill_cumulative(bars, splits, as_of=day)
     if tables.buckets:
         arrays = arrays.repartition(tables.buckets, "ticker")
@@ -84,8 +94,25 @@ def start_history(tables: Tables, bars: DataFrame, splits: DataFrame, day: date)
     )
 
 
+def _new_splits(spark: SparkSession, tables: Tables, feeds: Feeds, day: date) -> DataFrame:
+    """The splits of ``day``, and those executed up to a year before that no earlier day applied.
+
+    Every day records what it applied in its partition of the split table. A day that is run
+    again compares with the days before it only, so it finds the same late splits again.
+    """
+    eve, first = day - timedelta(days=1), day - timedelta(days=WINDOW_DAYS)
+    if not exists(spark, f"{tables.splits}/as_of_date={eve.isoformat()}"):
+        raise ValueError(f"no record of the splits applied up to {eve}: start or load that day")
+    feed = read_splits(spark, feeds.splits, first, day, multi_line=not feeds.split_lines)
+    applied = read_partitions(spark, tables.splits, SPLITS, first, eve)
+    on_day = F.to_date("execution_date") == F.lit(day)
+    late = late_splits(feed.filter(~on_day), applied)
+    return feed.filter(on_day).unionByName(late)
+
+
 def run_day(spark: SparkSession, tables: Tables, feeds: Feeds, day: date) -> None:
-    """Load one day. Any failed check leaves that table's published partition as it was."""
+    """Load one day; late splits restate the arrays before the day's own step. Any failed check
+    leaves that table's published partition as it was."""
     bars = read_daily_bars(spark, feeds.bars, day)
     replace_table(
         bars, tables.staged_bars, BARS, partition_by=["snapshot_date"], sort_by=["ticker"]
@@ -95,15 +122,22 @@ def run_day(spark: SparkSession, tables: Tables, feeds: Feeds, day: date) -> Non
         checks.check_bars(staged), checks.check_day(staged, day), checks.check_unique(staged)
     )
 
-    splits = read_splits(spark, feeds.splits, day, day, multi_line=not feeds.split_lines)
     publish_partition(
-        splits, tables.splits, SPLITS, day, checks=lambda rows: [checks.check_splits(rows)]
+        _new_splits(spark, tables, feeds, day),
+        tables.splits,
+        SPLITS,
+        day,
+        checks=lambda rows: [checks.check_splits(rows)],
     )
 
     before = tables.arrays_of(spark, day - timedelta(days=1))
     published = read_partition(spark, tables.splits, SPLITS, day)
+    is_late = F.to_date("execution_date") < F.lit(day)
+    late = published.filter(is_late)
+    # Most days have none, and then the arrays need no further join.
+    restated = before if late.isEmpty() else restate(before, late)
     publish_partition(
-        daily_step(before, staged, published, day),
+        daily_step(restated, staged, published.filter(~is_late), day),
         tables.cumulative,
         CUMULATIVE,
         day,

@@ -129,10 +129,35 @@ def daily_step(
     )
 
 
+def _per_day(splits: DataFrame) -> DataFrame:
+    return splits.groupBy("ticker", "execution_date").agg(
+        F.product("split_from").alias("split_from"),
+        F.product("split_to").alias("split_to"),
+        F.max("as_of_date").alias("as_of_date"),
+    )
+
+
 def late_splits(splits: DataFrame, applied: DataFrame) -> DataFrame:
-    """Splits not yet applied, identified by ticker and execution date."""
+    """What is left to apply of ``splits``, one row per ticker and execution date.
+
+    A split missing from ``applied`` is left as a whole. Where the ratios of a day differ, because
+    one was corrected or a second one came, their quotient is left, so that the rows of
+    ``applied`` and the new one multiply to the feed's. A split that the feed no longer has stays.
+    """
     keys = ["ticker", "execution_date"]
-    return splits.join(applied.select(*keys), keys, "left_anti")
+    known = _per_day(applied).select(
+        *keys, F.col("split_from").alias("known_from"), F.col("split_to").alias("known_to")
+    )
+    one = F.lit(1.0)
+    left = _per_day(splits).join(known, keys, "left").select(
+        "execution_date",
+        (F.col("split_from") * F.coalesce("known_to", one)).alias("split_from"),
+        (F.col("split_to") * F.coalesce("known_from", one)).alias("split_to"),
+        "ticker",
+        "as_of_date",
+    )
+    # The same factors in another order may differ in their last bits.
+    return left.filter(F.abs(F.col("split_from") - F.col("split_to")) > 1e-9 * F.col("split_to"))
 
 
 def apply_late_splits(cumulative: DataFrame, splits: DataFrame, applied: DataFrame) -> DataFrame:
@@ -141,11 +166,13 @@ def apply_late_splits(cumulative: DataFrame, splits: DataFrame, applied: DataFra
     Only elements older than a split's execution date change, and only for splits missing from
     ``applied``; record ``late_splits`` there afterwards and a second run changes nothing.
     """
-    per_day = (
-        late_splits(splits, applied)
-        .groupBy("ticker", F.to_date("execution_date").alias("execution_date"))
-        .agg(F.product("split_from").alias("split_from"), F.product("split_to").alias("split_to"))
-    )
+    return restate(cumulative, late_splits(splits, applied))
+
+
+def restate(cumulative: DataFrame, late: DataFrame) -> DataFrame:
+    """Stored history with the rows of ``late_splits`` applied. One left join by ticker, with one
+    row per ticker on both sides."""
+    per_day = _per_day(late).withColumn("execution_date", F.to_date("execution_date"))
     pending = per_day.groupBy("ticker").agg(
         F.sort_array(
             F.collect_list(F.struct("execution_date", "split_from", "split_to"))

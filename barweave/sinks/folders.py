@@ -17,6 +17,12 @@ def exists(spark: SparkSession, location: str) -> bool:
     return files.exists(path)
 
 
+def modified(spark: SparkSession, location: str) -> int | None:
+    """When it last changed, in milliseconds; None if it does not exist."""
+    path, files = _path(spark, location)
+    return files.getFileStatus(path).getModificationTime() if files.exists(path) else None
+
+
 def delete(spark: SparkSession, location: str) -> None:
     path, files = _path(spark, location)
     files.delete(path, True)

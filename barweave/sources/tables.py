@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..schemas import METRICS, without
-from ..sinks.folders import exists
+from ..sinks.folders import children, exists
 
 
 def read_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
@@ -31,6 +31,39 @@ def read_partition(
     return rows.withColumn(column, F.lit(day).cast("date")).select(*schema.fieldNames())
 
 
+def _dates(spark: SparkSession, path: str, column: str) -> list[date]:
+    """The table's date partitions, from one listing of its folder's names."""
+    prefix = f"{column}="
+    names = [name for name in children(spark, path) if name.startswith(prefix)]
+    return sorted(date.fromisoformat(name.removeprefix(prefix)) for name in names)
+
+
+def read_newest_partition(
+    spark: SparkSession, path: str, schema: StructType, column: str = "as_of_date"
+) -> DataFrame:
+    """The partition of the newest date; no other is listed or read."""
+    days = _dates(spark, path, column)
+    if not days:
+        raise ValueError(f"{path} has no partition")
+    return read_partition(spark, path, schema, days[-1], column)
+
+
+def read_partitions(
+    spark: SparkSession,
+    path: str,
+    schema: StructType,
+    first: date,
+    last: date,
+    column: str = "as_of_date",
+) -> DataFrame:
+    """The partitions from ``first`` to ``last``; no other is listed or read."""
+    days = [day for day in _dates(spark, path, column) if first <= day <= last]
+    if not days:
+        return spark.createDataFrame([], schema)
+    paths = [f"{path}/{column}={day.isoformat()}" for day in days]
+    return spark.read.schema(schema).option("basePath", path).parquet(*paths)
+
+
 def read_bucketed_partition(
     spark: SparkSession,
     path: str,

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from datetime import date
+import json
+from datetime import date, timedelta
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
@@ -13,42 +15,73 @@ from ..plans.reference_prices import init_current_day
 from ..schemas import CURRENT_DAY, DIM_PRICES, TICKER_DETAILS
 from ..sinks import folders
 from ..sinks.tables import conform
-from ..sources.tables import read_partition, read_table
+from ..sources.tables import read_newest_partition, read_partition
 
 _VERSION = "v="
 
 
-def _versions(spark: SparkSession, table: str) -> list[int]:
-    names = folders.children(spark, table)
-    numbers = [int(name.removeprefix(_VERSION)) for name in names if name.startswith(_VERSION)]
-    return sorted(
-        number
-        for number in numbers
-        if folders.exists(spark, f"{table}/{_VERSION}{number}/_SUCCESS")
-    )
+class _Version(NamedTuple):
+    """A complete version: its place in the order, who wrote it, when, and its folder's name."""
 
+    number: int
+    writer: str
+    written: int
+    name: str
 
-def _write_version(frame: DataFrame, table: str, version: int) -> None:
-    conform(frame, CURRENT_DAY).write.mode("overwrite").parquet(f"{table}/{_VERSION}{version}")
+
+def _versions(spark: SparkSession, table: str) -> list[_Version]:
+    found = []
+    for name in folders.children(spark, table):
+        if not name.startswith(_VERSION):
+            continue
+        written = folders.modified(spark, f"{table}/{name}/_SUCCESS")
+        if written is not None:
+            number, _, writer = name.removeprefix(_VERSION).partition("_")
+            found.append(_Version(int(number), writer, written, name))
+    if not found:
+        raise ValueError(f"{table} has no version: start the day first")
+    return sorted(found)
+
+
+def _read_version(spark: SparkSession, table: str, version: _Version) -> DataFrame:
+    return spark.read.schema(CURRENT_DAY).parquet(f"{table}/{version.name}")
+
+
+def _write_version(frame: DataFrame, table: str, number: int, writer: str) -> None:
+    folder = f"{table}/{_VERSION}{number}_{writer}"
+    conform(frame, CURRENT_DAY).write.mode("overwrite").parquet(folder)
 
 
 def initialise(current: DataFrame, table: str) -> None:
     """Start the day: drop the versions of the day before and write the first."""
     folders.delete(current.sparkSession, table)
-    _write_version(current, table, -1)
+    _write_version(current, table, 0, "start")
 
 
 def start_day(spark: SparkSession, tables: Tables, day: date) -> None:
     """Start from the reference prices of ``day`` and the newest instrument details."""
     prices = read_partition(spark, tables.prices, DIM_PRICES, day)
-    details = read_table(spark, tables.details, TICKER_DETAILS)
+    details = read_newest_partition(spark, tables.details, TICKER_DETAILS)
     initialise(init_current_day(prices, details, day), tables.current)
 
 
 def read_current(spark: SparkSession, table: str) -> DataFrame:
     """The newest complete version."""
-    newest = _versions(spark, table)[-1]
-    return spark.read.schema(CURRENT_DAY).parquet(f"{table}/{_VERSION}{newest}")
+    return _read_version(spark, table, _versions(spark, table)[-1])
+
+
+def _stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that a stream is given with its checkpoint, and keeps when it is restarted."""
+    return json.loads(spark.read.text(f"{checkpoint}/metadata").first()["value"])["id"]
+
+
+def _forget(spark: SparkSession, table: str, keep_for: timedelta) -> None:
+    """Delete the versions that were replaced at least ``keep_for`` before the newest was written.
+    Only the storage's times are compared."""
+    versions = _versions(spark, table)
+    for old, successor in zip(versions, versions[1:], strict=False):
+        if timedelta(milliseconds=versions[-1].written - successor.written) >= keep_for:
+            folders.delete(spark, f"{table}/{old.name}")
 
 
 def start_updates(
@@ -57,26 +90,28 @@ def start_updates(
     checkpoint: str,
     last_write_wins: bool = False,
     interval: str | None = None,
-    keep_versions: int = 2,
+    keep_for: timedelta = timedelta(hours=1),
 ) -> StreamingQuery:
     """Merge every micro-batch into ``table``. Without ``interval`` the available input is
     processed and the query ends; with it, the query polls until stopped.
 
-    Batch ``n`` reads the version before it and writes version ``n`` to its own folder, so a
-    batch repeated after a failure writes the same result again, and a half-written version
-    (no success marker) is never read.
+    A batch reads the newest version and writes the next to its own folder, named after the
+    stream and the batch: a batch repeated after a failure is recognised, one of another stream
+    (a new checkpoint over an old table) is never taken for it, and a half-written version (no
+    success marker) is never read. A replaced version stays for ``keep_for``, for those who are
+    still reading it. One stream at a time may update a table.
     """
 
     def merge(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         versions = _versions(spark, table)
-        before = [number for number in versions if number < batch_id]
-        if batch_id in versions:
+        writer = f"{_stream_id(spark, checkpoint)}_{batch_id}"
+        if any(version.writer == writer for version in versions):
             return
-        current = spark.read.schema(CURRENT_DAY).parquet(f"{table}/{_VERSION}{before[-1]}")
-        _write_version(apply_quotes(current, batch, last_write_wins), table, batch_id)
-        for number in before[: len(before) + 1 - keep_versions]:
-            folders.delete(spark, f"{table}/{_VERSION}{number}")
+        current = _read_version(spark, table, versions[-1])
+        updated = apply_quotes(current, batch, last_write_wins)
+        _write_version(updated, table, versions[-1].number + 1, writer)
+        _forget(spark, table, keep_for)
 
     writer = quotes.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
     if interval:

@@ -47,6 +47,56 @@ def load(request, spark, tmp_path, make_bars, make_splits):
     return tables, feeds
 
 
+def page(root, name, *splits):
+    results = [
+        {"ticker": t, "execution_date": str(on), "split_from": a, "split_to": b}
+        for t, on, a, b in splits
+    ]
+    (root / f"splits/{name}.json").write_text(json.dumps({"status": "OK", "results": results}))
+
+
+def test_a_late_split_is_applied_once_and_recorded(spark, tmp_path, load):
+    tables, feeds = load
+    write_day(tmp_path, at(1), close=10.0)
+    run_days(spark, tables, feeds, at(1), at(1))
+    page(tmp_path, "late", ("T000", EVE, 1, 2), ("T001", at(1), 1, 5))
+    write_day(tmp_path, at(2), close=12.0, splits=[("T002", 1, 4)])
+    for _ in range(2):  # running the day again changes nothing
+        run_day(spark, tables, feeds, at(2))
+    arrays = closes(tables.arrays_of(spark, at(2)))
+    # Bars on the day of a split, and after it, are in its terms already.
+    assert arrays["T000"] == [(str(at(2)), 12.0), (str(at(1)), 10.0), (str(EVE), 10.0)]
+    assert arrays["T001"] == [(str(at(2)), 12.0), (str(at(1)), 10.0), (str(EVE), 2.0)]
+    assert arrays["T002"] == [(str(at(2)), 12.0), (str(at(1)), 2.5), (str(EVE), 2.5)]
+    run_days(spark, tables, feeds, at(3), at(4))
+    assert closes(tables.arrays_of(spark, at(4))) == arrays
+    recorded = read_table(spark, tables.splits, SPLITS).collect()
+    found = sorted((r["ticker"], r["execution_date"], r["as_of_date"]) for r in recorded)
+    assert found == [
+        ("T000", str(EVE), at(2)), ("T001", str(at(1)), at(2)), ("T002", str(at(2)), at(2))
+    ]
+
+
+def test_a_split_of_the_backfill_is_not_late(spark, tmp_path, make_bars, make_splits):
+    tables = Tables(str(tmp_path / "tables"))
+    feeds = Feeds(str(tmp_path / "bars"), str(tmp_path / "splits"))
+    bars = make_bars(*[(t, str(on), 10.0) for t in TICKERS for on in (at(-1), EVE)])
+    start_history(tables, bars, make_splits(("T000", str(EVE), 1, 2)), EVE)
+    write_day(tmp_path, at(1), close=10.0)
+    page(tmp_path, "all", ("T000", EVE, 1, 2))
+    run_days(spark, tables, feeds, at(1), at(1))
+    arrays = closes(tables.arrays_of(spark, at(1)))
+    assert arrays["T000"] == [(str(at(1)), 10.0), (str(EVE), 10.0), (str(at(-1)), 5.0)]
+
+
+def test_a_day_without_a_record_of_splits_is_refused(spark, tmp_path):
+    tables = Tables(str(tmp_path / "tables"))
+    feeds = Feeds(str(tmp_path / "bars"), str(tmp_path / "splits"))
+    write_day(tmp_path, at(1))
+    with pytest.raises(ValueError, match="no record"):
+        run_day(spark, tables, feeds, at(1))
+
+
 def test_catch_up_over_a_weekend(spark, tmp_path, load):
     tables, feeds = load
     write_day(tmp_path, at(1), close=10.0)

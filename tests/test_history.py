@@ -157,6 +157,23 @@ def test_late_split_is_applied_exactly_once(spark, make_arrays, make_splits):
     assert closes(apply_late_splits(fixed, feed, applied)) == closes(fixed)
 
 
+def test_a_corrected_ratio_is_applied_once(spark, make_arrays, make_splits):
+    stored = make_arrays(("A", "2024-06-27", [("2024-06-27", 3.0), ("2024-06-25", 6.0)]))
+    applied = make_splits(("A", "2024-06-26", 1, 2))
+    feed = make_splits(("A", "2024-06-26", 1, 3))
+    fixed = apply_late_splits(stored, feed, applied)
+    assert closes(fixed) == {"A": [("2024-06-27", 3.0), ("2024-06-25", 4.0)]}
+    applied = applied.unionByName(late_splits(feed, applied))
+    assert late_splits(feed, applied).isEmpty()
+
+
+def test_a_second_split_of_a_day_is_not_ignored(spark, make_arrays, make_splits):
+    stored = make_arrays(("A", "2024-06-27", [("2024-06-25", 6.0)]))
+    applied = make_splits(("A", "2024-06-26", 1, 2))
+    feed = make_splits(("A", "2024-06-26", 1, 2), ("A", "2024-06-26", 1, 3))
+    assert closes(apply_late_splits(stored, feed, applied)) == {"A": [("2024-06-25", 2.0)]}
+
+
 def test_last_close_on_a_holiday(spark, make_arrays):
     arrays = make_arrays(("A", "2000-07-04", [("2000-07-03", 7.0), ("2000-06-30", 5.0)]))
     holiday = day("2000-07-04")  # a Tuesday without bars

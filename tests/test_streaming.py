@@ -1,5 +1,6 @@
 import json
 import os
+from datetime import timedelta
 
 import pytest
 
@@ -50,7 +51,43 @@ def test_any_split_into_batches_gives_the_same_table(spark, tmp_path, current, p
     run(spark, tmp_path)
     at_once = apply_quotes(current, read_quotes(spark, f"{tmp_path}/quotes", multi_line=False))
     assert rows(read_current(spark, f"{tmp_path}/current")) == rows(at_once)
-    assert len([n for n in os.listdir(f"{tmp_path}/current") if n.startswith("v=")]) <= 2
+    assert len(os.listdir(f"{tmp_path}/current")) == parts + 1
+
+
+def test_replaced_versions_go_after_their_time(spark, tmp_path, current):
+    write_pages(f"{tmp_path}/quotes", 3)
+    initialise(current, f"{tmp_path}/current")
+    run(spark, tmp_path, keep_for=timedelta(0))
+    assert len(os.listdir(f"{tmp_path}/current")) == 1
+
+
+def test_a_reader_of_the_first_version_outlives_five_batches(spark, tmp_path, current):
+    write_pages(f"{tmp_path}/quotes", 5)
+    initialise(current, f"{tmp_path}/current")
+    reader = read_current(spark, f"{tmp_path}/current")
+    run(spark, tmp_path)
+    assert rows(reader) == rows(current)
+
+
+def test_a_new_checkpoint_over_an_old_table_skips_no_batch(spark, tmp_path, current):
+    table = f"{tmp_path}/current"
+    initialise(current, table)
+    write_pages(f"{tmp_path}/quotes", 1)
+    run(spark, tmp_path)
+    page = {"bars": {"T0": {"c": 70, "t": "2024-06-26T16:00:00Z"}}}
+    os.makedirs(f"{tmp_path}/more")
+    with open(f"{tmp_path}/more/page.json", "w") as file:
+        file.write(json.dumps(page))
+    for _ in range(2):
+        feed = stream_quotes(spark, f"{tmp_path}/more", multi_line=False)
+        start_updates(feed, table, f"{tmp_path}/other").awaitTermination(120)
+        assert rows(read_current(spark, table))[0]["current_price"] == 70.0
+    assert len(os.listdir(table)) == 3
+
+
+def test_a_table_without_a_version_is_an_error(spark, tmp_path):
+    with pytest.raises(ValueError, match="start the day"):
+        read_current(spark, f"{tmp_path}/nothing")
 
 
 def test_restart_continues_after_the_last_batch(spark, tmp_path, current):
@@ -66,8 +103,8 @@ def test_a_half_written_version_is_not_read_and_is_written_again(spark, tmp_path
     table = f"{tmp_path}/current"
     initialise(current, table)
     write_pages(f"{tmp_path}/quotes", 1)
-    os.makedirs(f"{table}/v=0")
-    with open(f"{table}/v=0/part-0.parquet", "w") as file:
+    os.makedirs(f"{table}/v=1_torn_0")
+    with open(f"{table}/v=1_torn_0/part-0.parquet", "w") as file:
         file.write("torn")
     assert len(rows(read_current(spark, table))) == 12
     run(spark, tmp_path)
