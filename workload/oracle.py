@@ -348,18 +348,23 @@ day{i}_tickers AS (SELECT ticker FROM {"eve" if i == 0 else f"day{i - 1}"}_ticke
     select="SELECT * FROM prices0 UNION ALL SELECT * FROM prices1 UNION ALL SELECT * FROM prices2",
 )
 
-LATE = f"""
+
+def _late(base: str) -> str:
+    """CTEs for the bars of ``base`` with the splits of 2000 applied on top."""
+    return f"""
 late AS (SELECT * FROM splits WHERE execution_date > '{LATE_FROM}' AND execution_date <= '{EVE}'),
 late_ratio AS (
   SELECT b.ticker, b.snapshot_date, product(l.split_from) AS split_from,
     product(l.split_to) AS split_to
-  FROM eve b JOIN late l ON b.ticker = l.ticker AND b.snapshot_date < CAST(l.execution_date AS DATE)
+  FROM {base} b JOIN late l ON b.ticker = l.ticker AND b.snapshot_date < CAST(l.execution_date AS DATE)
   GROUP BY b.ticker, b.snapshot_date),
 fixed AS (
   SELECT ticker, {_adjusted("coalesce(split_from, 1)", "coalesce(split_to, 1)")}, transactions,
     snapshot_date
-  FROM eve LEFT JOIN late_ratio USING (ticker, snapshot_date))"""
+  FROM {base} LEFT JOIN late_ratio USING (ticker, snapshot_date))"""
 
+
+_late_start = _history("eve", f"DATE '{EVE}'", LATE_FROM)
 _merged = _with(*TO_MERGED, select="SELECT * FROM merged")
 _ratio = ("coalesce(f.split_from, 1)", "coalesce(f.split_to, 1)")
 _all_adjusted = f"""
@@ -511,7 +516,7 @@ kept_tickers AS (
     ),
     "cumulative_daily": _with(*_eve_flat, DAY_STEP, DAY_TICKERS, select=_today_flat),
     "late_split_fix": _with(
-        BARS, SPLITS, _history("eve", f"DATE '{EVE}'", LATE_FROM), LATE,
+        BARS, SPLITS, _late_start, _late("eve"),
         select=_flat("fixed", f"DATE '{EVE}'", "eve_tickers"),
     ),
     "dim_daily_prices": _with(*TO_PRICES, select="SELECT * FROM prices"),
@@ -597,5 +602,13 @@ FROM bars WHERE window_start < 0""",
     ),
     "catchup_three_days": CATCH_UP,
     "catchup_three_days_bucketed": CATCH_UP,
+    "catchup_late_split": _with(
+        BARS, SPLITS, DAY_SPLITS, FEED, _late_start, _step("day0", "eve", "feed", _days[0]),
+        _late("day0"), _step("day1", "fixed", "feed", _days[1]),
+        """
+all_tickers AS (SELECT ticker FROM eve_tickers UNION SELECT ticker FROM day0
+  UNION SELECT ticker FROM day1)""",
+        select=_flat("day1", f"DATE '{_days[1]}'", "all_tickers"),
+    ),
     "stream_current_day": _merged,
 }

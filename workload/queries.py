@@ -560,6 +560,25 @@ def _catch_up(buckets: int | None) -> Query:
     return run
 
 
+def catchup_late_split(spark, sf_dir):
+    """The splits of 2000 land only after the first day was run; the second applies them."""
+    root = work_dir(spark, "late-split")
+    bars, splits = views.bars(spark, sf_dir), views.splits(spark, sf_dir)
+    days = [DAY, DAY + timedelta(days=1)]
+    landing.land_days(bars, f"{root}/bars", days)
+    executed = F.col("execution_date")
+    is_late = (executed > LATE_FROM.isoformat()) & (executed <= EVE.isoformat())
+    in_time = splits.filter(~is_late).unionByName(views.day_splits(spark, sf_dir))
+    landing.land_splits(in_time, f"{root}/splits/in-time")
+    feeds = Feeds(f"{root}/bars", f"{root}/splits/*", split_lines=True)
+    tables = Tables(f"{root}/tables")
+    start_history(tables, bars, _known_splits(spark, sf_dir, LATE_FROM), EVE)
+    run_days(spark, tables, feeds, days[0], days[0])
+    landing.land_splits(splits.filter(is_late), f"{root}/splits/late")
+    run_days(spark, tables, feeds, days[1], days[1])
+    return _flat(tables.arrays_of(spark, days[1]))
+
+
 def stream_current_day(spark, sf_dir):
     """Quote files arrive a few at a time; the table ends as if all had come at once."""
     root = work_dir(spark, "stream")
@@ -628,5 +647,6 @@ QUERIES: dict[str, Query] = {
     "dq_empty_passes": dq_empty_passes,
     "catchup_three_days": _catch_up(buckets=None),
     "catchup_three_days_bucketed": _catch_up(buckets=8),
+    "catchup_late_split": catchup_late_split,
     "stream_current_day": stream_current_day,
 }
