@@ -7,8 +7,8 @@ from datetime import date, timedelta
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.arrays import adjust_bar, bar_row, keep_after, prepend
-from ..operators.bars import max_date, one_bar_per_day, price_arrays, valid_bars
+from ..functions.arrays import adjust_bar, bar_row, keep_after, newest_first, prepend
+from ..operators.bars import max_date, one_bar_per_day, valid_bars
 from ..operators.splits import combined_ratio, factor_as_of, split_history
 from ..schemas import WINDOW_DAYS
 
@@ -121,7 +121,9 @@ def daily_step(
     day_bars = bars.filter(F.col("snapshot_date") == today)
     if valid_only:
         day_bars = valid_bars(day_bars)
-    newer = price_arrays(day_bars, "ticker").withColumnRenamed("price_array", "newer")
+    # The greatest of duplicate bars, combined before the shuffle: an array has one element.
+    greatest = day_bars.groupBy("ticker").agg(F.max(bar_row()).alias("bar"))
+    newer = greatest.select("ticker", newest_first(F.array("bar")).alias("newer"))
     return older.join(newer, "ticker", "full_outer").select(
         "ticker",
         prepend(F.col("newer"), F.col("older")).alias("price_array"),
@@ -156,8 +158,10 @@ def late_splits(splits: DataFrame, applied: DataFrame) -> DataFrame:
         "ticker",
         "as_of_date",
     )
-    # The same factors in another order may differ in their last bits.
-    return left.filter(F.abs(F.col("split_from") - F.col("split_to")) > 1e-9 * F.col("split_to"))
+    # The same factors in another order may differ in their last bits. A ratio without a value is
+    # left too, so that the checks see it.
+    differs = F.abs(F.col("split_from") - F.col("split_to")) > 1e-9 * F.col("split_to")
+    return left.filter(F.coalesce(differs, F.lit(True)))
 
 
 def apply_late_splits(cumulative: DataFrame, splits: DataFrame, applied: DataFrame) -> DataFrame:

@@ -157,6 +157,13 @@ def test_late_split_is_applied_exactly_once(spark, make_arrays, make_splits):
     assert closes(apply_late_splits(fixed, feed, applied)) == closes(fixed)
 
 
+def test_duplicate_bars_of_the_day_leave_one(spark, make_arrays, make_bars, make_splits):
+    before = make_arrays(("A", "2000-01-03", [("2000-01-03", 5.0)]))
+    today = make_bars(*[("A", "2000-01-04", float(c)) for c in range(1, 30)])
+    result = closes(daily_step(before, today, make_splits(), day("2000-01-04")))
+    assert result == {"A": [("2000-01-04", 29.0), ("2000-01-03", 5.0)]}
+
+
 def test_a_corrected_ratio_is_applied_once(spark, make_arrays, make_splits):
     stored = make_arrays(("A", "2024-06-27", [("2024-06-27", 3.0), ("2024-06-25", 6.0)]))
     applied = make_splits(("A", "2024-06-26", 1, 2))
@@ -167,6 +174,11 @@ def test_a_corrected_ratio_is_applied_once(spark, make_arrays, make_splits):
     assert late_splits(feed, applied).isEmpty()
 
 
+def test_a_late_split_without_a_ratio_reaches_the_checks(spark, make_splits):
+    feed = make_splits(("A", "2024-06-26", 1, 2)).withColumn("split_to", F.lit(None).cast("double"))
+    assert late_splits(feed, make_splits()).count() == 1
+
+
 def test_a_second_split_of_a_day_is_not_ignored(spark, make_arrays, make_splits):
     stored = make_arrays(("A", "2024-06-27", [("2024-06-25", 6.0)]))
     applied = make_splits(("A", "2024-06-26", 1, 2))
