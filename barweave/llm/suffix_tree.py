@@ -8,17 +8,20 @@ context's distribution is smoothed with that of its suffix; a byte is scored in
 suffix of what precedes it.
 
 All training texts are counted, in tasks; the counts of each depth are summed, tested and smoothed
-as tables. What is kept is bounded (``ENTRIES``) and held by every task that scores.
+as tables. All that passes the test is kept. Tasks that score hold a bounded block of it
+(``ENTRIES``): the contexts are ordered by their bytes, nearest byte first, and cut into ranges. A
+range's block also has the contexts that are suffixes of some in the range, so it scores all places
+whose context is in the range by itself, and there is one pass over the texts for each block.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -26,9 +29,10 @@ from barweave.llm.batches import LOWER, WORD, chunks, joined, ragged, span_hashe
 from barweave.llm.scratch import checkpointed
 
 DEPTH = 6
-#: Symbols with their own probability in kept contexts: 12 bytes each where the model is held. The
-#: divergence asked for is raised until the model fits.
+#: Symbols of kept contexts in a block, about: 16 bytes each where it is held. More make more blocks.
 ENTRIES = 1_000_000
+#: Contexts are numbered below this, by their bytes, nearest first.
+PLACES = 1 << 8 * DEPTH
 #: Words whose counts every task holds; the others' counts are joined.
 HELD_WORDS = 1 << 18
 #: The end symbol; it cannot be part of a word.
@@ -188,40 +192,61 @@ class Model(NamedTuple):
     unseen: float
 
 
-def build(tables: list[DataFrame], entries: int = ENTRIES) -> Model:
-    """The kept contexts, at most ``entries`` symbols in all: where more pass the test, those of
-    highest divergence."""
-    strength = F.floor(F.log2("gain") * 4).alias("strength")
-    sizes: dict[int, int] = {}
-    for table in tables[1:]:
-        for row in table.where("gain > 1").groupBy(strength).count().collect():
-            sizes[row["strength"]] = sizes.get(row["strength"], 0) + row["count"]
-    room, least = entries - 256, max(sizes, default=0) + 1
-    while sizes.get(least - 1, 0) <= room and least > 0:
-        least -= 1
-        room -= sizes.get(least, 0)
-    kept_entries, kept_contexts = [], []
-    total = 0
+def _kept(tables: list[DataFrame]) -> DataFrame:
+    """(depth, key, p, rest, low, high): the symbols of the contexts that the smoothing kept, with
+    the log10 of their probability and of the weight left to the suffix, and the range of places
+    that end in the context."""
+    parts = []
     for depth, table in enumerate(tables):
-        if depth == 0:
-            total = table.agg(F.coalesce(F.max("total"), F.lit(0))).first()[0]
-            kept = table
-        else:
-            kept = table.where((F.col("gain") > 1) & (strength >= least))
-        kept_entries.append(_sorted(kept.select("key", F.log10("p").cast("float"))))
         weight = (F.col("kinds") + 1) / 2
-        left = F.log10(weight / (F.col("total") + weight)).cast("float")
-        context = F.shiftright("key", 8)
-        kept_contexts.append(_sorted(kept.groupBy(context).agg(F.first(left))))
-    return Model(kept_entries, kept_contexts, float(np.log10(0.5 / (total + 128.0))))
+        low = F.lit(0).cast("bigint")
+        for back in range(depth):
+            byte = F.shiftright("key", 8 * (back + 1)).bitwiseAND(F.lit(255))
+            low += F.shiftleft(byte, 8 * (DEPTH - 1 - back))
+        kept = table.where("gain > 1").select(
+            F.lit(depth).alias("depth"),
+            "key",
+            F.log10("p").cast("float").alias("p"),
+            F.log10(weight / (F.col("total") + weight)).cast("float").alias("rest"),
+            low.alias("low"),
+            (low + F.lit(1 << 8 * (DEPTH - depth))).alias("high"),
+        )
+        parts.append(kept)
+    return reduce(DataFrame.unionByName, parts)
+
 
+def places(wanted: np.ndarray) -> np.ndarray:
+    """The number of each key's context."""
+    return (wanted >> np.uint64(8)).byteswap() >> np.uint64(64 - 8 * DEPTH)
 
-def _sorted(frame: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """A bounded frame of (key, value) as two arrays, by key."""
-    table = frame.toArrow()
-    found, values = (column.to_numpy() for column in table.columns)
-    order = np.argsort(found)
-    return found[order].view(np.uint64), values[order]
+
+def ranges(tables: list[DataFrame], entries: int = ENTRIES) -> list[tuple[int, int]]:
+    """Ranges of places, all of them together, whose blocks hold about ``entries`` symbols."""
+    kept = _kept(tables)
+    blocks = max(1, -(-kept.count() // entries))
+    cuts: list[int] = []
+    if blocks > 1:
+        shares = [number / blocks for number in range(1, blocks)]
+        cuts = kept.agg(F.percentile_approx("low", shares, 32 * blocks)).first()[0]
+    edges = sorted({0, PLACES, *cuts})
+    return list(zip(edges, edges[1:], strict=False))
+
+
+def build(tables: list[DataFrame], low: int = 0, high: int = PLACES) -> Model:
+    """All kept contexts that a place from ``low`` to ``high`` can end in."""
+    block = _kept(tables).where((F.col("low") < high) & (F.col("high") > low))
+    table = block.select("depth", "key", "p", "rest").toArrow()
+    depths, found, p, rest = (column.to_numpy() for column in table.columns)
+    kept_entries, kept_contexts = [], []
+    for depth in range(DEPTH + 1):
+        at = np.flatnonzero(depths == depth)
+        at = at[np.argsort(found[at])]
+        own = found[at].view(np.uint64)
+        contexts, first = np.unique(own >> np.uint64(8), return_index=True)
+        kept_entries.append((own, p[at]))
+        kept_contexts.append((contexts, rest[at][first]))
+    total = tables[0].agg(F.coalesce(F.max("total"), F.lit(0))).first()[0]
+    return Model(kept_entries, kept_contexts, float(np.log10(0.5 / (total + 128.0))))
 
 
 def _find(table: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -288,54 +313,67 @@ def held_words(counted: DataFrame) -> tuple[Words, DataFrame]:
     return found, words.where(F.col("count") < F.lit(1 << least))
 
 
-def score(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def score(
+    df: DataFrame, key: str = "doc_id", text: str = "text", entries: int = ENTRIES
+) -> DataFrame:
     """(key, held_out, n_tokens, n_known, train_tokens, base_score, score).
 
     One row per input row, repeated rows included. Rows whose id falls into fold 1 are held out; a
     null id is neither held out nor learned from. A null or empty text has one token, its end. With
-    nothing to learn from, all bytes are equally likely. Other columns are not read.
+    nothing to learn from, all bytes are equally likely. Other columns are not read. A tree of more
+    than one block takes one pass over the texts for each, which are checkpointed with their row
+    numbers before; neither the driver nor a task holds more than one block.
     """
     spark = df.sparkSession
     frame = df.select(F.col(key).alias("id"), F.col(text).alias("text"))
     counted = count(frame.where(split_of("id") != 1).withColumn("text", F.coalesce("text", F.lit(""))))
     words, rare = held_words(counted)
-    model = spark.sparkContext.broadcast((build(levels(counted)), words))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tree, known = model.value
+    tables = levels(counted)
+    parts = ranges(tables, entries)
+    frame = frame.select(F.monotonically_increasing_id().alias("row"), "text", "id")
+    if len(parts) > 1:
+        frame = checkpointed(frame)
+
+    def sums(tree: Model, texts: Texts, n: int, low: int, high: int) -> np.ndarray:
+        """Of each text, the log10 probability of its places from ``low`` to ``high``."""
+        wanted, doc = keys(texts), texts.doc
+        if (low, high) != (0, PLACES):
+            place = places(wanted)
+            own = (place >= np.uint64(low)) & (place < np.uint64(high))
+            wanted, doc = wanted[own], doc[own]
+        distinct, which = np.unique(wanted, return_inverse=True)
+        return np.bincount(doc, log_probabilities(tree, distinct)[which], n)
+
+    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tree, known = shared.value
         base = np.log10(known.tokens + 0.5 * (known.distinct + 1))
-        row_id = TaskContext.get().partitionId() << 33
         for batch in batches:
             for part in chunks(batch, "text"):
                 texts = read(part.column(1))
                 n = part.num_rows
-                distinct, which = np.unique(keys(texts), return_inverse=True)
-                each = log_probabilities(tree, distinct)[which]
-                total = np.bincount(texts.doc, each, n)
+                total = sums(tree, texts, n, *parts[0])
                 tokens = np.bincount(texts.word_doc, minlength=n) + 1
                 names, which = np.unique(texts.words, return_inverse=True)
                 at, held = _find(known.hashes, names)
                 logs, held_at = np.zeros(len(names)), at[held]
                 logs[held] = np.log10(known.counts[held_at] + 0.5) - base
-                sums = np.bincount(texts.word_doc, logs[which], n).astype(float)
-                sums += np.log10(known.texts + 0.5) - base
+                bases = np.bincount(texts.word_doc, logs[which], n).astype(float)
+                bases += np.log10(known.texts + 0.5) - base
                 seen = np.bincount(texts.word_doc, held[which], n).astype(np.int64)
                 seen += known.texts > 0
                 others = ~held[which]
                 code = texts.word_doc[others] << 32 | which[others]
                 pairs, times = np.unique(code, return_counts=True)
-                rows = np.arange(n) + row_id
-                row_id += n
+                rows = part.column(0)
                 yield _batch(
-                    [rows, part.column(0), tokens, seen, sums, total, pa.nulls(n, pa.int64())]
+                    [rows, part.column(2), tokens, seen, bases, total, pa.nulls(n, pa.int64())]
                 )
                 m = len(pairs)
                 word = names[pairs & 0xFFFFFFFF].view(np.int64)
                 none = pa.nulls(m, pa.float64())
-                id_none = pa.nulls(m, part.column(0).type)
-                yield _batch(
-                    [rows[pairs >> 32], id_none, times, pa.nulls(m, pa.int64()), none, none, word]
-                )
+                id_none = pa.nulls(m, part.column(2).type)
+                rows = rows.take(pa.array(pairs >> 32))
+                yield _batch([rows, id_none, times, pa.nulls(m, pa.int64()), none, none, word])
 
     def _batch(columns: list) -> pa.RecordBatch:
         arrays = [c if isinstance(c, pa.Array) else pa.array(c) for c in columns]
@@ -343,15 +381,28 @@ def score(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
 
     kind = df.schema[key].dataType.simpleString()
     schema = f"row bigint, id {kind}, n bigint, seen bigint, base double, score double, word bigint"
-    found = checkpointed(frame.mapInArrow(run, schema))
+    shared = spark.sparkContext.broadcast((build(tables, *parts[0]), words))
+    found = checkpointed(frame.mapInArrow(first, schema))
+    shared.destroy()
     texts = found.where("word IS NULL")
     others = found.where("word IS NOT NULL").select("row", "n", F.col("word").alias("key"))
     counts = rare.withColumnRenamed("count", "c")
     others = others.join(counts, "key", "left").withColumn("c", F.coalesce("c", F.lit(0)))
     base = float(np.log10(words.tokens + 0.5 * (words.distinct + 1)))
+    others = others.select(
+        "row",
+        F.when(F.col("c") > 0, F.col("n")).otherwise(0).alias("seen"),
+        (F.col("n") * (F.log10(F.col("c") + 0.5) - base)).alias("base"),
+        F.lit(0.0).alias("score"),
+    )
+    for part in parts[1:]:
+        scored = _scored(frame, tables, part, sums)
+        scored = scored.selectExpr("row", "0L AS seen", "0D AS base", "score")
+        others = others.unionByName(scored)
     others = others.groupBy("row").agg(
-        F.sum(F.when(F.col("c") > 0, F.col("n")).otherwise(0)).alias("more_seen"),
-        F.sum(F.col("n") * (F.log10(F.col("c") + 0.5) - base)).alias("more_base"),
+        F.sum("seen").alias("more_seen"),
+        F.sum("base").alias("more_base"),
+        F.sum("score").alias("more_score"),
     )
     both = texts.join(others, "row", "left")
     return both.select(
@@ -361,5 +412,20 @@ def score(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
         (F.col("seen") + F.coalesce("more_seen", F.lit(0))).alias("n_known"),
         F.lit(words.tokens).cast("bigint").alias("train_tokens"),
         (F.col("base") + F.coalesce("more_base", F.lit(0.0))).alias("base_score"),
-        "score",
+        (F.col("score") + F.coalesce("more_score", F.lit(0.0))).alias("score"),
     )
+
+
+def _scored(frame: DataFrame, tables: list[DataFrame], part: tuple[int, int], sums) -> DataFrame:
+    """(row, score): what one more block adds to each text's score."""
+    shared = frame.sparkSession.sparkContext.broadcast(build(tables, *part))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for piece in chunks(batch, "text"):
+                total = sums(shared.value, read(piece.column(1)), piece.num_rows, *part)
+                yield pa.RecordBatch.from_arrays([piece.column(0), pa.array(total)], ["row", "score"])
+
+    found = checkpointed(frame.select("row", "text").mapInArrow(run, "row bigint, score double"))
+    shared.destroy()
+    return found

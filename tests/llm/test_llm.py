@@ -293,6 +293,28 @@ def test_tree_probabilities_sum_to_one(spark, sf_dir):
         assert abs(np.sum(10**each) - 1) < 1e-3
 
 
+def test_a_tree_in_blocks_scores_as_a_whole(spark, sf_dir):
+    """No context that passes the test is dropped, however few symbols a block holds."""
+    documents = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    tables = suffix_tree.levels(suffix_tree.count(documents.select("text")))
+    kept = sum(table.where("gain > 1").count() for table in tables)
+    whole = suffix_tree.build(tables)
+    assert sum(len(own) for own, _ in whole.entries) == kept
+    parts = suffix_tree.ranges(tables, kept // 4)
+    assert len(parts) > 3 and parts[0][0] == 0 and parts[-1][1] == suffix_tree.PLACES
+    assert all(a[1] == b[0] for a, b in itertools.pairwise(parts))
+    blocks = [suffix_tree.build(tables, *part) for part in parts]
+    assert all(sum(len(own) for own, _ in block.entries) < kept // 2 for block in blocks)
+    one, many = (
+        {r["doc_id"]: r for r in suffix_tree.score(documents, entries=n).collect()}
+        for n in (10 * kept, kept // 4)
+    )
+    assert one.keys() == many.keys()
+    for doc, row in one.items():
+        assert row[:5] == many[doc][:5]
+        assert many[doc][5:] == pytest.approx(row[5:], rel=1e-9)
+
+
 def test_extraction(spark, sf_dir):
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
     trees = html_extract.fit(pages)
