@@ -13,10 +13,14 @@ one is verified on the whole sets.
 How frequent a token is comes from counts of all shingles of all documents in ``COUNTERS`` hashed
 counters. They only choose order and classes: any counts give the same links.
 
-Only components are wanted, so a pair whose ends are already known to be in one component need not
-be verified. Each index entry first tries all its sets against one of them. While the components of
+The index serves to find components first, and there a pair whose ends are already known to be in
+one component need not be verified. Each index entry first tries all its sets against one of them. While the components of
 the links leave many pairs of different components, a round tries all against a few others. What is
 left then, in an entry, are few pairs of sets of different components, and all of them are tried.
+
+Sets that link are in one component, so all links are found by comparing the sets of a component
+with each other. A component's sets are dealt out to blocks, and a task compares two blocks at a
+time: a set is sent once for each block of its component, not once for each set.
 """
 
 from __future__ import annotations
@@ -51,6 +55,10 @@ SENT_IDS = 1_000_000
 ROUNDS = 5
 PIVOTS = 8
 
+#: Sets, and tokens, in one of the blocks that are compared with each other, about.
+BLOCK_SETS = 1024
+BLOCK_TOKENS = 1 << 17
+
 _PLACE = mix(np.arange(1, SHINGLE + 2, dtype=np.uint64)) | np.uint64(1)
 
 
@@ -312,7 +320,7 @@ def _linked(df: DataFrame, pairs: DataFrame, classes: DataFrame, kind: type) ->
     return found.mapInArrow(run, f"a {name}, b {name}, u bigint, v bigint")
 
 
-def links(df: DataFrame) -> tuple[DataFrame, DataFrame]:
+def connecting(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The documents (doc_id, n, set_id), with null ids, and enough links (u, v) between first
     documents of different sets to connect all that link."""
     df = df.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
@@ -387,6 +395,143 @@ def _mixed(index: DataFrame, wanted: DataFrame, edges: DataFrame) -> tuple[DataF
     return mixed.select("entry", "s", "component", "main"), rows, left
 
 
+def _common(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """The number of common tokens of each set on the left with each on the right. Tokens of few
+    pairs of sets are counted pair by pair, others by products of matrices."""
+    n_left, n_right = len(left), len(right)
+    row = np.repeat(np.arange(n_left), [len(tokens) for tokens in left])
+    column = np.repeat(np.arange(n_right), [len(tokens) for tokens in right])
+    both = np.unique(np.concatenate((*left, *right)), return_inverse=True)[1]
+    x, y = both[: len(row)], both[len(row) :]
+    many = int(both.max()) + 1
+    times_x, times_y = np.bincount(x, minlength=many), np.bincount(y, minlength=many)
+    pairs = times_x * times_y
+    often = pairs * 200 > n_left * n_right
+    out = np.zeros(n_left * n_right, np.int64)
+    by = np.argsort(y, kind="stable")
+    begin = np.cumsum(times_y) - times_y
+    few = np.flatnonzero(~often[x] & (pairs[x] > 0))
+    size = times_y[x[few]]
+    piece = np.cumsum(size) >> 22
+    for at in np.split(np.arange(len(few)), np.flatnonzero(np.diff(piece)) + 1):
+        met = column[by[ragged(begin[x[few[at]]], size[at])]]
+        out += np.bincount(np.repeat(row[few[at]], size[at]) * n_right + met, minlength=len(out))
+    out = out.reshape(n_left, n_right)
+    number = np.where(often, np.cumsum(often) - 1, -1)
+    width = 2048
+    for low in range(0, int(often.sum()), width):
+        sides = []
+        for which, token, height in ((row, x, n_left), (column, y, n_right)):
+            place = number[token] - low
+            own = (place >= 0) & (place < width) & often[token]
+            side = np.zeros((height, width), np.float32)
+            side[which[own], place[own]] = 1
+            sides.append(side)
+        out += (sides[0] @ sides[1].T).astype(np.int64)
+    return out
+
+
+def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """The rows of each (component, i, j), which follow each other."""
+    waiting: list[pa.RecordBatch] = []
+    last = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        key = np.stack([batch.column(at).to_numpy() for at in range(3)])
+        cuts = np.flatnonzero((key[:, 1:] != key[:, :-1]).any(axis=0)) + 1
+        edges = [0, *cuts.tolist(), batch.num_rows]
+        for begin, end in zip(edges, edges[1:], strict=False):
+            own = tuple(key[:, begin])
+            if waiting and own != last:
+                yield pa.Table.from_batches(waiting)
+                waiting = []
+            waiting.append(batch.slice(begin, end - begin))
+            last = own
+    if waiting:
+        yield pa.Table.from_batches(waiting)
+
+
+def _compared(df: DataFrame, documents: DataFrame, placed: DataFrame, sums: bool) -> DataFrame:
+    """All links between sets of one component, as (u, v), the sets' first documents, or with
+    ``sums`` as (set_id, n, links): how many documents the sets that a set links with have.
+    ``placed`` are (set_id, n, doc, component) of all sets with words."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in _groups(batches):
+            i, j = group["i"][0].as_py(), group["j"][0].as_py()
+            size, ids, doc, copies, block = (
+                group[name].to_numpy() for name in ("n", "set_id", "doc", "copies", "block")
+            )
+            _, once = np.unique(np.stack((ids, size)), axis=1, return_index=True)
+            tokens = group["tokens"]
+            left, right = (once[block[once] == side] for side in (i, j))
+            if not len(left) or not len(right):
+                continue
+            sets = {at: np.frombuffer(tokens[int(at)].as_py(), np.uint64) for at in once}
+            both = _common([sets[at] for at in left], [sets[at] for at in right])
+            near = 100 * both >= PERCENT * (size[left][:, None] + size[right] - both)
+            if i == j:
+                near = np.triu(near, 1)
+            if sums:
+                at = np.concatenate((left, right))
+                found = np.concatenate((near @ copies[right], copies[left] @ near))
+                at, found = at[found > 0], found[found > 0]
+                columns = [ids[at], size[at], found]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names)
+            else:
+                a, b = np.nonzero(near)
+                for low in range(0, len(a), 1 << 16):
+                    u, v = doc[left[a[low : low + (1 << 16)]]], doc[right[b[low : low + (1 << 16)]]]
+                    columns = [np.minimum(u, v), np.maximum(u, v)]
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names)
+
+    names = ["set_id", "n", "links"] if sums else ["u", "v"]
+    copies = documents.where("doc_id IS NOT NULL AND n > 0").groupBy("set_id", "n")
+    copies = copies.agg(F.count_distinct("doc_id").alias("copies"))
+    size = placed.groupBy("component").agg(F.count(F.lit(1)).alias("sets"), F.sum("n").alias("all"))
+    size = size.where("sets > 1").selectExpr(
+        "component", f"ceil(greatest(sets / {BLOCK_SETS}, all / {BLOCK_TOKENS})) AS blocks"
+    )
+    dealt = placed.join(size, "component").join(copies, ["set_id", "n"])
+    dealt = checkpointed(dealt.withColumn("block", F.expr("pmod(xxhash64(set_id, n), blocks)")))
+    named = df.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+    sets = _sets(named, dealt.select("set_id", "n", "doc"), np.uint64)
+    sets = sets.selectExpr("s.set_id", "s.n", "tokens").join(dealt, ["set_id", "n"])
+    sets = sets.withColumn("other", F.expr("explode(sequence(0L, blocks - 1))"))
+    sets = sets.selectExpr(
+        "component",
+        "least(block, other) AS i",
+        "greatest(block, other) AS j",
+        "block",
+        "set_id",
+        "n",
+        "doc",
+        "copies",
+        "tokens",
+    )
+    key = ["component", "i", "j"]
+    sets = sets.repartition(*key).sortWithinPartitions(*key)
+    return sets.mapInArrow(run, ", ".join(f"{name} bigint" for name in names))
+
+
+def _placed(documents: DataFrame, found: DataFrame) -> DataFrame:
+    """(set_id, n, doc, component): the sets with words, their first documents and components."""
+    copies = documents.where("n > 0 AND doc_id IS NOT NULL")
+    doc = copies.groupBy("set_id", "n").agg(F.min("doc_id").alias("doc"))
+    return doc.join(found, doc["doc"] == found["node"], "left").selectExpr(
+        "set_id", "n", "doc", "coalesce(component, doc) AS component"
+    )
+
+
+def links(df: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The documents (doc_id, n, set_id), with null ids, and every link between two different sets
+    once, as the sets' first documents (u, v), u the smaller."""
+    documents, edges = connecting(df)
+    placed = checkpointed(_placed(documents, components(edges)))
+    return documents, _compared(df, documents, placed, False)
+
+
 def classes(df: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id), one row per input row.
 
@@ -395,18 +540,36 @@ def classes(df: DataFrame) -> DataFrame:
     and links with nothing. Rows that repeat a doc_id are one document with the links of each; a
     row without doc_id links with nothing and has no component. Other columns are not read.
     """
-    documents, edges = links(df)
-    found = components(edges)
-    copies = documents.where("n > 0 AND doc_id IS NOT NULL")
-    doc = copies.groupBy("set_id", "n").agg(F.min("doc_id").alias("doc"))
-    doc = doc.join(found, doc["doc"] == found["node"], "left").selectExpr(
-        "set_id", "n", "coalesce(component, doc) AS component"
-    )
-    named = documents.join(doc, ["set_id", "n"], "left")
-    return named.selectExpr(
+    documents, edges = connecting(df)
+    return _named(documents, _placed(documents, components(edges)))
+
+
+def linked_classes(df: DataFrame) -> DataFrame:
+    """(doc_id, n_shingles, component_id, n_links): ``classes`` with the number of links of each
+    row's set to those of other documents: a document of several sets counts once for each, a set's
+    own row not. A row without doc_id or words has none."""
+    documents, edges = connecting(df)
+    placed = checkpointed(_placed(documents, components(edges)))
+    more = _compared(df, documents, placed, True)
+    more = more.groupBy("set_id", "n").agg(F.sum("links").alias("links"))
+    same = documents.where("n > 0 AND doc_id IS NOT NULL").groupBy("set_id", "n")
+    same = same.agg((F.count_distinct("doc_id") - 1).alias("same"))
+    number = same.join(more, ["set_id", "n"], "left")
+    number = number.selectExpr("set_id", "n", "same + coalesce(links, 0) AS n_links")
+    placed = placed.join(number, ["set_id", "n"])
+    count = F.expr("if(doc_id IS NULL, 0, coalesce(n_links, 0))").alias("n_links")
+    return _named(documents, placed, count)
+
+
+def _named(documents: DataFrame, placed: DataFrame, *more) -> DataFrame:
+    named = documents.join(placed, ["set_id", "n"], "left")
+    return named.select(
         "doc_id",
-        "n AS n_shingles",
-        "CASE WHEN doc_id IS NOT NULL THEN coalesce(component, doc_id) END AS component_id",
+        F.col("n").alias("n_shingles"),
+        F.expr("CASE WHEN doc_id IS NOT NULL THEN coalesce(component, doc_id) END").alias(
+            "component_id"
+        ),
+        *more,
     )
 
 

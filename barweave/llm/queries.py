@@ -102,7 +102,7 @@ FROM formatted GROUP BY conv_id
 
 @query
 def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_join.classes(table(spark, sf_dir, "documents"))
+    return jaccard_join.linked_classes(table(spark, sf_dir, "documents"))
 
 
 @query

@@ -242,6 +242,44 @@ def test_components_equal_brute_force(spark, monkeypatch, frequent):
     assert {row[0]: tuple(row) for row in found} == brute_components(rows)
 
 
+def test_all_links_equal_brute_force(spark, monkeypatch):
+    """All sets as one component, compared in several blocks; what the index finds is tested above."""
+
+    def connecting(df):
+        documents = jaccard_join._measure(df).where("piece IS NULL").select("doc_id", "n", "set_id")
+        return documents, documents.where("doc_id > 0").selectExpr("doc_id AS u", "0L AS v")
+
+    monkeypatch.setattr(jaccard_join, "connecting", connecting)
+    monkeypatch.setattr(jaccard_join, "BLOCK_SETS", 5)
+    rng, rows = random.Random(6), []
+    for doc in range(120):
+        words = [f"w{i}" for i in range(rng.choice([60, 60, 30, 7]))]
+        for _ in range(rng.choice([0, 1, 1, 2])):
+            words[rng.randrange(len(words))] = f"x{rng.randrange(6)}"
+        rows.append((doc, " ".join(words)))
+    rows += [(1000, None), (1001, ""), (None, rows[0][1]), (7, rows[7][1]), (7, rows[8][1] + " z")]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string")
+    first = {}  # of each set, its documents
+    for doc, text in rows:
+        words = (text or "").split()
+        shingles = frozenset(tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4)))
+        if words and doc is not None:
+            first.setdefault(shingles, set()).add(doc)
+    pairs, number = [], {s: len(docs) - 1 for s, docs in first.items()}
+    for a, b in itertools.combinations(first, 2):
+        if 100 * len(a & b) >= 80 * len(a | b):
+            pairs.append(tuple(sorted((min(first[a]), min(first[b])))))
+            number[a] += len(first[b])
+            number[b] += len(first[a])
+    assert sorted(map(tuple, jaccard_join.links(frame)[1].collect())) == sorted(pairs)
+    expected = [(doc, number[s]) for s, docs in first.items() for doc in docs]
+    expected += [(1000, 0), (1001, 0), (-1, 0), (7, dict(expected)[7])]
+    found = jaccard_join.linked_classes(frame).collect()
+    found = [(-1 if r["doc_id"] is None else r["doc_id"], r["n_links"]) for r in found]
+    assert len(found) == len(rows) and set(found) == set(expected)
+    assert len(pairs) > 40
+
+
 def test_components_of_a_path(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(20)] + [(30, 31), (31, 31)], "u bigint, v bigint")
     found = {row["node"]: row["component"] for row in components(edges).collect()}
