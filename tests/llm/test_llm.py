@@ -353,6 +353,24 @@ def test_a_tree_in_blocks_scores_as_a_whole(spark, sf_dir):
         assert many[doc][5:] == pytest.approx(row[5:], rel=1e-9)
 
 
+def test_probabilities_of_every_block_sum_to_one(spark, sf_dir):
+    texts = spark.read.parquet(f"{sf_dir}/documents.parquet").select("text")
+    tables = suffix_tree.levels(suffix_tree.count(texts))
+    parts = suffix_tree.ranges(tables, 3000)
+    rng = random.Random(7)
+    deepest = [row["key"] >> 8 << 8 for row in tables[-1].where("gain > 1").select("key").collect()]
+    contexts = np.array(rng.sample(deepest, 200), np.uint64)
+    place = suffix_tree.places(contexts)
+    met = 0
+    for low, high in rng.sample(parts, 5) + [parts[0], parts[-1]]:
+        model = suffix_tree.build(tables, low, high)
+        for context in contexts[(place >= low) & (place < high)]:
+            each = suffix_tree.log_probabilities(model, context + np.arange(256, dtype=np.uint64))
+            assert abs(np.sum(10**each) - 1) < 1e-4
+            met += 1
+    assert met
+
+
 def test_extraction(spark, sf_dir):
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
     trees = html_extract.fit(pages)
