@@ -15,6 +15,7 @@ from barweave.llm import (
     jaccard_join,
     language,
     line_dedup,
+    merkle,
     prefix_counts,
     quality,
     suffix_tree,
@@ -113,3 +114,11 @@ def op10_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op1_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract(table(spark, sf_dir, "pages"))
+
+
+@query
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.proofs(table(spark, sf_dir, "documents"))
+
+
+ORACLE["op13_merkle_manifest"] = merkle.SQL
