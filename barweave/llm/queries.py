@@ -14,6 +14,7 @@ from barweave.llm import (
     html_extract,
     jaccard_join,
     language,
+    license_scan,
     line_dedup,
     merkle,
     prefix_counts,
@@ -122,3 +123,8 @@ def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLE["op13_merkle_manifest"] = merkle.SQL
+
+
+@query
+def op12_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(table(spark, sf_dir, "documents"))
