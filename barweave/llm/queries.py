@@ -11,6 +11,7 @@ from barweave.llm import (
     byte_bpe,
     chat,
     decontaminate,
+    hard_negatives,
     html_extract,
     jaccard_join,
     language,
@@ -128,3 +129,11 @@ ORACLE["op13_merkle_manifest"] = merkle.SQL
 @query
 def op12_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(table(spark, sf_dir, "documents"))
+
+
+@query
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings"))
+
+
+ORACLE["op11_hard_negatives"] = hard_negatives.SQL
