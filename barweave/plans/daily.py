@@ -11,11 +11,11 @@ from pyspark.sql import functions as F
 from ..operators import checks
 from ..operators.details import ticker_details
 from ..schemas import BARS, CUMULATIVE, DIM_PRICES, SPLITS, TICKER_DETAILS, WINDOW_DAYS
-from ..sinks.folders import exists
 from ..sinks.tables import overwrite_partitions, publish_partition, read_staged, replace_table
 from ..sources.bars import read_daily_bars
 from ..sources.json_feeds import read_splits, read_ticker_documents
 from ..sources.tables import (
+    partition_folder,
     read_bucketed_partition,
     read_partition,
     read_partitions,
@@ -63,7 +63,9 @@ class Tables:
     def arrays_of(self, spark: SparkSession, day: date) -> DataFrame:
         if self.buckets:
             return read_bucketed_partition(spark, self.cumulative, CUMULATIVE, day, self.buckets)
-        folder = f"{self.cumulative}/as_of_date={day.isoformat()}"
+        folder = partition_folder(spark, self.cumulative, day)
+        if folder is None:
+            raise ValueError(f"no arrays of {day}: start or load that day")
         return read_staged(spark, folder, CUMULATIVE, day)
 
 
@@ -101,7 +103,7 @@ def _new_splits(spark: SparkSession, tables: Tables, feeds: Feeds, day: date) ->
     again compares with the days before it only, so it finds the same late splits again.
     """
     eve, first = day - timedelta(days=1), day - timedelta(days=WINDOW_DAYS)
-    if not exists(spark, f"{tables.splits}/as_of_date={eve.isoformat()}"):
+    if partition_folder(spark, tables.splits, eve) is None:
         raise ValueError(f"no record of the splits applied up to {eve}: start or load that day")
     feed = read_splits(spark, feeds.splits, first, day, multi_line=not feeds.split_lines)
     applied = read_partitions(spark, tables.splits, SPLITS, first, eve)

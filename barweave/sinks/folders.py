@@ -1,9 +1,7 @@
-"""Folder moves through Hadoop's file system API, so any storage Spark can write to works."""
+"""Files and folders through Hadoop's file system API, so any storage Spark can write to works."""
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import SparkSession
 
 
@@ -35,27 +33,9 @@ def children(spark: SparkSession, location: str) -> list[str]:
     return [status.getPath().getName() for status in files.listStatus(path)]
 
 
-def _move(spark: SparkSession, source: str, target: str) -> None:
-    source_path, files = _path(spark, source)
-    target_path, _ = _path(spark, target)
-    files.mkdirs(target_path.getParent())
-    if not files.rename(source_path, target_path):
-        raise OSError(f"cannot move {source} to {target}")
-
-
-def replace_folder(spark: SparkSession, staged: str, target: str) -> None:
-    """Put ``staged`` in the place of ``target``. The old folder is moved aside first and
-    restored if the move fails; readers skip names that start with an underscore."""
-    parent, _, name = target.rstrip("/").rpartition("/")
-    aside = None
-    if exists(spark, target):
-        aside = f"{parent}/_replaced-{uuid.uuid4().hex}/{name}"
-        _move(spark, target, aside)
-    try:
-        _move(spark, staged, target)
-    except Exception:
-        if aside:
-            _move(spark, aside, target)
-        raise
-    if aside:
-        delete(spark, aside.rpartition("/")[0])
+def create(spark: SparkSession, location: str) -> None:
+    """An empty file; an error if there is one."""
+    path, files = _path(spark, location)
+    files.mkdirs(path.getParent())
+    if not files.createNewFile(path):
+        raise FileExistsError(location)

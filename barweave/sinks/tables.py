@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Sequence
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,7 +12,7 @@ from pyspark.sql.types import StructType
 
 from ..operators.checks import run_checks
 from ..schemas import without
-from . import folders
+from . import folders, versions
 
 
 def conform(frame: DataFrame, schema: StructType) -> DataFrame:
@@ -81,19 +81,20 @@ def stage_partition(
     frame: DataFrame,
     table: str,
     schema: StructType,
+    day: date,
     column: str = "as_of_date",
     sort_by: Sequence[str] = (),
     buckets: int | None = None,
     key: str = "ticker",
 ) -> str:
-    """Write one partition's rows to a staging folder of the table; returns the folder.
+    """Write one partition's rows as a new version that is not yet current; returns its folder.
 
     ``column`` is left to the folder name. With ``buckets`` the files are bucketed and sorted by
     ``key``, so the next day's join does not shuffle them. The rows must then already be
     partitioned by ``key`` into that many partitions, as a join over a table of the same
     bucketing leaves them: then every task writes one file, and writing shuffles nothing either.
     """
-    folder = f"{table}/_staged/{uuid.uuid4().hex}"
+    folder = versions.new_version(table, f"{column}={day.isoformat()}")
     rows = conform(frame, schema).drop(column)
     if buckets:
         name = f"staged_{uuid.uuid4().hex}"
@@ -128,19 +129,22 @@ def publish_partition(
     column: str = "as_of_date",
     sort_by: Sequence[str] = (),
     buckets: int | None = None,
+    keep_for: timedelta = timedelta(hours=1),
 ) -> None:
     """Replace the partition of ``day`` by the rows of ``frame`` once ``checks`` pass.
 
-    The rows are computed once, into a staging folder; the checks read that folder, and
-    publishing moves it, so nothing is written twice. On failure the published partition stays
-    as it was. An empty frame empties the partition.
+    The rows are computed and written once, as a version of their own; the checks read it, and one
+    entry in the table's log makes it current. Until then, and after any failure, readers find the
+    version before. Replaced versions stay for ``keep_for``, for those still reading them. An empty
+    frame empties the partition.
     """
     spark = frame.sparkSession
-    staged = stage_partition(frame, table, schema, column, sort_by, buckets)
+    staged = stage_partition(frame, table, schema, day, column, sort_by, buckets)
     try:
         if checks:
             run_checks(*checks(read_staged(spark, staged, schema, day, column)))
-        folders.replace_folder(spark, staged, f"{table}/{column}={day.isoformat()}")
     except Exception:
         folders.delete(spark, staged)
         raise
+    versions.switch(spark, table, staged)
+    versions.forget(spark, table, f"{column}={day.isoformat()}", keep_for)

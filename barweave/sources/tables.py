@@ -10,11 +10,37 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..schemas import METRICS, without
+from ..sinks import versions
 from ..sinks.folders import children, exists
 
 
-def read_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    return spark.read.schema(schema).parquet(path)
+def read_table(
+    spark: SparkSession, path: str, schema: StructType, at: int | None = None
+) -> DataFrame:
+    """The table's current rows, or those of a snapshot (``versions.snapshot``): whatever is
+    published meanwhile, a frame keeps the version folders it was made with."""
+    if not versions.is_versioned(spark, path):
+        return spark.read.schema(schema).parquet(path)
+    return _read_versions(spark, path, schema, list(versions.current(spark, path, at).values()))
+
+
+def _read_versions(
+    spark: SparkSession, path: str, schema: StructType, found: list[str]
+) -> DataFrame:
+    if not found:
+        return spark.createDataFrame([], schema)
+    root = f"{path}/{versions.VERSIONS}"
+    return spark.read.schema(schema).option("basePath", root).parquet(*found)
+
+
+def partition_folder(
+    spark: SparkSession, path: str, day: date, column: str = "as_of_date"
+) -> str | None:
+    """Where the rows of one date partition are; None if it was never written."""
+    name = f"{column}={day.isoformat()}"
+    if versions.is_versioned(spark, path):
+        return versions.current(spark, path).get(name)
+    return f"{path}/{name}" if exists(spark, f"{path}/{name}") else None
 
 
 def read_partition(
@@ -22,27 +48,29 @@ def read_partition(
 ) -> DataFrame:
     """One date partition, listed alone: its folder is read and no other. A partition that was
     never written has no rows."""
-    folder = f"{path}/{column}={day.isoformat()}"
+    folder = partition_folder(spark, path, day, column)
     stored = without(schema, column)
-    if exists(spark, folder):
+    if folder:
         rows = spark.read.schema(stored).parquet(folder)
     else:
         rows = spark.createDataFrame([], stored)
     return rows.withColumn(column, F.lit(day).cast("date")).select(*schema.fieldNames())
 
 
-def _dates(spark: SparkSession, path: str, column: str) -> list[date]:
-    """The table's date partitions, from one listing of its folder's names."""
+def partition_dates(spark: SparkSession, path: str, column: str = "as_of_date") -> list[date]:
+    """The table's date partitions, from one listing of names."""
     prefix = f"{column}="
-    names = [name for name in children(spark, path) if name.startswith(prefix)]
-    return sorted(date.fromisoformat(name.removeprefix(prefix)) for name in names)
+    versioned = versions.is_versioned(spark, path)
+    names = versions.current(spark, path) if versioned else children(spark, path)
+    found = [name.removeprefix(prefix) for name in names if name.startswith(prefix)]
+    return sorted(map(date.fromisoformat, found))
 
 
 def read_newest_partition(
     spark: SparkSession, path: str, schema: StructType, column: str = "as_of_date"
 ) -> DataFrame:
     """The partition of the newest date; no other is listed or read."""
-    days = _dates(spark, path, column)
+    days = partition_dates(spark, path, column)
     if not days:
         raise ValueError(f"{path} has no partition")
     return read_partition(spark, path, schema, days[-1], column)
@@ -57,10 +85,14 @@ def read_partitions(
     column: str = "as_of_date",
 ) -> DataFrame:
     """The partitions from ``first`` to ``last``; no other is listed or read."""
-    days = [day for day in _dates(spark, path, column) if first <= day <= last]
+    days = [day for day in partition_dates(spark, path, column) if first <= day <= last]
     if not days:
         return spark.createDataFrame([], schema)
-    paths = [f"{path}/{column}={day.isoformat()}" for day in days]
+    names = [f"{column}={day.isoformat()}" for day in days]
+    if versions.is_versioned(spark, path):
+        found = versions.current(spark, path)
+        return _read_versions(spark, path, schema, [found[name] for name in names])
+    paths = [f"{path}/{name}" for name in names]
     return spark.read.schema(schema).option("basePath", path).parquet(*paths)
 
 
@@ -80,7 +112,9 @@ def read_bucketed_partition(
     ``key`` then need no shuffle of this side.
     """
     name = f"bucketed_{uuid.uuid4().hex}"
-    folder = f"{path}/{column}={day.isoformat()}"
+    folder = partition_folder(spark, path, day, column)
+    if folder is None:
+        raise ValueError(f"{path} has no partition of {day}")
     spark.sql(
         f"CREATE TABLE {name} ({without(schema, column).toDDL()}) USING parquet "
         f"CLUSTERED BY ({key}) SORTED BY ({key}) INTO {buckets} BUCKETS LOCATION '{folder}'"
