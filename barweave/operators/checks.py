@@ -42,6 +42,15 @@ def check_splits(splits: DataFrame) -> DataFrame:
     return splits.agg(*not_null, *positive)
 
 
+def check_chains(new: DataFrame, known: DataFrame) -> DataFrame:
+    """Every page goes on with a page that is there: of the ``new`` page addresses (address,
+    wanted), each wanted one is among them or the ``known`` ones."""
+    wanted = new.filter(F.col("wanted").isNotNull()).select("wanted").distinct()
+    there = new.select("address").unionByName(known.select("address")).distinct()
+    missing = wanted.join(there, F.col("wanted") == F.col("address"), "left_anti")
+    return missing.agg((F.count("*") == 0).alias("page_chains_are_whole_check"))
+
+
 def check_growth(staged: DataFrame, previous: DataFrame) -> DataFrame:
     """Fewer than 1 % more rows than the day before (strictly). One aggregate over a tagged
     union, so neither count is collected."""

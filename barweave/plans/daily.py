@@ -10,18 +10,41 @@ from pyspark.sql import functions as F
 
 from ..operators import checks
 from ..operators.details import ticker_details
-from ..schemas import BARS, CUMULATIVE, DIM_PRICES, SPLITS, TICKER_DETAILS, WINDOW_DAYS
+from ..operators.split_events import (
+    SAID,
+    active_splits,
+    changed_ratios,
+    known_events,
+    merge_events,
+    split_events,
+)
+from ..schemas import (
+    BARS,
+    CUMULATIVE,
+    DIM_PRICES,
+    FEED_FILES,
+    SPLIT_LEDGER,
+    SPLITS,
+    TICKER_DETAILS,
+    WINDOW_DAYS,
+)
 from ..sinks.tables import overwrite_partitions, publish_partition, read_staged, replace_table
 from ..sources.bars import read_daily_bars
-from ..sources.json_feeds import read_splits, read_ticker_documents
+from ..sources.json_feeds import read_split_pages, read_ticker_documents
+from ..sources.landed import (
+    feed_record,
+    landed_files,
+    new_files,
+    page_addresses,
+    refuse_empty_files,
+)
 from ..sources.tables import (
     partition_folder,
     read_bucketed_partition,
     read_partition,
-    read_partitions,
     read_table,
 )
-from .history import backfill_cumulative, daily_step, late_splits, restate
+from .history import backfill_cumulative, daily_step, restate
 from .reference_prices import dim_prices
 
 
@@ -44,6 +67,14 @@ class Tables:
     def splits(self) -> str:
         return f"{self.root}/daily_stock_split"
 
+    @property
+    def split_ledger(self) -> str:
+        return f"{self.root}/split_ledger"
+
+    @property
+    def split_files(self) -> str:
+        return f"{self.root}/split_feed_files"
+
     @property
     def cumulative(self) -> str:
         return f"{self.root}/daily_stock_price_cumulative"
@@ -78,12 +109,27 @@ class Feeds:
     split_lines: bool = False
 
 
+def _in_window(day: date):
+    """Splits that can still change an array of ``day`` or a later one. One without a readable
+    date is kept for the checks to see."""
+    first = F.lit(day - timedelta(days=WINDOW_DAYS))
+    return F.coalesce(F.col("execution_date").try_cast("date") >= first, F.lit(True))
+
+
 def start_history(tables: Tables, bars: DataFrame, splits: DataFrame, day: date) -> None:
     """Publish the first partition, which every daily step needs the day before, and record the
-    splits it applied, so that none is taken for a late one."""
-    applied = splits.filter(F.to_date("execution_date") <= F.lit(day))
-    publish_partition(applied, tables.splits, SPLITS, day)
-    arrays = backfill_cumulative(bars, splits, as_of=day)
+    splits as known and no page as read. Splits that are the same by ticker, date and ratio are
+    one; those executed after ``day`` wait for their own."""
+    spark = splits.sparkSession
+    events = known_events(splits, day).filter(_in_window(day))
+    ledger = merge_events(events.limit(0), events, spark.createDataFrame([], FEED_FILES), day)
+    publish_partition(_dated(ledger, day), tables.split_ledger, SPLIT_LEDGER, day)
+    publish_partition(
+        spark.createDataFrame([], FEED_FILES), tables.split_files, FEED_FILES, day
+    )
+    applied = splits.select(*SAID).distinct().filter(F.to_date("execution_date") <= F.lit(day))
+    publish_partition(_dated(applied, day), tables.splits, SPLITS, day)
+    arrays = backfill_cumulative(bars, _dated(splits.select(*SAID).distinct(), day), as_of=day)
     if tables.buckets:
         arrays = arrays.repartition(tables.buckets, "ticker")
     publish_partition(
@@ -96,24 +142,63 @@ def start_history(tables: Tables, bars: DataFrame, splits: DataFrame, day: date)
     )
 
 
-def _new_splits(spark: SparkSession, tables: Tables, feeds: Feeds, day: date) -> DataFrame:
-    """The splits of ``day``, and those executed up to a year before that no earlier day applied.
+def _dated(rows: DataFrame, day: date) -> DataFrame:
+    return rows.withColumn("as_of_date", F.lit(day).cast("date"))
+
 
-    Every day records what it applied in its partition of the split table. A day that is run
-    again compares with the days before it only, so it finds the same late splits again.
+def read_new_splits(spark: SparkSession, tables: Tables, feeds: Feeds, day: date) -> None:
+    """Bring the ledger of splits up to ``day``: the files that no earlier day has read are read,
+    and the state of the eve is merged with what they say.
+
+    Only names are listed of the others. A day that is run again starts from its eve again, so it
+    reads its own files and those that came since. Nothing is published unless every page has its
+    results and every page that goes on has the page it goes on with.
     """
-    eve, first = day - timedelta(days=1), day - timedelta(days=WINDOW_DAYS)
-    if partition_folder(spark, tables.splits, eve) is None:
+    eve = day - timedelta(days=1)
+    if partition_folder(spark, tables.split_files, eve) is None:
         raise ValueError(f"no record of the splits applied up to {eve}: start or load that day")
-    feed = read_splits(spark, feeds.splits, first, day, multi_line=not feeds.split_lines)
-    applied = read_partitions(spark, tables.splits, SPLITS, first, eve)
-    on_day = F.to_date("execution_date") == F.lit(day)
-    late = late_splits(feed.filter(~on_day), applied)
-    return feed.filter(on_day).unionByName(late)
+    ledger = read_partition(spark, tables.split_ledger, SPLIT_LEDGER, eve)
+    record = read_partition(spark, tables.split_files, FEED_FILES, eve)
+    if not feeds.split_lines:  # Spark itself lands empty files of JSON lines
+        refuse_empty_files(spark, feeds.splits)
+    landed = landed_files(spark, feeds.splits)
+    fresh = new_files(landed, record)
+    names = [row["name"] for row in fresh.select("name").collect()]
+    if names:
+        pages = read_split_pages(spark, names, not feeds.split_lines)
+        addresses = page_addresses(pages)
+        events = split_events(pages, day).filter(_in_window(day))
+        stated = events.filter(~F.col("withdrawn"))
+        readable = F.col("execution_date").try_cast("date").cast("string")
+        checks.run_checks(
+            checks.check_chains(addresses, record),
+            checks.check_splits(stated.withColumn("execution_date", readable)),
+        )
+        ledger = merge_events(ledger, events, fresh, day)
+        record = feed_record(landed, record, addresses)
+    ledger = ledger.filter(_in_window(day)).drop("as_of_date")
+    publish_partition(_dated(ledger, day), tables.split_ledger, SPLIT_LEDGER, day)
+    # The record comes last: a day that ends before it reads its files again.
+    record = record.drop("as_of_date")
+    publish_partition(_dated(record, day), tables.split_files, FEED_FILES, day)
+
+
+def _new_splits(spark: SparkSession, tables: Tables, day: date) -> DataFrame:
+    """The splits of ``day``, and what has changed in those executed up to a year before: late
+    ones, corrected and withdrawn ones, as the ratio that is left to apply."""
+    eve = day - timedelta(days=1)
+    executed = F.to_date("execution_date")
+    before = active_splits(read_partition(spark, tables.split_ledger, SPLIT_LEDGER, eve))
+    after = active_splits(read_partition(spark, tables.split_ledger, SPLIT_LEDGER, day))
+    first = F.lit(day - timedelta(days=WINDOW_DAYS))
+    old = executed.between(first, F.lit(eve))
+    late = changed_ratios(before.filter(old), after.filter(old))
+    own = after.filter(executed == F.lit(day))
+    return _dated(own.unionByName(late), day)
 
 
 def run_day(spark: SparkSession, tables: Tables, feeds: Feeds, day: date) -> None:
-    """Load one day; late splits restate the arrays before the day's own step. Any failed check
+    """Load one day; late, corrected and withdrawn splits restate the arrays before the day's own step. Any failed check
     leaves that table's published partition as it was."""
     bars = read_daily_bars(spark, feeds.bars, day)
     replace_table(
@@ -124,8 +209,9 @@ def run_day(spark: SparkSession, tables: Tables, feeds: Feeds, day: date) -> Non
         checks.check_bars(staged), checks.check_day(staged, day), checks.check_unique(staged)
     )
 
+    read_new_splits(spark, tables, feeds, day)
     publish_partition(
-        _new_splits(spark, tables, feeds, day),
+        _new_splits(spark, tables, day),
         tables.splits,
         SPLITS,
         day,

@@ -74,8 +74,31 @@ _SPLIT_COLUMNS = {
 
 SPLITS = _struct(**_SPLIT_COLUMNS, as_of_date=DATE)
 
+# ``id`` and ``withdrawn`` may be missing, as may the page's own ``url`` and its ``count``.
 SPLIT_PAGE = _struct(
-    status=STRING, next_url=STRING, results=ArrayType(_struct(**_SPLIT_COLUMNS))
+    status=STRING,
+    url=STRING,
+    next_url=STRING,
+    count=LONG,
+    results=ArrayType(_struct(id=STRING, **_SPLIT_COLUMNS, withdrawn=BOOLEAN)),
+)
+
+# Where something stood in the feed, in the order of arrival.
+ARRIVAL = _struct(day=DATE, modified=TIMESTAMP, path=STRING, place=LONG)
+
+# What one claim about a split says, when that was first and last said.
+SPLIT_LEDGER = _struct(
+    claim=STRING,
+    **_SPLIT_COLUMNS,
+    withdrawn=BOOLEAN,
+    seen=ARRIVAL,
+    told=ARRIVAL,
+    as_of_date=DATE,
+)
+
+# Files of a feed that were read, and their pages.
+FEED_FILES = _struct(
+    path=STRING, modified=TIMESTAMP, length=LONG, address=STRING, wanted=STRING, as_of_date=DATE
 )
 
 DIM_PRICES = _struct(
@@ -121,6 +144,7 @@ TICKER_DETAILS = _struct(
 ASSET = _struct(symbol=STRING, status=STRING)
 
 QUOTE_PAGE = _struct(
+    status=STRING,
     bars=MapType(
         STRING,
         _struct(

@@ -33,6 +33,17 @@ def children(spark: SparkSession, location: str) -> list[str]:
     return [status.getPath().getName() for status in files.listStatus(path)]
 
 
+def empty_file(spark: SparkSession, location: str) -> str | None:
+    """One of the files at a path or pattern, or in the folders there, that has no bytes."""
+    path, files = _path(spark, location)
+    for found in files.globStatus(path) or ():
+        for status in files.listStatus(found.getPath()) if found.isDirectory() else (found,):
+            name = status.getPath().getName()
+            if status.isFile() and status.getLen() == 0 and name[0] not in "._":
+                return status.getPath().toString()
+    return None
+
+
 def create(spark: SparkSession, location: str) -> None:
     """An empty file; an error if there is one."""
     path, files = _path(spark, location)

@@ -6,7 +6,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from barweave.schemas import BAR_CSV
@@ -38,17 +38,37 @@ def land_months(bars: DataFrame, root: str) -> None:
 
 
 def land_splits(splits: DataFrame, path: str) -> None:
-    """One page per split, with whole numbers as the feed sends them."""
+    """One page per split, with whole numbers as the feed sends them. ``id`` and ``withdrawn`` are
+    landed where the rows have them."""
+    more = [name for name in ("id", "withdrawn") if name in splits.columns]
     result = F.struct(
         "execution_date",
         F.col("split_from").cast("bigint").alias("split_from"),
         F.col("split_to").cast("bigint").alias("split_to"),
         "ticker",
+        *more,
     )
     page = F.struct(F.lit("OK").alias("status"), F.array(result).alias("results"))
     splits.select(F.to_json(page)).write.text(path)
 
 
+def land_split_documents(splits: DataFrame, path: str) -> None:
+    """Whole documents on several lines, each with all splits of a date and its address, each but
+    the last date's going on with the next."""
+    result = F.struct("execution_date", "split_from", "split_to", "ticker")
+    pages = splits.groupBy("execution_date").agg(F.sort_array(F.collect_list(result)).alias("results"))
+    following = F.lead("execution_date").over(Window.orderBy("execution_date"))
+    envelope = F.struct(
+        F.lit("OK").alias("status"),
+        F.concat(F.lit("splits?date="), "execution_date").alias("url"),
+        F.concat(F.lit("splits?date="), following).alias("next_url"),
+        F.size("results").alias("count"),
+        "results",
+    )
+    text = F.to_json(envelope, {"pretty": "true"})
+    pages.select(text.alias("value")).repartition(4).write.text(path)
+
+
 def land_documents(documents: DataFrame, path: str) -> None:
     """(status, results) rows; a NULL ``results`` is left out of its document."""
     documents.select(F.to_json(F.struct("status", "results"))).write.text(path)

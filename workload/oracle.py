@@ -349,10 +349,13 @@ day{i}_tickers AS (SELECT ticker FROM {"eve" if i == 0 else f"day{i - 1}"}_ticke
 )
 
 
-def _late(base: str) -> str:
-    """CTEs for the bars of ``base`` with the splits of 2000 applied on top."""
+def _late(base: str, ratio: str = "split_from, split_to") -> str:
+    """CTEs for the bars of ``base`` with the splits of 2000 applied on top, or their inverse."""
+    start, end = ratio.split(", ")
     return f"""
-late AS (SELECT * FROM splits WHERE execution_date > '{LATE_FROM}' AND execution_date <= '{EVE}'),
+late AS (
+  SELECT execution_date, ticker, {start} AS split_from, {end} AS split_to FROM splits
+  WHERE execution_date > '{LATE_FROM}' AND execution_date <= '{EVE}'),
 late_ratio AS (
   SELECT b.ticker, b.snapshot_date, product(l.split_from) AS split_from,
     product(l.split_to) AS split_to
@@ -364,6 +367,9 @@ fixed AS (
   FROM {base} LEFT JOIN late_ratio USING (ticker, snapshot_date))"""
 
 
+_all_tickers = """
+all_tickers AS (SELECT ticker FROM eve_tickers UNION SELECT ticker FROM day0
+  UNION SELECT ticker FROM day1)"""
 _late_start = _history("eve", f"DATE '{EVE}'", LATE_FROM)
 _merged = _with(*TO_MERGED, select="SELECT * FROM merged")
 _ratio = ("coalesce(f.split_from, 1)", "coalesce(f.split_to, 1)")
@@ -604,11 +610,35 @@ FROM bars WHERE window_start < 0""",
     "catchup_three_days_bucketed": CATCH_UP,
     "catchup_late_split": _with(
         BARS, SPLITS, DAY_SPLITS, FEED, _late_start, _step("day0", "eve", "feed", _days[0]),
-        _late("day0"), _step("day1", "fixed", "feed", _days[1]),
-        """
-all_tickers AS (SELECT ticker FROM eve_tickers UNION SELECT ticker FROM day0
-  UNION SELECT ticker FROM day1)""",
+        _late("day0"), _step("day1", "fixed", "feed", _days[1]), _all_tickers,
+        select=_flat("day1", f"DATE '{_days[1]}'", "all_tickers"),
+    ),
+    "catchup_relanded_split": _with(
+        BARS, SPLITS, DAY_SPLITS, FEED, EVE_HISTORY, _step("day0", "eve", "feed", _days[0]),
+        _step("day1", "day0", "feed", _days[1]), _all_tickers,
         select=_flat("day1", f"DATE '{_days[1]}'", "all_tickers"),
     ),
+    "catchup_withdrawn_split": _with(
+        BARS, SPLITS, DAY_SPLITS, FEED, EVE_HISTORY, _step("day0", "eve", "feed", _days[0]),
+        _late("day0", "split_to, split_from"), _step("day1", "fixed", "feed", _days[1]),
+        _all_tickers, select=_flat("day1", f"DATE '{_days[1]}'", "all_tickers"),
+    ),
+    "split_ledger": _with(
+        SPLITS,
+        select="""SELECT DISTINCT execution_date, ticker,
+  CASE WHEN CAST(substr(ticker, 2) AS INTEGER) % 3 = 0 THEN 1 ELSE split_from END AS split_from,
+  CASE WHEN CAST(substr(ticker, 2) AS INTEGER) % 3 = 0 THEN 3 ELSE split_to END AS split_to
+FROM splits WHERE CAST(substr(ticker, 2) AS INTEGER) % 5 <> 0""",
+    ),
+    "src_split_documents": _with(
+        SPLITS, select="SELECT execution_date, split_from, split_to, ticker, as_of_date FROM splits"
+        f" WHERE execution_date <= '{DAY}'",
+    ),
+    "publish_snapshot": _with(
+        *TO_PRICES, _prices("eve_prices", "eve", EVE, "eve_tickers"),
+        select="""SELECT *, 'first' AS state FROM eve_prices
+UNION ALL SELECT *, 'first' FROM prices
+UNION ALL SELECT *, 'last' FROM prices WHERE close_price_last_day > 30000""",
+    ),
     "stream_current_day": _merged,
 }

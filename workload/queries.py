@@ -18,6 +18,7 @@ from barweave.operators.details import latest_details, ticker_details
 from barweave.operators.leaderboard import change_by_cap, leaderboard, row_count
 from barweave.operators.merge import merge_matched
 from barweave.operators.quotes import latest_quote, quote_metrics, tradable_symbols, valid_quotes
+from barweave.operators.split_events import active_splits, merge_events, split_events
 from barweave.operators.splits import adjust_bars, cumulative_factors, match_factors, rank_splits
 from barweave.plans.daily import Feeds, Tables, run_days, start_history
 from barweave.plans.history import (
@@ -34,13 +35,16 @@ from barweave.schemas import (
     CUMULATIVE,
     DIM_PRICES,
     PRICE_ELEMENT,
+    SPLIT_LEDGER,
     TICKER_DETAILS,
     UPDATED_COLUMNS,
 )
 from barweave.session import work_dir
+from barweave.sinks import versions
 from barweave.sinks.tables import overwrite_partitions, publish_partition, replace_table
 from barweave.sources import json_feeds
 from barweave.sources.bars import months_between, read_daily_bars, read_month_bars
+from barweave.sources.landed import landed_files, page_addresses
 from barweave.sources.tables import read_partition, read_table, reference_columns
 from barweave.streaming.current_day import initialise, read_current, start_updates
 
@@ -579,6 +583,97 @@ def catchup_late_split(spark, sf_dir):
     return _flat(tables.arrays_of(spark, days[1]))
 
 
+def _fold_into_year(spark, sf_dir, land_more) -> DataFrame:
+    """Two days of the catch-up; between them ``land_more(splits, root)`` lands more pages."""
+    root = work_dir(spark, "relanded-split")
+    bars = views.bars(spark, sf_dir)
+    splits = views.splits(spark, sf_dir).unionByName(views.day_splits(spark, sf_dir))
+    days = [DAY, DAY + timedelta(days=1)]
+    landing.land_days(bars, f"{root}/bars", days)
+    landing.land_splits(splits, f"{root}/splits/first")
+    feeds = Feeds(f"{root}/bars", f"{root}/splits/*", split_lines=True)
+    tables = Tables(f"{root}/tables")
+    start_history(tables, bars, _known_splits(spark, sf_dir, EVE), EVE)
+    run_days(spark, tables, feeds, days[0], days[0])
+    land_more(splits, f"{root}/splits")
+    run_days(spark, tables, feeds, days[1], days[1])
+    return _flat(tables.arrays_of(spark, days[1]))
+
+
+def catchup_relanded_split(spark, sf_dir):
+    """Every page lands again before the second day, twice and under other names; nothing of it is
+    a new event."""
+
+    def again(splits, root):
+        landing.land_splits(splits.orderBy("ticker"), f"{root}/again")
+        landing.land_splits(splits.orderBy(F.desc("execution_date")).unionAll(splits), f"{root}/twice")
+
+    return _fold_into_year(spark, sf_dir, again)
+
+
+def catchup_withdrawn_split(spark, sf_dir):
+    """Before the second day the splits of 2000 up to the eve are withdrawn, after which the first
+    pages land again; the splits of the day itself stay."""
+
+    def withdrawn(splits, root):
+        executed = F.col("execution_date")
+        gone = splits.filter((executed > LATE_FROM.isoformat()) & (executed <= EVE.isoformat()))
+        landing.land_splits(gone.withColumn("withdrawn", F.lit(True)), f"{root}/withdrawn")
+        landing.land_splits(splits, f"{root}/again")
+
+    return _fold_into_year(spark, sf_dir, withdrawn)
+
+
+def split_ledger(spark, sf_dir):
+    """Splits with ids, of which some are corrected to 1:3 and some withdrawn, with copies of the
+    first pages landed last: the ones that hold."""
+    root = work_dir(spark, "split-ledger")
+    number = F.col("ticker").substr(2, 9).cast("int")
+    splits = views.splits(spark, sf_dir).withColumn(
+        "id", F.concat_ws("-", "ticker", "execution_date")
+    )
+    corrected = splits.filter(number % 3 == 0).withColumns(
+        {"split_from": F.lit(1.0), "split_to": F.lit(3.0)}
+    )
+    withdrawn = splits.filter(number % 5 == 0).withColumn("withdrawn", F.lit(True))
+    landed = {"1-first": splits, "2-corrected": corrected, "3-withdrawn": withdrawn, "4-first": splits}
+    ledger = spark.createDataFrame([], SPLIT_LEDGER)
+    for turn, (name, rows) in enumerate(landed.items()):
+        landing.land_splits(rows, f"{root}/{name}")
+        on = EVE + timedelta(days=turn)
+        pages = json_feeds.read_split_pages(spark, f"{root}/{name}", multi_line=False)
+        files = landed_files(spark, f"{root}/{name}")
+        ledger = merge_events(ledger, split_events(pages, on), files, on)
+        ledger = ledger.withColumn("as_of_date", F.lit(on))
+    return active_splits(ledger)
+
+
+def src_split_documents(spark, sf_dir):
+    """Whole documents of many elements, several a file, in one chain that is proved whole."""
+    root = work_dir(spark, "split-documents")
+    landing.land_split_documents(views.splits(spark, sf_dir), root)
+    addresses = page_addresses(json_feeds.read_split_pages(spark, root))
+    checks.run_checks(checks.check_chains(addresses, addresses.limit(0)))
+    return json_feeds.read_splits(spark, root, date(1996, 1, 1), DAY)
+
+
+def publish_snapshot(spark, sf_dir):
+    """Two days are published, then one is replaced and one emptied; the first state is read after
+    that, beside the last."""
+    path = work_dir(spark, "snapshot-table")
+    eve = dim_prices(_eve_arrays(spark, sf_dir), EVE)
+    today = dim_prices(_day_arrays(spark, sf_dir), DAY)
+    publish_partition(eve, path, DIM_PRICES, EVE)
+    publish_partition(today, path, DIM_PRICES, DAY)
+    before = versions.snapshot(spark, path)
+    publish_partition(today.filter("close_price_last_day > 30000"), path, DIM_PRICES, DAY)
+    publish_partition(eve.limit(0), path, DIM_PRICES, EVE)
+    first = read_table(spark, path, DIM_PRICES, before).withColumn("state", F.lit("first"))
+    return first.unionByName(
+        read_table(spark, path, DIM_PRICES).withColumn("state", F.lit("last"))
+    )
+
+
 def stream_current_day(spark, sf_dir):
     """Quote files arrive a few at a time; the table ends as if all had come at once."""
     root = work_dir(spark, "stream")
@@ -648,5 +743,10 @@ QUERIES: dict[str, Query] = {
     "catchup_three_days": _catch_up(buckets=None),
     "catchup_three_days_bucketed": _catch_up(buckets=8),
     "catchup_late_split": catchup_late_split,
+    "catchup_relanded_split": catchup_relanded_split,
+    "catchup_withdrawn_split": catchup_withdrawn_split,
+    "split_ledger": split_ledger,
+    "src_split_documents": src_split_documents,
+    "publish_snapshot": publish_snapshot,
     "stream_current_day": stream_current_day,
 }
