@@ -5,7 +5,16 @@ from .operators.splits import adjust_bars, cumulative_factors, match_factors, ra
 from .operators.details import latest_details, ticker_details
 from .operators.merge import merge_matched
 from .operators.quotes import latest_quote, quote_metrics
-from .plans.daily import Feeds, Tables, load_details, run_day, run_days, start_history
+from .plans.daily import (
+    Feeds,
+    Tables,
+    load_details,
+    run_day,
+    run_days,
+    stage_months,
+    start_from_files,
+    start_history,
+)
 from .plans.history import apply_late_splits, backfill_cumulative, daily_step
 from .plans.intraday import apply_quotes
 from .plans.reference_prices import dim_prices, init_current_day
@@ -32,6 +41,8 @@ __all__ = [
     "rank_splits",
     "run_day",
     "run_days",
+    "stage_months",
+    "start_from_files",
     "start_history",
     "ticker_details",
 ]

@@ -71,6 +71,15 @@ def check_day(bars: DataFrame, day) -> DataFrame:
     )
 
 
+def check_month(bars: DataFrame) -> DataFrame:
+    """Every bar lies in the month of its partition."""
+    return bars.agg(
+        _none(F.trunc("snapshot_date", "month") != F.col("month")).alias(
+            "snapshot_date_is_in_month_check"
+        )
+    )
+
+
 def check_unique(bars: DataFrame) -> DataFrame:
     """No ticker has two bars on a day. Run before arrays are collected, which bounds them."""
     per_day = bars.groupBy("ticker", "snapshot_date").agg(F.count("*").alias("n"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from dataclasses import dataclass
 from datetime import date, timedelta
 
@@ -20,6 +21,7 @@ from ..operators.split_events import (
 )
 from ..schemas import (
     BARS,
+    BARS_BY_MONTH,
     CUMULATIVE,
     DIM_PRICES,
     FEED_FILES,
@@ -29,7 +31,7 @@ from ..schemas import (
     WINDOW_DAYS,
 )
 from ..sinks.tables import overwrite_partitions, publish_partition, read_staged, replace_table
-from ..sources.bars import read_daily_bars
+from ..sources.bars import MONTH_LAYOUT, months_between, read_daily_bars, read_month_bars
 from ..sources.json_feeds import read_split_pages, read_ticker_documents
 from ..sources.landed import (
     feed_record,
@@ -39,9 +41,11 @@ from ..sources.landed import (
     refuse_empty_files,
 )
 from ..sources.tables import (
+    partition_dates,
     partition_folder,
     read_bucketed_partition,
     read_partition,
+    read_partitions,
     read_table,
 )
 from .history import backfill_cumulative, daily_step, restate
@@ -63,6 +67,10 @@ class Tables:
     def staged_bars(self) -> str:
         return f"{self.root}/staging_daily_stock_price"
 
+    @property
+    def staged_months(self) -> str:
+        return f"{self.root}/staging_daily_stock_price_by_month"
+
     @property
     def splits(self) -> str:
         return f"{self.root}/daily_stock_split"
@@ -121,15 +129,23 @@ def start_history(tables: Tables, bars: DataFrame, splits: DataFrame, day: date)
     splits as known and no page as read. Splits that are the same by ticker, date and ratio are
     one; those executed after ``day`` wait for their own."""
     spark = splits.sparkSession
+    _start_feed(spark, tables, day)
     events = known_events(splits, day).filter(_in_window(day))
     ledger = merge_events(events.limit(0), events, spark.createDataFrame([], FEED_FILES), day)
     publish_partition(_dated(ledger, day), tables.split_ledger, SPLIT_LEDGER, day)
-    publish_partition(
-        spark.createDataFrame([], FEED_FILES), tables.split_files, FEED_FILES, day
-    )
-    applied = splits.select(*SAID).distinct().filter(F.to_date("execution_date") <= F.lit(day))
+    _start_arrays(tables, bars, splits.select(*SAID).distinct(), day)
+
+
+def _start_feed(spark: SparkSession, tables: Tables, day: date) -> None:
+    """A ledger without a split and a record without a file."""
+    for table, schema in ((tables.split_ledger, SPLIT_LEDGER), (tables.split_files, FEED_FILES)):
+        publish_partition(spark.createDataFrame([], schema), table, schema, day)
+
+
+def _start_arrays(tables: Tables, bars: DataFrame, splits: DataFrame, day: date) -> None:
+    applied = splits.filter(F.to_date("execution_date") <= F.lit(day))
     publish_partition(_dated(applied, day), tables.splits, SPLITS, day)
-    arrays = backfill_cumulative(bars, _dated(splits.select(*SAID).distinct(), day), as_of=day)
+    arrays = backfill_cumulative(bars, _dated(splits, day), as_of=day)
     if tables.buckets:
         arrays = arrays.repartition(tables.buckets, "ticker")
     publish_partition(
@@ -142,6 +158,70 @@ def start_history(tables: Tables, bars: DataFrame, splits: DataFrame, day: date)
     )
 
 
+def stage_months(
+    spark: SparkSession,
+    tables: Tables,
+    root: str,
+    months: Iterable[date],
+    layout: str = MONTH_LAYOUT,
+    again: bool = False,
+) -> list[date]:
+    """Stage whole months of bar files, one partition a month, and return those staged now.
+
+    A month is published once it is read whole and every bar is checked, so what was interrupted
+    goes on with the first month that is missing. ``again`` replaces months that are there.
+    """
+    done = set() if again else set(partition_dates(spark, tables.staged_months, "month"))
+    missing = [month for month in months if month not in done]
+    for month in missing:
+        bars = read_month_bars(spark, root, [month], layout)
+        publish_partition(
+            bars.withColumn("month", F.lit(month).cast("date")),
+            tables.staged_months,
+            BARS_BY_MONTH,
+            month,
+            checks=lambda rows: [checks.check_bars(rows), checks.check_month(rows)],
+            column="month",
+            sort_by=["ticker", "snapshot_date"],
+        )
+    return missing
+
+
+def staged_bars(spark: SparkSession, tables: Tables, first: date, last: date) -> DataFrame:
+    """The staged bars from ``first`` to ``last``; of other months no file is listed or read."""
+    rows = read_partitions(
+        spark, tables.staged_months, BARS_BY_MONTH, first.replace(day=1), last, "month"
+    )
+    return rows.drop("month").filter(F.col("snapshot_date").between(first, last))
+
+
+def start_from_files(
+    spark: SparkSession, tables: Tables, feeds: Feeds, day: date, layout: str = MONTH_LAYOUT
+) -> None:
+    """Build history as of ``day`` from landed files: stage the months of the year that are not
+    staged yet, read the feed of splits, publish the first partitions. Only bars inside the year are
+    read, so a ticker without any has no row. Run again, it stages nothing twice."""
+    first = day - timedelta(days=WINDOW_DAYS - 1)
+    stage_months(spark, tables, feeds.bars, months_between(first, day), layout)
+    eve = day - timedelta(days=1)
+    _start_feed(spark, tables, eve)
+    read_new_splits(spark, tables, feeds, day)
+    splits = active_splits(_ledger(spark, tables, day)[1])
+    _start_arrays(tables, staged_bars(spark, tables, first, day), splits, day)
+
+
+def _newest(spark: SparkSession, table: str, day: date) -> date | None:
+    return max((on for on in partition_dates(spark, table) if on <= day), default=None)
+
+
+def _ledger(spark: SparkSession, tables: Tables, day: date) -> tuple[date, DataFrame]:
+    """The ledger as of a day: a day without new pages has no partition of its own."""
+    on = _newest(spark, tables.split_ledger, day)
+    if on is None or _newest(spark, tables.split_files, day) is None:
+        raise ValueError(f"no record of the splits applied up to {day}: start or load that day")
+    return on, read_partition(spark, tables.split_ledger, SPLIT_LEDGER, on)
+
+
 def _dated(rows: DataFrame, day: date) -> DataFrame:
     return rows.withColumn("as_of_date", F.lit(day).cast("date"))
 
@@ -155,15 +235,16 @@ def read_new_splits(spark: SparkSession, tables: Tables, feeds: Feeds, day: date
     results and every page that goes on has the page it goes on with.
     """
     eve = day - timedelta(days=1)
-    if partition_folder(spark, tables.split_files, eve) is None:
-        raise ValueError(f"no record of the splits applied up to {eve}: start or load that day")
-    ledger = read_partition(spark, tables.split_ledger, SPLIT_LEDGER, eve)
-    record = read_partition(spark, tables.split_files, FEED_FILES, eve)
+    _, ledger = _ledger(spark, tables, eve)
+    known = _newest(spark, tables.split_files, eve)
+    record = read_partition(spark, tables.split_files, FEED_FILES, known)
     if not feeds.split_lines:  # Spark itself lands empty files of JSON lines
         refuse_empty_files(spark, feeds.splits)
     landed = landed_files(spark, feeds.splits)
     fresh = new_files(landed, record)
     names = [row["name"] for row in fresh.select("name").collect()]
+    if not names and day not in partition_dates(spark, tables.split_files):
+        return
     if names:
         pages = read_split_pages(spark, names, not feeds.split_lines)
         addresses = page_addresses(pages)
@@ -187,14 +268,17 @@ def _new_splits(spark: SparkSession, tables: Tables, day: date) -> DataFrame:
     """The splits of ``day``, and what has changed in those executed up to a year before: late
     ones, corrected and withdrawn ones, as the ratio that is left to apply."""
     eve = day - timedelta(days=1)
+    if partition_folder(spark, tables.splits, eve) is None:
+        raise ValueError(f"no record of the splits applied up to {eve}: start or load that day")
     executed = F.to_date("execution_date")
-    before = active_splits(read_partition(spark, tables.split_ledger, SPLIT_LEDGER, eve))
-    after = active_splits(read_partition(spark, tables.split_ledger, SPLIT_LEDGER, day))
-    first = F.lit(day - timedelta(days=WINDOW_DAYS))
-    old = executed.between(first, F.lit(eve))
-    late = changed_ratios(before.filter(old), after.filter(old))
-    own = after.filter(executed == F.lit(day))
-    return _dated(own.unionByName(late), day)
+    (before_on, before), (after_on, after) = (_ledger(spark, tables, on) for on in (eve, day))
+    splits = active_splits(after)
+    rows = splits.filter(executed == F.lit(day))
+    if after_on != before_on:
+        old = executed.between(F.lit(day - timedelta(days=WINDOW_DAYS)), F.lit(eve))
+        late = changed_ratios(active_splits(before).filter(old), splits.filter(old))
+        rows = rows.unionByName(late)
+    return _dated(rows, day)
 
 
 def run_day(spark: SparkSession, tables: Tables, feeds: Feeds, day: date) -> None:

@@ -53,6 +53,8 @@ BAR_CSV = _struct(**_BAR_COLUMNS)
 
 BARS = _struct(**_BAR_COLUMNS, snapshot_date=DATE)
 
+BARS_BY_MONTH = _struct(**_BAR_COLUMNS, snapshot_date=DATE, month=DATE)
+
 PRICE_ELEMENT = _struct(
     volume=DOUBLE,
     open=DOUBLE,

@@ -13,10 +13,11 @@ from pyspark.sql import functions as F
 from barweave.operators.checks import DataQualityError
 from barweave.operators.split_events import active_splits, changed_ratios, merge_events, split_events
 from barweave.plans.daily import Feeds, Tables, _new_splits, read_new_splits, start_history
-from barweave.schemas import FEED_FILES, SPLIT_LEDGER
+from barweave.schemas import FEED_FILES, SPLIT_LEDGER, SPLITS
+from barweave.sinks.tables import publish_partition
 from barweave.sources.json_feeds import read_quotes, read_split_pages, read_splits
 from barweave.sources.landed import landed_files, new_files
-from barweave.sources.tables import read_partition
+from barweave.sources.tables import partition_dates, read_newest_partition, read_partition
 
 EVE = date(2000, 6, 14)
 
@@ -55,7 +56,8 @@ def feed(spark, tmp_path, make_bars, make_splits):
 
     def load(offset):
         read_new_splits(spark, tables, feeds, at(offset))
-        rows = _new_splits(spark, tables, at(offset)).collect()
+        publish_partition(_new_splits(spark, tables, at(offset)), tables.splits, SPLITS, at(offset))
+        rows = read_partition(spark, tables.splits, SPLITS, at(offset)).collect()
         return sorted((r["ticker"], r["execution_date"], r["split_from"], r["split_to"]) for r in rows)
 
     return landing, load, tables
@@ -167,7 +169,9 @@ def test_only_new_files_are_read(spark, feed, monkeypatch):
         assert len(load(offset)) == 2
     assert read == [2] * 5  # as many on the last day as on the first
     assert load(6) == [] and read == [2] * 5
-    assert read_partition(spark, tables.split_files, FEED_FILES, at(6)).count() == 10
+    assert read_newest_partition(spark, tables.split_files, FEED_FILES).count() == 10
+    # A day without new pages has no partition of its own.
+    assert partition_dates(spark, tables.split_ledger) == [at(offset) for offset in range(6)]
 
 
 def test_old_splits_leave_the_ledger(spark, feed, tmp_path):
@@ -175,6 +179,7 @@ def test_old_splits_leave_the_ledger(spark, feed, tmp_path):
     old, kept = at(1) - timedelta(days=366), at(1) - timedelta(days=365)
     landing.page("1.json", result("A", old, 1, 2), result("A", kept, 1, 3))
     assert load(1) == [("A", str(kept), 1.0, 3.0)]
+    landing.page("2.json")
     assert load(2) == []
     assert read_partition(spark, tables.split_ledger, SPLIT_LEDGER, at(2)).count() == 0
 

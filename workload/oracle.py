@@ -634,6 +634,10 @@ FROM splits WHERE CAST(substr(ticker, 2) AS INTEGER) % 5 <> 0""",
         SPLITS, select="SELECT execution_date, split_from, split_to, ticker, as_of_date FROM splits"
         f" WHERE execution_date <= '{DAY}'",
     ),
+    "backfill_from_files": _with(
+        *_eve_flat,
+        select=_flat("eve", f"DATE '{EVE}'", "(SELECT DISTINCT ticker FROM eve)"),
+    ),
     "publish_snapshot": _with(
         *TO_PRICES, _prices("eve_prices", "eve", EVE, "eve_tickers"),
         select="""SELECT *, 'first' AS state FROM eve_prices

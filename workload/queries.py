@@ -20,7 +20,14 @@ from barweave.operators.merge import merge_matched
 from barweave.operators.quotes import latest_quote, quote_metrics, tradable_symbols, valid_quotes
 from barweave.operators.split_events import active_splits, merge_events, split_events
 from barweave.operators.splits import adjust_bars, cumulative_factors, match_factors, rank_splits
-from barweave.plans.daily import Feeds, Tables, run_days, start_history
+from barweave.plans.daily import (
+    Feeds,
+    Tables,
+    run_days,
+    stage_months,
+    start_from_files,
+    start_history,
+)
 from barweave.plans.history import (
     apply_late_splits,
     backfill_cumulative,
@@ -657,6 +664,23 @@ def src_split_documents(spark, sf_dir):
     return json_feeds.read_splits(spark, root, date(1996, 1, 1), DAY)
 
 
+def backfill_from_files(spark, sf_dir):
+    """All months land as files; the staging is begun, left, and finished by the backfill, after
+    which one month is staged again: from files to arrays, and on to the next day."""
+    root = work_dir(spark, "month-files")
+    bars = views.bars(spark, sf_dir)
+    landing.land_months(bars, f"{root}/bars")
+    landing.land_splits(views.splits(spark, sf_dir), f"{root}/splits")
+    feeds = Feeds(f"{root}/bars", f"{root}/splits", split_lines=True)
+    tables = Tables(f"{root}/tables")
+    months = months_between(EVE - timedelta(days=364), EVE)
+    stage_months(spark, tables, feeds.bars, months[:5], landing.YEAR_MONTH)
+    start_from_files(spark, tables, feeds, EVE, landing.YEAR_MONTH)
+    stage_months(spark, tables, feeds.bars, months[3:4], landing.YEAR_MONTH, again=True)
+    start_from_files(spark, tables, feeds, EVE, landing.YEAR_MONTH)
+    return _flat(tables.arrays_of(spark, EVE))
+
+
 def publish_snapshot(spark, sf_dir):
     """Two days are published, then one is replaced and one emptied; the first state is read after
     that, beside the last."""
@@ -748,5 +772,6 @@ QUERIES: dict[str, Query] = {
     "split_ledger": split_ledger,
     "src_split_documents": src_split_documents,
     "publish_snapshot": publish_snapshot,
+    "backfill_from_files": backfill_from_files,
     "stream_current_day": stream_current_day,
 }
