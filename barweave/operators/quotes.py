@@ -20,11 +20,13 @@ def valid_quotes(quotes: DataFrame) -> DataFrame:
 
 
 def price_updates(quotes: DataFrame) -> DataFrame:
-    """Feed fields (ticker, c, t) -> (ticker, current_price, last_updated_datetime)."""
+    """Feed fields (ticker, c, t) -> (ticker, current_price, last_updated_datetime), and the
+    ``arrival`` where the quotes have it."""
     return valid_quotes(quotes).select(
         "ticker",
         F.col("c").alias("current_price"),
         parse_quote_time(F.col("t")).alias("last_updated_datetime"),
+        *[name for name in quotes.columns if name == "arrival"],
     )
 
 
@@ -39,6 +41,15 @@ def latest_quote(updates: DataFrame, *tie_breakers: str) -> DataFrame:
     return newest.select("ticker", "newest.current_price", "newest.last_updated_datetime")
 
 
+def last_quote(updates: DataFrame) -> DataFrame:
+    """The update of each ticker that arrived last, with its ``arrival``. Of those that arrived
+    together the newest, then the higher price: one order, however updates are cut into batches.
+    An update without an arrival comes before all others."""
+    names = ["arrival", "last_updated_datetime", "current_price"]
+    last = updates.groupBy("ticker").agg(F.max(F.struct(*names)).alias("last"))
+    return last.select("ticker", *[f"last.{name}" for name in names])
+
+
 def metric_values(current: Column, bases: dict[str, Column]) -> dict[str, Column]:
     values = {}
     for base, (absolute, percent) in METRICS.items():

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.quotes import latest_quote, metric_values, price_updates
-from ..schemas import METRICS, UPDATED_COLUMNS
+from ..operators.quotes import last_quote, latest_quote, metric_values, price_updates
+from ..schemas import METRICS, QUOTE_ARRIVAL
 
 
 def apply_quotes(
@@ -15,29 +15,47 @@ def apply_quotes(
     """The table after the newest valid quote of each ticker, in one join.
 
     Unknown tickers are dropped, rows without a quote keep their values, and a matched row is
-    overwritten whole, NULLs included. A quote older than the stored one is ignored unless
-    ``last_write_wins``; of equal times the higher price stays, as within a batch, so the result
-    does not depend on how quotes are cut into batches.
+    overwritten whole, NULLs included. A quote older than the stored one is ignored; of equal times
+    the higher price stays, as within a batch.
+
+    With ``last_write_wins`` the quote that arrived last is applied instead, whatever its time. The
+    quotes then bring their ``arrival`` (``read_quotes(arrival=True)``), and so does the result,
+    which must be kept for the next batch: a quote that arrived before the stored one is ignored.
+    Either way the result does not depend on how quotes are cut into batches.
     """
-    newest = latest_quote(price_updates(quotes)).select(
+    updates = price_updates(quotes)
+    if last_write_wins:
+        if "arrival" not in quotes.columns:
+            raise ValueError("last_write_wins needs quotes with their arrival")
+        if "arrival" not in current.columns:
+            unknown = F.lit(None).cast(QUOTE_ARRIVAL)
+            current = current.withColumn("arrival", unknown)
+        newest = last_quote(updates)
+    else:
+        newest = latest_quote(updates)
+    newest = newest.select(
         "ticker",
         F.col("current_price").alias("new_price"),
         F.col("last_updated_datetime").alias("new_time"),
         F.lit(True).alias("matched"),
+        *([F.col("arrival").alias("new_arrival")] if last_write_wins else []),
     )
-    accepted = F.col("matched")
-    if not last_write_wins:
-        stored = F.col("last_updated_datetime")
-        later = F.col("new_time") > stored
-        dearer = (F.col("new_time") == stored) & (F.col("new_price") >= F.col("current_price"))
-        accepted = accepted & (stored.isNull() | F.coalesce(later | dearer, F.lit(False)))
+    # One order decides within a batch, across batches, and against the stored row.
+    order = ["arrival"] if last_write_wins else []
+    stored = F.struct(*order, "last_updated_datetime", "current_price")
+    new = F.struct(*[f"new_{name}" for name in order], "new_time", "new_price")
+    first = F.col("arrival" if last_write_wins else "last_updated_datetime").isNull()
+    readable = F.lit(True) if last_write_wins else F.col("new_time").isNotNull()
+    accepted = F.col("matched") & (first | (readable & (new >= stored)))
     updates = metric_values(F.col("new_price"), {base: F.col(base) for base in METRICS})
     updates["current_price"] = F.col("new_price")
     updates["last_updated_datetime"] = F.col("new_time")
+    if last_write_wins:
+        updates["arrival"] = F.col("new_arrival")
     return current.join(newest, "ticker", "left").select(
         *[
             F.when(accepted, updates[name]).otherwise(F.col(name)).alias(name)
-            if name in UPDATED_COLUMNS
+            if name in updates
             else F.col(name)
             for name in current.columns
         ]

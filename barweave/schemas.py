@@ -182,3 +182,8 @@ CURRENT_DAY = _struct(
     market_cap_description=STRING,
     last_updated_datetime=TIMESTAMP,
 )
+
+# When a quote landed, in the order that ``last_write_wins`` follows; stored beside the prices.
+QUOTE_ARRIVAL = _struct(modified=TIMESTAMP, path=STRING, place=LONG)
+
+CURRENT_DAY_ARRIVED = StructType([*CURRENT_DAY, StructField("arrival", QUOTE_ARRIVAL)])

@@ -126,26 +126,52 @@ def read_assets(
     return _read(spark, path, ASSET, multi_line)
 
 
-def flatten_quotes(pages: DataFrame) -> DataFrame:
-    """Pages of ticker -> bar maps to (ticker, c, t); works on batch and streaming frames."""
+def flatten_quotes(pages: DataFrame, *more: str) -> DataFrame:
+    """Pages of ticker -> bar maps to (ticker, c, t) and ``more`` of the page's columns; works on
+    batch and streaming frames."""
     bars = _results("bars", F.lit(True))
-    return pages.select(F.explode(bars).alias("ticker", "bar")).select("ticker", "bar.c", "bar.t")
+    return pages.select(*more, F.explode(bars).alias("ticker", "bar")).select(
+        "ticker", "bar.c", "bar.t", *more
+    )
+
+
+def _arrived(pages: DataFrame) -> DataFrame:
+    """Quotes with their ``arrival``: when their file landed, its name, and the page's place in a
+    whole file. Lines of one file arrive together: how a file is split must not order them."""
+    place = F.col("document").cast("bigint").alias("place")
+    arrival = F.struct(
+        F.col("file.file_modification_time").alias("modified"),
+        F.col("file.file_path").alias("path"),
+        place,
+    )
+    return flatten_quotes(pages.withColumn("arrival", arrival), "arrival")
 
 
 def read_quotes(
-    spark: SparkSession, path: str | list[str], multi_line: bool = True
+    spark: SparkSession, path: str | list[str], multi_line: bool = True, arrival: bool = False
 ) -> DataFrame:
-    """All pages in one read; pages need no order and no accumulation."""
-    return flatten_quotes(_read(spark, path, QUOTE_PAGE, multi_line))
+    """All pages in one read; pages need no order and no accumulation. ``arrival`` adds the
+    column that orders quotes by when they landed."""
+    pages = _read(spark, path, QUOTE_PAGE, multi_line, with_file=arrival)
+    return _arrived(pages) if arrival else flatten_quotes(pages)
 
 
 def stream_quotes(
-    spark: SparkSession, path: str, files_per_batch: int | None = None, multi_line: bool = True
+    spark: SparkSession,
+    path: str,
+    files_per_batch: int | None = None,
+    multi_line: bool = True,
+    arrival: bool = False,
 ) -> DataFrame:
     """The same feed as a stream of arriving files. Spark skips a file of no bytes."""
     reader = spark.readStream
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    file = F.col("_metadata").alias("file")
     if multi_line:
-        return flatten_quotes(_documents(reader.text(path, wholetext=True), QUOTE_PAGE))
-    return flatten_quotes(reader.schema(QUOTE_PAGE).options(**_STRICT).json(path))
+        files = reader.text(path, wholetext=True)
+        pages = _documents(files.select("value", file), QUOTE_PAGE, "file")
+    else:
+        pages = reader.schema(QUOTE_PAGE).options(**_STRICT).json(path)
+        pages = pages.select("*", file, F.lit(0).alias("document"))
+    return _arrived(pages) if arrival else flatten_quotes(pages)

@@ -8,11 +8,12 @@ from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from ..plans.daily import Tables
 from ..plans.intraday import apply_quotes
 from ..plans.reference_prices import init_current_day
-from ..schemas import CURRENT_DAY, DIM_PRICES, TICKER_DETAILS
+from ..schemas import CURRENT_DAY, CURRENT_DAY_ARRIVED, DIM_PRICES, TICKER_DETAILS
 from ..sinks import folders
 from ..sinks.tables import conform
 from ..sources.tables import read_newest_partition, read_partition
@@ -43,13 +44,16 @@ def _versions(spark: SparkSession, table: str) -> list[_Version]:
     return sorted(found)
 
 
-def _read_version(spark: SparkSession, table: str, version: _Version) -> DataFrame:
-    return spark.read.schema(CURRENT_DAY).parquet(f"{table}/{version.name}")
+def _read_version(
+    spark: SparkSession, table: str, version: _Version, schema: StructType = CURRENT_DAY
+) -> DataFrame:
+    return spark.read.schema(schema).parquet(f"{table}/{version.name}")
 
 
 def _write_version(frame: DataFrame, table: str, number: int, writer: str) -> None:
     folder = f"{table}/{_VERSION}{number}_{writer}"
-    conform(frame, CURRENT_DAY).write.mode("overwrite").parquet(folder)
+    schema = CURRENT_DAY_ARRIVED if "arrival" in frame.columns else CURRENT_DAY
+    conform(frame, schema).write.mode("overwrite").parquet(folder)
 
 
 def initialise(current: DataFrame, table: str) -> None:
@@ -108,7 +112,9 @@ def start_updates(
         writer = f"{_stream_id(spark, checkpoint)}_{batch_id}"
         if any(version.writer == writer for version in versions):
             return
-        current = _read_version(spark, table, versions[-1])
+        # A version that no arrival was written to reads back with none.
+        schema = CURRENT_DAY_ARRIVED if last_write_wins else CURRENT_DAY
+        current = _read_version(spark, table, versions[-1], schema)
         updated = apply_quotes(current, batch, last_write_wins)
         _write_version(updated, table, versions[-1].number + 1, writer)
         _forget(spark, table, keep_for)

@@ -10,7 +10,6 @@ from barweave.plans.intraday import apply_quotes
 from barweave.schemas import CURRENT_DAY, METRICS, UPDATED_COLUMNS
 
 
-
 @pytest.fixture
 def make_current(spark):
     """Rows of (ticker, reference price for all three bases, category)."""
@@ -78,7 +77,33 @@ def test_an_older_quote_is_ignored_unless_the_last_write_wins(spark, make_curren
     current = apply_quotes(make_current(("A", 1.0, "x")), quotes(spark, ("A", 2.0, T2)))
     late = quotes(spark, ("A", 9.0, T1))
     assert apply_quotes(current, late).first()["current_price"] == 2.0
-    assert apply_quotes(current, late, last_write_wins=True).first()["current_price"] == 9.0
+    with pytest.raises(ValueError, match="arrival"):
+        apply_quotes(current, late, last_write_wins=True)
+
+
+def arrived(spark, *rows):
+    """Rows of (ticker, c, t, second of arrival, file, place)."""
+    schema = "ticker string, c double, t string, arrival struct<modified:timestamp,path:string,place:bigint>"
+    data = [(a, c, t, (datetime.fromtimestamp(s), path, place)) for a, c, t, s, path, place in rows]
+    return spark.createDataFrame(data, schema)
+
+
+def test_the_last_to_arrive_wins_however_batches_are_cut(spark, make_current):
+    rows = [
+        ("A", 9.0, T1, 5, "f2", 0), ("A", 8.0, T2, 5, "f1", 9), ("A", 7.0, T2, 4, "f9", 0),
+        ("B", 1.0, T2, 1, "f1", 1), ("B", 2.0, T1, 1, "f1", 2), ("B", 0.0, T2, 9, "f3", 0),
+        ("C", 3.0, T1, 2, "f1", 0), ("C", 4.0, T1, 2, "f1", 0), ("C", 5.0, None, 2, "f1", 0),
+    ]
+    start = make_current(*[(name, 1.0, "x") for name in "ABC"])
+    for order in (rows, rows[::-1]):
+        for size in (1, 3, 7, 9):
+            current = start
+            for at in range(0, len(order), size):
+                current = apply_quotes(current, arrived(spark, *order[at : at + size]), True)
+                if size == 1:
+                    current = spark.createDataFrame(current.collect(), current.schema)
+            found = {row["ticker"]: row["current_price"] for row in current.collect()}
+            assert found == {"A": 9.0, "B": 2.0, "C": 4.0}
 
 
 def test_applying_a_batch_twice_changes_nothing(spark, make_current):

@@ -111,14 +111,31 @@ def test_a_half_written_version_is_not_read_and_is_written_again(spark, tmp_path
     assert rows(read_current(spark, table))[0]["current_price"] == 40.0
 
 
-def test_last_write_wins(spark, tmp_path, current):
-    """Files are read in order, so the last file's older poll overwrites the newer ones."""
+@pytest.mark.parametrize("files", [1, 3, 7])
+@pytest.mark.parametrize("lines", [True, False])
+def test_last_write_wins_in_any_batches(spark, tmp_path, current, files, lines):
+    """The last file's older poll overwrites the newer ones; two files have the same time."""
     write_pages(f"{tmp_path}/quotes", 7)
     for number in range(7):
-        os.utime(f"{tmp_path}/quotes/page_{number}.json", (1_000_000 + number,) * 2)
+        os.utime(f"{tmp_path}/quotes/page_{number}.json", (1_000_000 + min(number, 5),) * 2)
     initialise(current, f"{tmp_path}/current")
-    run(spark, tmp_path, last_write_wins=True)
-    assert rows(read_current(spark, f"{tmp_path}/current"))[0]["current_price"] == 40.0 + 18
+    feed = stream_quotes(spark, f"{tmp_path}/quotes", files, multi_line=not lines, arrival=True)
+    query = start_updates(
+        feed, f"{tmp_path}/current", f"{tmp_path}/checkpoint", last_write_wins=True
+    )
+    query.awaitTermination(120)
+    assert query.exception() is None
+    found = read_current(spark, f"{tmp_path}/current")
+    assert found.columns == CURRENT_DAY.fieldNames()
+    assert rows(found)[0]["current_price"] == 40.0 + 18
+    at_once = read_quotes(spark, f"{tmp_path}/quotes", not lines, arrival=True)
+    assert rows(found) == rows(apply_quotes(current, at_once, True).drop("arrival"))
+
+
+def test_last_write_wins_needs_the_arrival(spark, tmp_path, current):
+    write_pages(f"{tmp_path}/quotes", 1)
+    with pytest.raises(ValueError, match="arrival"):
+        run(spark, tmp_path, last_write_wins=True)
 
 
 def test_a_session_polls_until_its_time_is_up(spark, tmp_path, current):

@@ -253,6 +253,13 @@ merged AS (
     {", ".join(f"CASE WHEN u.ticker IS NULL THEN c.{n} ELSE u.{n} END AS {n}" for n in _set)}
   FROM current_rows c LEFT JOIN updates u ON c.ticker = u.ticker)"""
 
+_arrived = "(event_id % 5, t, c)"
+LAST = f"""
+latest AS (
+  SELECT ticker, arg_max(c, {_arrived}) AS current_price,
+    arg_max(t, {_arrived}) AS last_updated_datetime
+  FROM quotes WHERE c > 0 GROUP BY ticker)"""
+
 TO_MERGED = [*TO_PRICES, DETAILS, QUOTES, CURRENT, LATEST, UPDATES, MERGED]
 
 
@@ -645,4 +652,7 @@ UNION ALL SELECT *, 'first' FROM prices
 UNION ALL SELECT *, 'last' FROM prices WHERE close_price_last_day > 30000""",
     ),
     "stream_current_day": _merged,
+    "stream_last_write_wins": _with(
+        *TO_PRICES, DETAILS, QUOTES, CURRENT, LAST, UPDATES, MERGED, select="SELECT * FROM merged"
+    ),
 }

@@ -708,6 +708,23 @@ def stream_current_day(spark, sf_dir):
     return _zoneless(read_current(spark, f"{root}/current"))
 
 
+def stream_last_write_wins(spark, sf_dir):
+    """Quotes land in five polls, by event and not by time; the last to arrive stays, two files a
+    batch."""
+    root = work_dir(spark, "arrivals")
+    feed = views.quote_feed(spark, sf_dir)
+    for poll in range(5):
+        own = feed.filter(F.col("event_id") % 5 == poll).repartition(3, "ticker")
+        landing.land_quotes(own, f"{root}/quotes/poll={poll}")
+    initialise(_current(spark, sf_dir), f"{root}/current")
+    feed = json_feeds.stream_quotes(
+        spark, f"{root}/quotes/*", files_per_batch=2, multi_line=False, arrival=True
+    )
+    updates = start_updates(feed, f"{root}/current", f"{root}/checkpoint", last_write_wins=True)
+    updates.awaitTermination()
+    return _zoneless(read_current(spark, f"{root}/current"))
+
+
 QUERIES: dict[str, Query] = {
     "src_daily_csv": src_daily_csv,
     "src_backfill_csv": src_backfill_csv,
@@ -774,4 +791,5 @@ QUERIES: dict[str, Query] = {
     "publish_snapshot": publish_snapshot,
     "backfill_from_files": backfill_from_files,
     "stream_current_day": stream_current_day,
+    "stream_last_write_wins": stream_last_write_wins,
 }
