@@ -103,8 +103,11 @@ def start_updates(
     stream and the batch: a batch repeated after a failure is recognised, one of another stream
     (a new checkpoint over an old table) is never taken for it, and a half-written version (no
     success marker) is never read. A replaced version stays for ``keep_for``, for those who are
-    still reading it. One stream at a time may update a table.
+    still reading it. One stream at a time may update a table. ``last_write_wins`` needs a stream
+    with the quotes' arrival, which is stored beside the prices.
     """
+    if last_write_wins and "arrival" not in quotes.columns:
+        raise ValueError("last_write_wins needs quotes with their arrival")
 
     def merge(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
