@@ -13,14 +13,11 @@ one is verified on the whole sets.
 How frequent a token is comes from counts of all shingles of all documents in ``COUNTERS`` hashed
 counters. They only choose order and classes: any counts give the same links.
 
-The index serves to find components first, and there a pair whose ends are already known to be in
-one component need not be verified. Each index entry first tries all its sets against one of them. While the components of
-the links leave many pairs of different components, a round tries all against a few others. What is
-left then, in an entry, are few pairs of sets of different components, and all of them are tried.
-
-Sets that link are in one component, so all links are found by comparing the sets of a component
-with each other. A component's sets are dealt out to blocks, and a task compares two blocks at a
-time: a set is sent once for each block of its component, not once for each set.
+An entry of at most ``DENSE`` sets makes candidate pairs of its sets; a pair is verified once, however
+many entries it shares. Larger entries make no pairs: the sets that such entries connect are a
+cluster, its sets are dealt out to blocks, and a task compares two blocks at a time by products of
+their tokens, so a set is sent once for each block of its cluster and not once for each set. Both
+ways give the links of every set; the links connect components.
 """
 
 from __future__ import annotations
@@ -47,13 +44,12 @@ _PIECE = 1 << 14
 #: A token is frequent if its counter exceeds this multiple of the mean counter, plus a margin.
 FREQUENT = (4.0, 32.0)
 
-#: Up to so many candidate documents their ids (8 MB) are sent to the texts; beyond that the texts
-#: are shuffled to them.
-SENT_IDS = 1_000_000
+#: Up to so many candidate documents their names (10 MB) are sent to the texts; beyond that the
+#: texts are shuffled to them.
+SENT_IDS = 100_000
 
-#: Rounds in which the sets of an entry are tried against a few of them, while many pairs are left.
-ROUNDS = 5
-PIVOTS = 8
+#: Sets of an index entry that makes pairs.
+DENSE = 32
 
 #: Sets, and tokens, in one of the blocks that are compared with each other, about.
 BLOCK_SETS = 1024
@@ -290,11 +286,11 @@ def _sets(df: DataFrame, wanted: DataFrame, kind: type) -> DataFrame:
 
 
 def _verified(df: DataFrame, pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """(u, v): the pairs (a, b) of set names whose sets link, as the sets' first documents. Equal
+    """(a, b, u, v): the pairs of set names whose sets link, with the sets' first documents. Equal
     tokens have equal lowest bits, so a first look at 16 of them, a quarter of the bytes, drops
     most pairs that do not link and none that do."""
     near = checkpointed(_linked(df, checkpointed(pairs), classes, np.uint16).select("a", "b"))
-    return checkpointed(_linked(df, near, classes, np.uint64).select("u", "v"))
+    return checkpointed(_linked(df, near, classes, np.uint64))
 
 
 def _linked(df: DataFrame, pairs: DataFrame, classes: DataFrame, kind: type) -> DataFrame:
@@ -320,79 +316,66 @@ def _linked(df: DataFrame, pairs: DataFrame, classes: DataFrame, kind: type) ->
     return found.mapInArrow(run, f"a {name}, b {name}, u bigint, v bigint")
 
 
-def connecting(df: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The documents (doc_id, n, set_id), with null ids, and enough links (u, v) between first
-    documents of different sets to connect all that link."""
+class Found(NamedTuple):
+    """What the index finds.
+
+    ``documents`` are (doc_id, n, set_id) of all rows, ``classes`` (set_id, n, doc, copies) of all
+    sets with words, with their first documents, ``pairs`` (a, b, u, v) the verified links between
+    sets that no large entries connect, and ``clusters`` (set_id, n, doc, copies, component) the
+    sets to be compared with all others of their component.
+    """
+
+    documents: DataFrame
+    classes: DataFrame
+    pairs: DataFrame
+    clusters: DataFrame
+
+
+def search(df: DataFrame) -> Found:
     df = df.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     measured = checkpointed(_measure(df))
     documents = measured.where("piece IS NULL").select("doc_id", "n", "set_id")
-    order = _order(measured)
     named = df.where(F.col("doc_id").isNotNull())
-    by_entry = "OVER (PARTITION BY entry)"
-    index = _index(named, order).selectExpr(
-        "*", f"min(set_id) {by_entry} AS low", f"max(set_id) {by_entry} AS high"
+    classes = documents.where("doc_id IS NOT NULL AND n > 0").groupBy("set_id", "n")
+    classes = checkpointed(
+        classes.agg(F.min("doc_id").alias("doc"), F.count_distinct("doc_id").alias("copies"))
     )
-    index = index.where("low < high").selectExpr(
-        "entry", "set_id", "n", "low", f"max(if(set_id = low, n, null)) {by_entry} AS low_n"
+
+    index = checkpointed(_index(named, _order(measured)))
+    # Tasks may each have entered a set. Counted before the shuffle; a large entry can be split.
+    sizes = index.groupBy("entry").agg(
+        F.count(F.lit(1)).alias("size"), F.min("set_id").alias("low"), F.max("set_id").alias("high")
     )
-    index = checkpointed(index)
-    classes = documents.where("doc_id IS NOT NULL AND n > 0")
-    classes = classes.groupBy("set_id", "n").agg(F.min("doc_id").alias("doc"))
-    indexed = index.select("set_id", "n").distinct()
-    wanted = checkpointed(classes.join(indexed, ["set_id", "n"], "left_semi"))
-
-    tried = index.where("set_id <> low").where(_fits("n", "low_n"))
-    tried = tried.selectExpr(
-        "named_struct('set_id', low, 'n', low_n) AS a", "struct(set_id, n) AS b"
+    sizes = sizes.where("low < high").select("entry", "size")
+    index = checkpointed(index.join(sizes, "entry").distinct())
+
+    dense = index.where(f"size > {DENSE}").selectExpr("entry", "struct(set_id, n) AS s")
+    clusters = _clusters(dense, classes)
+    rare = index.where(f"size <= {DENSE}").selectExpr("entry", "struct(set_id, n) AS s")
+    rare = _near(
+        rare, clusters.selectExpr("struct(set_id, n) AS s", "component"), ["s"], "left"
     )
-    edges = _verified(named, tried.distinct(), wanted)
-    for number in range(ROUNDS):
-        mixed, rows, pairs = _mixed(index, wanted, edges)
-        if pairs <= 2 * rows:
-            break
-        seeds = range(number * PIVOTS, (number + 1) * PIVOTS)
-        by_seed = [F.expr(f"min(struct(xxhash64(s, {k}L) AS h, s, component)) {by_entry}") for k in seeds]
-        tried = mixed.select("s", "component", F.array(*by_seed).alias("pivots"))
-        tried = tried.select("s", "component", F.explode("pivots").alias("p"))
-        tried = tried.where("component <> p.component").where(_fits("s.n", "p.s.n"))
-        tried = tried.selectExpr("least(s, p.s) AS a", "greatest(s, p.s) AS b").distinct()
-        edges = checkpointed(edges.unionByName(_verified(named, tried, wanted)))
-    else:
-        mixed, _, _ = _mixed(index, wanted, edges)
-    others = mixed.where("component <> main").selectExpr("entry", "s AS a", "component AS c")
-    rest = mixed.selectExpr("entry", "s AS b", "component AS d", "main").join(others, "entry")
-    # A pair of two sets outside the main component is met from both ends and kept once.
-    rest = rest.where("c <> d AND (d = main OR a < b)").where(_fits("a.n", "b.n"))
-    more = _verified(named, rest.select("a", "b").distinct(), wanted)
-    return documents, edges.unionByName(more)
-
-
-def _mixed(index: DataFrame, wanted: DataFrame, edges: DataFrame) -> tuple[DataFrame, int, int]:
-    """(entry, s, component, main): the index entries whose sets s are of several components, as
-    far as the edges tell; main is the component of most. Also their rows, and the pairs left."""
+    left = rare.selectExpr("entry", "s AS a", "component AS c")
+    right = rare.selectExpr("entry", "s AS b", "component AS d")
+    pairs = left.join(right, "entry").where("a < b AND NOT coalesce(c = d, false)")
+    pairs = pairs.where(_fits("a.n", "b.n")).select("a", "b").distinct()
+    return Found(documents, classes, _verified(named, pairs, classes), clusters)
+
+
+def _clusters(dense: DataFrame, classes: DataFrame) -> DataFrame:
+    """(set_id, n, doc, copies, component): the sets that entries of ``dense`` connect. An entry
+    links each of its sets with the one of smallest name, so it has as many edges as sets."""
+    named = dense.join(classes.withColumn("s", F.struct("set_id", "n")), "s")
+    named = checkpointed(named.select("entry", "set_id", "n", "doc", "copies"))
+    first = named.groupBy("entry").agg(F.min("doc").alias("first"))
+    edges = named.join(first, "entry").where("doc > first").selectExpr("first AS u", "doc AS v")
     found = components(edges)
-    node = wanted.join(found, wanted["doc"] == found["node"], "left").selectExpr(
-        "set_id", "n", "coalesce(component, doc) AS component"
-    )
-    placed = _near(index, checkpointed(node), ["set_id", "n"], "inner")
-    by_entry = "OVER (PARTITION BY entry)"
-    mixed = placed.selectExpr(
-        "entry",
-        "struct(set_id, n) AS s",
-        "component",
-        f"min(component) {by_entry} AS least",
-        f"max(component) {by_entry} AS most",
-    )
-    mixed = mixed.where("least < most").select("entry", "s", "component").distinct()
-    sizes = mixed.groupBy("entry", "component").count()
-    main = sizes.groupBy("entry").agg(
-        F.max(F.struct("count", "component")).alias("m"), F.sum("count").alias("size")
+    sets = named.drop("entry").distinct()
+    return checkpointed(
+        sets.join(found, sets["doc"] == found["node"], "left").selectExpr(
+            "set_id", "n", "doc", "copies", "coalesce(component, doc) AS component"
+        )
     )
-    main = main.selectExpr("entry", "m.component AS main", "size", "size - m.count AS others")
-    mixed = checkpointed(mixed.join(main, "entry"))
-    pairs = F.expr("if(component = main, 0, size)")
-    rows, left = mixed.agg(F.count(F.lit(1)), F.coalesce(F.sum(pairs), F.lit(0))).first()
-    return mixed.select("entry", "s", "component", "main"), rows, left
 
 
 def _common(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
@@ -452,10 +435,29 @@ def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
         yield pa.Table.from_batches(waiting)
 
 
-def _compared(df: DataFrame, documents: DataFrame, placed: DataFrame, sums: bool) -> DataFrame:
-    """All links between sets of one component, as (u, v), the sets' first documents, or with
-    ``sums`` as (set_id, n, links): how many documents the sets that a set links with have.
-    ``placed`` are (set_id, n, doc, component) of all sets with words."""
+def _joined(near: np.ndarray) -> np.ndarray:
+    """For a matrix of links between the sets on its two sides: for each set, left ones first, the
+    number of the first set that it is connected with."""
+    rows, columns = near.shape
+    label = np.arange(rows + columns)
+    none = rows + columns
+    while True:
+        left, right = label[:rows], label[rows:]
+        reached = np.where(near, right[None, :], none).min(axis=1, initial=none)
+        left = np.minimum(left, reached)
+        reached = np.where(near, left[:, None], none).min(axis=0, initial=none)
+        new = np.concatenate((left, np.minimum(right, reached)))
+        new = np.minimum(new, new[new])
+        if (new == label).all():
+            return label
+        label = new
+
+
+def _compared(df: DataFrame, clusters: DataFrame, pairs: bool) -> DataFrame:
+    """What the comparison of all sets of each cluster finds: with ``pairs`` every link (u, v), as
+    the sets' first documents. Else (set_id, n, links, u, v): how many documents the sets that a
+    set links with have, and the first documents of a set that it is connected with and its own; a
+    set comes once for each two blocks that have links of it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in _groups(batches):
@@ -463,37 +465,39 @@ def _compared(df: DataFrame, documents: DataFrame, placed: DataFrame, sums: bool
             size, ids, doc, copies, block = (
                 group[name].to_numpy() for name in ("n", "set_id", "doc", "copies", "block")
             )
+            # A document with two rows of one set makes it twice.
             _, once = np.unique(np.stack((ids, size)), axis=1, return_index=True)
-            tokens = group["tokens"]
             left, right = (once[block[once] == side] for side in (i, j))
             if not len(left) or not len(right):
                 continue
+            tokens = group["tokens"]
             sets = {at: np.frombuffer(tokens[int(at)].as_py(), np.uint64) for at in once}
             both = _common([sets[at] for at in left], [sets[at] for at in right])
             near = 100 * both >= PERCENT * (size[left][:, None] + size[right] - both)
             if i == j:
                 near = np.triu(near, 1)
-            if sums:
-                at = np.concatenate((left, right))
-                found = np.concatenate((near @ copies[right], copies[left] @ near))
-                at, found = at[found > 0], found[found > 0]
-                columns = [ids[at], size[at], found]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names)
-            else:
+            if pairs:
                 a, b = np.nonzero(near)
                 for low in range(0, len(a), 1 << 16):
                     u, v = doc[left[a[low : low + (1 << 16)]]], doc[right[b[low : low + (1 << 16)]]]
                     columns = [np.minimum(u, v), np.maximum(u, v)]
                     yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names)
-
-    names = ["set_id", "n", "links"] if sums else ["u", "v"]
-    copies = documents.where("doc_id IS NOT NULL AND n > 0").groupBy("set_id", "n")
-    copies = copies.agg(F.count_distinct("doc_id").alias("copies"))
-    size = placed.groupBy("component").agg(F.count(F.lit(1)).alias("sets"), F.sum("n").alias("all"))
-    size = size.where("sets > 1").selectExpr(
+                continue
+            at = np.concatenate((left, right))
+            links = np.concatenate((near @ copies[right], copies[left] @ near))
+            some = links > 0
+            reached = doc[at[_joined(near)]]
+            columns = [c[some] for c in (ids[at], size[at], links, reached, doc[at])]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names)
+
+    names = ["u", "v"] if pairs else ["set_id", "n", "links", "u", "v"]
+    size = clusters.groupBy("component").agg(
+        F.count(F.lit(1)).alias("sets"), F.sum("n").alias("all")
+    )
+    size = size.selectExpr(
         "component", f"ceil(greatest(sets / {BLOCK_SETS}, all / {BLOCK_TOKENS})) AS blocks"
     )
-    dealt = placed.join(size, "component").join(copies, ["set_id", "n"])
+    dealt = clusters.join(size, "component")
     dealt = checkpointed(dealt.withColumn("block", F.expr("pmod(xxhash64(set_id, n), blocks)")))
     named = df.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     sets = _sets(named, dealt.select("set_id", "n", "doc"), np.uint64)
@@ -515,64 +519,64 @@ def _compared(df: DataFrame, documents: DataFrame, placed: DataFrame, sums: bool
     return sets.mapInArrow(run, ", ".join(f"{name} bigint" for name in names))
 
 
-def _placed(documents: DataFrame, found: DataFrame) -> DataFrame:
-    """(set_id, n, doc, component): the sets with words, their first documents and components."""
-    copies = documents.where("n > 0 AND doc_id IS NOT NULL")
-    doc = copies.groupBy("set_id", "n").agg(F.min("doc_id").alias("doc"))
-    return doc.join(found, doc["doc"] == found["node"], "left").selectExpr(
-        "set_id", "n", "doc", "coalesce(component, doc) AS component"
-    )
-
-
 def links(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The documents (doc_id, n, set_id), with null ids, and every link between two different sets
     once, as the sets' first documents (u, v), u the smaller."""
-    documents, edges = connecting(df)
-    placed = checkpointed(_placed(documents, components(edges)))
-    return documents, _compared(df, documents, placed, False)
-
-
-def classes(df: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, component_id), one row per input row.
-
-    ``component_id`` is the smallest doc_id reachable by links, the document's own included.
-    Documents with equal sets link; a null or empty text, or one without words, has an empty set
-    and links with nothing. Rows that repeat a doc_id are one document with the links of each; a
-    row without doc_id links with nothing and has no component. Other columns are not read.
-    """
-    documents, edges = connecting(df)
-    return _named(documents, _placed(documents, components(edges)))
+    found = search(df)
+    pairs = found.pairs.selectExpr("least(u, v) AS u", "greatest(u, v) AS v")
+    return found.documents, pairs.unionByName(_compared(df, found.clusters, True))
 
 
 def linked_classes(df: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, component_id, n_links): ``classes`` with the number of links of each
-    row's set to those of other documents: a document of several sets counts once for each, a set's
-    own row not. A row without doc_id or words has none."""
-    documents, edges = connecting(df)
-    placed = checkpointed(_placed(documents, components(edges)))
-    more = _compared(df, documents, placed, True)
-    more = more.groupBy("set_id", "n").agg(F.sum("links").alias("links"))
-    same = documents.where("n > 0 AND doc_id IS NOT NULL").groupBy("set_id", "n")
-    same = same.agg((F.count_distinct("doc_id") - 1).alias("same"))
-    number = same.join(more, ["set_id", "n"], "left")
-    number = number.selectExpr("set_id", "n", "same + coalesce(links, 0) AS n_links")
-    placed = placed.join(number, ["set_id", "n"])
-    count = F.expr("if(doc_id IS NULL, 0, coalesce(n_links, 0))").alias("n_links")
-    return _named(documents, placed, count)
-
-
-def _named(documents: DataFrame, placed: DataFrame, *more) -> DataFrame:
-    named = documents.join(placed, ["set_id", "n"], "left")
-    return named.select(
+    """(doc_id, n_shingles, component_id, n_links), one row per input row.
+
+    ``component_id`` is the smallest doc_id reachable by links, the document's own included;
+    ``n_links`` is the number of other documents that the row's set links with. Documents with equal
+    sets link; a null or empty text, or one without words, has an empty set and links with nothing.
+    Rows that repeat a doc_id are one document with the links of each; such a document of several
+    sets counts once for each. A row without doc_id links with nothing and has no component. Other
+    columns are not read.
+    """
+    found = search(df)
+    dense = checkpointed(_compared(df, found.clusters, False))
+    named = checkpointed(
+        found.documents.where("doc_id IS NOT NULL AND n > 0").join(found.classes, ["set_id", "n"])
+    )
+    # A document of several sets connects them.
+    low = named.groupBy("doc_id").agg(F.min("doc").alias("u"), F.max("doc").alias("v"))
+    low = low.where("u < v").select("doc_id", "u")
+    several = named.join(low, "doc_id").where("u < doc").selectExpr("u", "doc AS v")
+    edges = found.pairs.select("u", "v").unionByName(dense.select("u", "v")).unionByName(several)
+    reached = components(edges)
+
+    copies = found.classes.selectExpr("struct(set_id, n) AS other", "copies AS links")
+    ends = found.pairs.selectExpr("a AS s", "b AS other")
+    ends = ends.unionByName(found.pairs.selectExpr("b AS s", "a AS other")).join(copies, "other")
+    count = ends.selectExpr("s.set_id", "s.n", "links")
+    count = count.unionByName(dense.select("set_id", "n", "links"))
+    count = count.groupBy("set_id", "n").agg(F.sum("links").alias("links"))
+
+    classes = found.classes.join(reached, F.col("doc") == F.col("node"), "left")
+    classes = classes.join(count, ["set_id", "n"], "left").selectExpr(
+        "set_id",
+        "n",
+        "coalesce(component, doc) AS component",
+        "copies - 1 + coalesce(links, 0) AS n_links",
+    )
+    rows = found.documents.join(classes, ["set_id", "n"], "left")
+    return rows.selectExpr(
         "doc_id",
-        F.col("n").alias("n_shingles"),
-        F.expr("CASE WHEN doc_id IS NOT NULL THEN coalesce(component, doc_id) END").alias(
-            "component_id"
-        ),
-        *more,
+        "n AS n_shingles",
+        "CASE WHEN doc_id IS NOT NULL THEN coalesce(component, doc_id) END AS component_id",
+        "if(doc_id IS NULL, 0L, coalesce(n_links, 0L)) AS n_links",
     )
 
 
+def classes(df: DataFrame) -> DataFrame:
+    """(doc_id, n_shingles, component_id): ``linked_classes`` without the number of links."""
+    return linked_classes(df).drop("n_links")
+
+
 def distinct_documents(df: DataFrame) -> DataFrame:
     """The input's rows without those that link, directly or not, with a smaller doc_id. Of rows
     that repeat a doc_id all stay or go together; rows without doc_id stay."""

@@ -242,14 +242,12 @@ def test_components_equal_brute_force(spark, monkeypatch, frequent):
     assert {row[0]: tuple(row) for row in found} == brute_components(rows)
 
 
-def test_all_links_equal_brute_force(spark, monkeypatch):
-    """All sets as one component, compared in several blocks; what the index finds is tested above."""
-
-    def connecting(df):
-        documents = jaccard_join._measure(df).where("piece IS NULL").select("doc_id", "n", "set_id")
-        return documents, documents.where("doc_id > 0").selectExpr("doc_id AS u", "0L AS v")
-
-    monkeypatch.setattr(jaccard_join, "connecting", connecting)
+@pytest.mark.parametrize("dense", [1, 4, 32])
+@pytest.mark.parametrize("frequent", [jaccard_join.FREQUENT, (0.0, 1.0)])
+def test_all_links_equal_brute_force(spark, monkeypatch, dense, frequent):
+    """Index entries that make pairs, and those whose sets are compared in several blocks."""
+    monkeypatch.setattr(jaccard_join, "DENSE", dense)
+    monkeypatch.setattr(jaccard_join, "FREQUENT", frequent)
     monkeypatch.setattr(jaccard_join, "BLOCK_SETS", 5)
     rng, rows = random.Random(6), []
     for doc in range(120):
