@@ -263,10 +263,10 @@ latest AS (
 TO_MERGED = [*TO_PRICES, DETAILS, QUOTES, CURRENT, LATEST, UPDATES, MERGED]
 
 
-def _board(metric: str, direction: str, where: str = "true") -> str:
+def _board(metric: str, direction: str, where: str = "true", n: int = 50) -> str:
     return f"""SELECT ticker, max({metric}) AS {metric} FROM merged
 WHERE {metric} IS NOT NULL AND {where}
-GROUP BY ticker ORDER BY max({metric}) {direction}, ticker LIMIT 50"""
+GROUP BY ticker ORDER BY max({metric}) {direction}, ticker LIMIT {n}"""
 
 
 # ---- data quality ---------------------------------------------------------------------------
@@ -374,6 +374,30 @@ fixed AS (
   FROM {base} LEFT JOIN late_ratio USING (ticker, snapshot_date))"""
 
 
+def _parts(checks: list[tuple[str, str]], source: str, part: str) -> str:
+    """The checks over all rows (part -1) and over each of four parts."""
+    return "\nUNION ALL ".join(
+        _check([*checks, ("part", str(number))], f"(SELECT * FROM {source} WHERE {condition})")
+        for number, condition in [(-1, "true"), *((n, f"{part} % 4 = {n}") for n in range(4))]
+    )
+
+
+_all_details = "SELECT ticker, company_name, market_cap, as_of_date FROM details"
+_bars_broken = """
+broken AS (SELECT * REPLACE (
+  CASE WHEN transactions % 4 <> 0 THEN close END AS close,
+  CASE WHEN transactions % 4 <> 1 THEN volume END AS volume,
+  CASE WHEN transactions % 4 <> 1 THEN low END AS low,
+  CASE WHEN transactions % 4 <> 2 THEN snapshot_date END AS snapshot_date) FROM bars)"""
+_splits_broken = """
+numbered AS (SELECT *, CAST(substr(ticker, 2) AS INTEGER) AS number FROM splits),
+broken AS (SELECT * REPLACE (
+  CASE WHEN number % 4 <> 0 THEN split_from END AS split_from,
+  CASE WHEN number % 4 = 1 THEN 0 ELSE split_to END AS split_to,
+  CASE WHEN number % 4 <> 2 THEN ticker END AS ticker) FROM numbered)"""
+_middle = """last_updated_datetime BETWEEN
+  (SELECT make_timestamp((epoch_us(min(t)) + 31 * epoch_us(max(t))) // 32) FROM quotes)
+  AND (SELECT make_timestamp((epoch_us(min(t)) + 255 * epoch_us(max(t))) // 256) FROM quotes)"""
 _all_tickers = """
 all_tickers AS (SELECT ticker FROM eve_tickers UNION SELECT ticker FROM day0
   UNION SELECT ticker FROM day1)"""
@@ -651,6 +675,31 @@ FROM splits WHERE CAST(substr(ticker, 2) AS INTEGER) % 5 <> 0""",
 UNION ALL SELECT *, 'first' FROM prices
 UNION ALL SELECT *, 'last' FROM prices WHERE close_price_last_day > 30000""",
     ),
+    "src_daily_among_days": _with(
+        BARS, select=f"SELECT * FROM bars WHERE snapshot_date = DATE '{EVE}'"
+    ),
+    "dq_bars_broken": _with(
+        BARS, _bars_broken, select=_parts(_not_null(_BAR_COLUMNS), "broken", "transactions")
+    ),
+    "dq_splits_broken": _with(
+        SPLITS, _splits_broken, select=_parts(SPLIT_CHECKS, "broken", "number")
+    ),
+    "top5_above_365d": _with(
+        *TO_MERGED, select=_board("m_price_change_last_365_days_pct", "DESC", n=5)
+    ),
+    "top5_below_365d": _with(
+        *TO_MERGED, select=_board("m_price_change_last_365_days_pct", "ASC", n=5)
+    ),
+    "board_updated_between": _with(
+        *TO_MERGED, select=_board("m_price_change_last_365_days_pct", "DESC", _middle)
+    ),
+    "create_table_once": _with(DETAILS, select=_all_details),
+    "replace_whole_table": _with(
+        *TO_PRICES, DETAILS, CURRENT, select="SELECT * FROM current_rows"
+    ),
+    "latest_details_partitioned": _with(
+        DETAILS, select=f"{_all_details} WHERE as_of_date = DATE '2000-06-10'"
+    ),
     "stream_current_day": _merged,
     "stream_last_write_wins": _with(
         *TO_PRICES, DETAILS, QUOTES, CURRENT, LAST, UPDATES, MERGED, select="SELECT * FROM merged"

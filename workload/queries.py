@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
-from datetime import date, timedelta
+from datetime import date, datetime, timedelta, timezone
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -40,6 +41,7 @@ from barweave.plans.intraday import apply_quotes
 from barweave.plans.reference_prices import dim_prices, init_current_day
 from barweave.schemas import (
     CUMULATIVE,
+    CURRENT_DAY,
     DIM_PRICES,
     PRICE_ELEMENT,
     SPLIT_LEDGER,
@@ -48,11 +50,21 @@ from barweave.schemas import (
 )
 from barweave.session import work_dir
 from barweave.sinks import versions
-from barweave.sinks.tables import overwrite_partitions, publish_partition, replace_table
+from barweave.sinks.tables import (
+    create_if_absent,
+    overwrite_partitions,
+    publish_partition,
+    replace_table,
+)
 from barweave.sources import json_feeds
 from barweave.sources.bars import months_between, read_daily_bars, read_month_bars
 from barweave.sources.landed import landed_files, page_addresses
-from barweave.sources.tables import read_partition, read_table, reference_columns
+from barweave.sources.tables import (
+    read_newest_partition,
+    read_partition,
+    read_table,
+    reference_columns,
+)
 from barweave.streaming.current_day import initialise, read_current, start_updates
 
 from . import landing, views
@@ -725,6 +737,102 @@ def stream_last_write_wins(spark, sf_dir):
     return _zoneless(read_current(spark, f"{root}/current"))
 
 
+# ---- evidence: what these check can fail --------------------------------------------------------
+
+
+def src_daily_among_days(spark, sf_dir):
+    """A week of files lands; one day's are read."""
+    root = work_dir(spark, "week-csv")
+    days = [DAY + timedelta(days=offset) for offset in range(-3, 2)]
+    landing.land_days(views.bars(spark, sf_dir), root, days)
+    return read_daily_bars(spark, root, EVE)
+
+
+def _by_part(rows: DataFrame, part: Column, check) -> DataFrame:
+    """The check over all rows, and over those of each part, which differ in what they break."""
+    found = [check(rows).withColumn("part", F.lit(-1))]
+    for number in range(4):
+        own = rows.filter(F.pmod(part, F.lit(4)) == number)
+        found.append(check(own).withColumn("part", F.lit(number)))
+    return reduce(DataFrame.unionByName, found)
+
+
+def dq_bars_broken(spark, sf_dir):
+    """Bars that lack a field, another one in each part; whole ones in the last."""
+    bars = views.bars(spark, sf_dir)
+    part = F.pmod("transactions", F.lit(4))
+
+    def lacking(name, number):
+        return F.when(part != number, F.col(name)).alias(name)
+
+    broken = bars.withColumns(
+        {"close": lacking("close", 0), "volume": lacking("volume", 1), "low": lacking("low", 1),
+         "snapshot_date": lacking("snapshot_date", 2)}
+    )
+    return _by_part(broken, F.col("transactions"), checks.check_bars)
+
+
+def dq_splits_broken(spark, sf_dir):
+    """Splits without a ratio, with one of zero, and without a ticker, in parts."""
+    number = F.col("ticker").substr(2, 9).cast("int")
+    part = F.pmod(number, F.lit(4))
+    splits = views.splits(spark, sf_dir).select(
+        "execution_date",
+        F.when(part != 0, F.col("split_from")).alias("split_from"),
+        F.when(part == 1, F.lit(0.0)).otherwise(F.col("split_to")).alias("split_to"),
+        F.when(part != 2, F.col("ticker")).alias("ticker"),
+        number.alias("number"),
+    )
+    return _by_part(splits, F.col("number"), checks.check_splits)
+
+
+def _top5(ascending: bool) -> Query:
+    metric = "m_price_change_last_365_days_pct"
+    return lambda spark, sf_dir: leaderboard(_updated(spark, sf_dir), metric, ascending, n=5)
+
+
+def board_updated_between(spark, sf_dir):
+    """The board of the tickers last updated near the end of the quotes, but not at it."""
+    times = F.unix_micros(F.concat(F.col("t").cast("string"), F.lit("Z")).cast("timestamp"))
+    first, last = views.quotes(spark, sf_dir).agg(F.min(times), F.max(times)).first()
+    start = datetime(1970, 1, 1, tzinfo=timezone.utc)
+    between = [
+        start + timedelta(microseconds=micros)
+        for micros in ((first + 31 * last) // 32, (first + 255 * last) // 256)
+    ]
+    metric = "m_price_change_last_365_days_pct"
+    return leaderboard(_updated(spark, sf_dir), metric, False, updated=tuple(between))
+
+
+def create_table_once(spark, sf_dir):
+    """A typed, partitioned table is created twice; what was inserted before stays."""
+    path, name = work_dir(spark, "typed-table"), f"typed_{uuid.uuid4().hex}"
+    details = views.details(spark, sf_dir)
+    try:
+        for on in (date(2000, 6, 1), date(2000, 6, 10)):
+            create_if_absent(spark, name, details.schema, path, ["as_of_date"])
+            details.filter(F.col("as_of_date") == F.lit(on)).write.insertInto(name)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+    return read_table(spark, path, details.schema)
+
+
+def replace_whole_table(spark, sf_dir):
+    """The current-day table is replaced by the start of the day, whatever stood in it."""
+    path = work_dir(spark, "current-table")
+    replace_table(_updated(spark, sf_dir), path, CURRENT_DAY)
+    replace_table(_current(spark, sf_dir), path, CURRENT_DAY)
+    return _zoneless(read_table(spark, path, CURRENT_DAY))
+
+
+def latest_details_partitioned(spark, sf_dir):
+    """The newest snapshot by its partition's name: no other is listed or read."""
+    path = work_dir(spark, "details-table")
+    details = views.details(spark, sf_dir)
+    overwrite_partitions(details, path, details.schema, ["as_of_date"])
+    return read_newest_partition(spark, path, details.schema)
+
+
 QUERIES: dict[str, Query] = {
     "src_daily_csv": src_daily_csv,
     "src_backfill_csv": src_backfill_csv,
@@ -792,4 +900,13 @@ QUERIES: dict[str, Query] = {
     "backfill_from_files": backfill_from_files,
     "stream_current_day": stream_current_day,
     "stream_last_write_wins": stream_last_write_wins,
+    "src_daily_among_days": src_daily_among_days,
+    "dq_bars_broken": dq_bars_broken,
+    "dq_splits_broken": dq_splits_broken,
+    "top5_above_365d": _top5(False),
+    "top5_below_365d": _top5(True),
+    "board_updated_between": board_updated_between,
+    "create_table_once": create_table_once,
+    "replace_whole_table": replace_whole_table,
+    "latest_details_partitioned": latest_details_partitioned,
 }
