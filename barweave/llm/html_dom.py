@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter, defaultdict
 
 import numpy as np
 
@@ -77,6 +78,7 @@ def parse(page: str) -> Node:
     root = Node("html", None)
     stack = [root]  # open elements, inline ones as (name, None)
     names: list[str] = ["html"]
+    opened: defaultdict[str, list[int]] = defaultdict(list)  # of each name, its places
     parts: list[str] = []
     linked = links = 0
 
@@ -93,19 +95,24 @@ def parse(page: str) -> Node:
         """Closes the open elements from place ``at`` on."""
         nonlocal linked
         for name in names[at:]:
+            opened[name].pop()
             if name in BLOCKS:
                 stack.pop()
             elif name == "a":
                 linked = max(0, linked - 1)
         del names[at:]
 
+    def push(name: str) -> None:
+        opened[name].append(len(names))
+        names.append(name)
+
+    def place_of(wanted: set[str]) -> int:
+        return max((opened[name][-1] for name in wanted if opened[name]), default=0)
+
     def last(wanted: set[str], stop: set[str] = frozenset()) -> int:
-        for at in range(len(names) - 1, 0, -1):
-            if names[at] in wanted:
-                return at
-            if names[at] in stop:
-                break
-        return 0
+        """The place of the last open element of those wanted, 0 if one to stop at is nearer."""
+        place = place_of(wanted)
+        return place if place >= place_of(stop) else 0
 
     at = 0
     while at < len(page):
@@ -143,7 +150,7 @@ def parse(page: str) -> Node:
             if name in ("br", "img", "input", "wbr"):
                 parts.append(" " if name == "br" else "")
             elif name not in VOID:
-                names.append(name)
+                push(name)
                 linked += name == "a"
             continue
         flush()
@@ -157,7 +164,7 @@ def parse(page: str) -> Node:
         if found[3]:
             _attributes(node, found[3])
         stack.append(node)
-        names.append(name)
+        push(name)
     flush()
     return root
 
@@ -221,8 +228,11 @@ def features(root: Node) -> tuple[list[Node], np.ndarray, np.ndarray]:
         below[up] += below[at] + 1
     total = max(after, 1.0)
     out = np.zeros((n, N_FEATURES))
+    tags: dict[int, Counter[str]] = {-1: Counter([root.tag])}
     for at, node in enumerate(nodes):
         up = parent[at]
+        if up not in tags:
+            tags[up] = Counter(child.tag for child in nodes[up].children)
         row = out[at]
         kind = _KIND.get(node.tag)
         if kind is not None:
@@ -235,7 +245,6 @@ def features(root: Node) -> tuple[list[Node], np.ndarray, np.ndarray]:
         rest = row[2 * len(TAGS) :]
         above = out[up][2 * len(TAGS) :] if up >= 0 else np.zeros(27)
         siblings = nodes[up].children if up >= 0 else [node]
-        same = sum(s.tag == node.tag for s in siblings) if len(siblings) < 64 else len(siblings)
         rest[0] = np.log1p(chars[at])
         rest[1] = links[at] / max(chars[at], 1)
         rest[2] = chars[at] / (below[at] + 1)
@@ -247,7 +256,7 @@ def features(root: Node) -> tuple[list[Node], np.ndarray, np.ndarray]:
         rest[8] = depth[at]
         rest[9] = place[at] / len(siblings)
         rest[10] = np.log1p(len(siblings))
-        rest[11] = same / len(siblings)
+        rest[11] = tags[up][node.tag] / len(siblings)
         rest[12] = min(node.good, 3)
         rest[13] = min(node.bad, 3)
         rest[14] = above[14] + min(node.good, 3)  # on the way from the root
