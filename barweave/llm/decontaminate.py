@@ -14,6 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from barweave.llm.batches import LOWER, byte_set, chunks, joined, spans
 from barweave.llm.scratch import checkpointed
@@ -196,7 +197,8 @@ def match(automaton: Automaton, part: pa.RecordBatch) -> Iterator[Row]:
         hits = union(hits)
         base = int(starts[row])
         cuts = [[int(begin[low + s]) - base, int(end[low + e - 1]) - base] for s, e in hits]
-        yield high - low, hits, cuts, sorted(automaton.items[i] for i in items)
+        # An id on several rows is one item.
+        yield high - low, hits, cuts, sorted({automaton.items[i] for i in items})
 
 
 def union(found: list) -> list[list[int]]:
@@ -231,9 +233,10 @@ def find_hits(
     benchmark of more than one block is matched block by block: each pass adds to the checkpoint of
     the one before, so a task holds one bounded automaton whatever the size of the benchmark.
     """
-    kind = df.schema[key].dataType.simpleString()
-    schema = f"`{key}` {kind}, text string, n_words bigint, hits {_SPANS}, cuts {_SPANS}, "
-    schema += "items array<string>"
+    found = f"text string, n_words bigint, hits {_SPANS}, cuts {_SPANS}, items array<string>"
+    # The key may be a struct of columns with any names.
+    named = T.StructField(key, df.schema[key].dataType)
+    schema = T.StructType([named, *T.StructType.fromDDL(found)])
     frame = df.select(F.col(key), F.col(text).alias("text"))
     for number, block in enumerate(item_blocks(benchmark, block_words)):
         shared = spark.sparkContext.broadcast(block)
@@ -311,7 +314,7 @@ def clean(spark: SparkSession, df: DataFrame, benchmark: DataFrame) -> DataFrame
     """The input's columns without contaminated rows; shorter hits are cut out of the rows that
     stay. ``n_chars``, where there is such a column, is counted again for those."""
     others = [name for name in df.columns if name != "text"]
-    packed = df.select(F.struct(*others).alias("row"), "text")
+    packed = df.select(F.struct(*(F.col(f"`{name}`") for name in others)).alias("row"), "text")
     found = find_hits(spark, packed, benchmark, key="row")
     found = found.where(~is_contaminated()).withColumn("text", without_spans())
     out = {name: F.col(f"row.`{name}`") for name in others} | {"text": F.col("text")}
