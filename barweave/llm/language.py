@@ -15,6 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from barweave.llm.batches import LOWER, byte_set, chunks, joined, mix
 
@@ -103,7 +104,7 @@ def fit(df: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lan
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in small(batch):
-                counts = np.minimum(gram_counts(part.column(1)), 65535).astype(np.uint16)
+                counts = gram_counts(part.column(1)).astype(np.uint32)
                 vectors = pa.array([row.tobytes() for row in counts], pa.binary())
                 yield pa.RecordBatch.from_arrays([part.column(0), vectors], ["lang", "counts"])
 
@@ -112,7 +113,7 @@ def fit(df: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lan
     if not len(sample):
         return None
     sample = sample.sort_values(["lang", "counts"])  # whatever the order of partitions
-    counts = np.array([np.frombuffer(c, np.uint16) for c in sample["counts"]])
+    counts = np.array([np.frombuffer(c, np.uint32) for c in sample["counts"]])
     labels = sample["lang"].to_numpy()
     idf = np.log((1 + len(counts)) / (1 + (counts > 0).sum(0))) + 1
     vectors = unit(np.log1p(counts) * idf).astype(np.float32)
@@ -181,9 +182,10 @@ def predict(df: DataFrame, model: Model | None, text: str = "text") -> DataFrame
                 )
 
     others = [name for name in df.columns if name != text]
-    packed = df.select(F.struct(*others).alias("row"), F.col(text).alias("text"))
-    kind = packed.schema["row"].dataType.simpleString()
-    schema = f"row {kind}, text string, lang_pred string, score double, rejected boolean"
+    row = F.struct(*(F.col(f"`{name}`") for name in others)).alias("row")
+    packed = df.select(row, F.col(text).alias("text"))
+    found = T.StructType.fromDDL("text string, lang_pred string, score double, rejected boolean")
+    schema = T.StructType([T.StructField("row", packed.schema["row"].dataType), *found])
     return packed.mapInArrow(run, schema)
 
 
