@@ -72,7 +72,7 @@ class LineIndex:
             self.spark.sql(f"DROP TABLE {table}")  # external: the files stay
 
     def add(self, keys: DataFrame) -> DataFrame:
-        """Takes a batch of (doc, hash); returns its rows whose hash has an owner below their doc,
+        """Takes a batch of (doc, part, hash); returns its rows whose hash has an owner below their doc,
         in an earlier batch or in this one."""
         seen = keys.groupBy("hash").agg(F.min("doc").alias("first"), F.max("doc").alias("last"))
         held = []
@@ -84,7 +84,7 @@ class LineIndex:
         self._push(0, self._write(seen.where("held IS NULL").selectExpr("hash", "first AS owner")))
         shared = seen.selectExpr("hash", "coalesce(held, first) AS owner", "last")
         shared = shared.where("owner < last").select("hash", "owner")
-        return keys.join(shared, "hash").where("doc > owner").select("doc", "hash")
+        return keys.join(shared, "hash").where("doc > owner").select("doc", "part", "hash")
 
     def _push(self, level: int, run: DataFrame) -> None:
         if level == len(self.levels):
@@ -99,28 +99,34 @@ class LineIndex:
 
 
 def line_keys(df: DataFrame, key: str, text: str) -> DataFrame:
-    """(doc, hash): the distinct hashed keys of each whole text."""
+    """(doc, part, hash): the distinct hashed keys of each whole text. Rows without id are one
+    document, in a part for each text, so that they are not one row of hashes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            docs, hashes = [], []
-            places = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)
-            for doc, value in places:
+            docs, parts, hashes = [], [], []
+            for doc, part, value in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 found = set(map(line_hash, lines_of(value))) - {None}
                 docs += [doc] * len(found)
+                parts += [part] * len(found)
                 hashes += found
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(docs, pa.int64()), pa.array(hashes, pa.binary())], ["doc", "hash"]
-            )
+            columns = [pa.array(docs, pa.int64()), pa.array(parts, pa.int64())]
+            columns.append(pa.array(hashes, pa.binary()))
+            yield pa.RecordBatch.from_arrays(columns, ["doc", "part", "hash"])
 
-    doc = F.coalesce(F.col(key).cast("bigint"), F.lit(LAST))
-    return df.select(doc.alias("doc"), F.col(text).alias("text")).mapInArrow(
-        run, "doc bigint, hash binary"
-    )
+    rows = df.select(*_document(key, text), F.col(text).alias("text"))
+    return rows.mapInArrow(run, "doc bigint, part bigint, hash binary")
+
+
+def _document(key: str, text: str) -> list:
+    """The names of a row's document and of its part."""
+    number = F.col(key).cast("bigint")
+    part = F.when(number.isNull(), F.xxhash64(F.col(text))).otherwise(F.lit(0))
+    return [F.coalesce(number, F.lit(LAST)).alias("doc"), part.cast("bigint").alias("part")]
 
 
 def drops(df: DataFrame, key: str = "doc_id", text: str = "text", batches: int = 4) -> DataFrame:
-    """(doc, hashes): the line hashes each document loses. The documents go through a new index in
+    """(doc, part, hashes): the line hashes each document loses. The documents go through a new index in
     ``batches`` ranges of ids, smallest ids first, so a line's owner is the smallest id holding it.
     """
     spark = df.sparkSession
@@ -131,18 +137,18 @@ def drops(df: DataFrame, key: str = "doc_id", text: str = "text", batches: int =
     batch = sum((F.col("doc") > cut).cast("int") for cut in cuts) if cuts else F.lit(0)
     keys = line_keys(df, key, text).withColumn("batch", batch)
     keys.write.partitionBy("batch").parquet(f"{folder}/keys")
-    schema = T.StructType.fromDDL("doc bigint, hash binary, batch int")
+    schema = T.StructType.fromDDL("doc bigint, part bigint, hash binary, batch int")
     keys = spark.read.schema(schema).parquet(f"{folder}/keys")
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     index = LineIndex(spark, folder, buckets)
     found = [
-        index.add(keys.where(F.col("batch") == number).select("doc", "hash"))
+        index.add(keys.where(F.col("batch") == number).drop("batch"))
         for number in range(len(cuts) + 1)
     ]
     lost = found[0]
     for more in found[1:]:
         lost = lost.unionByName(more)
-    return lost.groupBy("doc").agg(F.collect_set("hash").alias("hashes"))
+    return lost.groupBy("doc", "part").agg(F.collect_set("hash").alias("hashes"))
 
 
 def without_lines(df: DataFrame, lost: DataFrame, key: str = "doc_id", text: str = "text"):
@@ -176,11 +182,11 @@ def without_lines(df: DataFrame, lost: DataFrame, key: str = "doc_id", text: str
             yield pa.RecordBatch.from_arrays(arrays, ["row", "n_lines", "n_dropped", "kept"])
 
     packed = df.select(
-        F.coalesce(F.col(key).cast("bigint"), F.lit(LAST)).alias("doc"),
-        F.struct(*(name for name in df.columns if name != text)).alias("row"),
+        *_document(key, text),
+        F.struct(*(F.col(f"`{name}`") for name in df.columns if name != text)).alias("row"),
         F.col(text).alias("text"),
     )
-    joined = packed.join(lost, "doc", "left").select("row", "text", "hashes")
+    joined = packed.join(lost, ["doc", "part"], "left").select("row", "text", "hashes")
     schema = T.StructType(
         [
             T.StructField("row", packed.schema["row"].dataType),
