@@ -5,6 +5,7 @@ import html
 import itertools
 import random
 import re
+import time
 import zlib
 
 import duckdb
@@ -28,7 +29,7 @@ from barweave.llm import (
     suffix_tree,
 )
 from barweave.llm.components import components
-from barweave.llm.html_dom import TEXT, features, parse
+from barweave.llm.html_dom import TAGS, TEXT, features, parse
 from barweave.llm.html_samples import Maker
 from barweave.llm.queries import ORACLE, QUERIES
 
@@ -389,3 +390,153 @@ def test_extraction(spark, sf_dir):
     odd = spark.createDataFrame([(i, "u", page) for i, page in odd], "page_id bigint, url string, html string")
     assert html_extract.extract(odd, trees).count() == 6
     assert html_extract.extract(odd.limit(0), trees).count() == 0
+
+
+def test_siblings_are_counted_exactly():
+    """One advert among many paragraphs, below and above the 64 that once were a border."""
+    for size in (10, 63, 64, 300):
+        page = "<body>" + "<p>word</p>" * (size - 1) + "<div>advert</div></body>"
+        nodes, table, parent = features(parse(page))
+        (at,) = [k for k, node in enumerate(nodes) if node.tag == "div"]
+        column = 2 * len(TAGS) + 11
+        assert table[at, column] == 1 / size
+        assert table[at - 1, column] == 1  # the text of the last paragraph, alone in it
+        assert {table[k, column] for k, n in enumerate(nodes) if n.tag == "p"} == {(size - 1) / size}
+
+
+def test_a_long_page_of_unclosed_tags_is_linear():
+    for page in ("<b><p>word</p>" * 75_000, "<div><b><p>word" * 60_000, "<table><b><p>" * 60_000):
+        start = time.thread_time()
+        parse(page)
+        assert time.thread_time() - start < 6
+
+
+def test_open_elements_are_found_as_by_a_search():
+    """Against the same parser that looks through all open names."""
+    rng = random.Random(8)
+    tags = ["p", "b", "a", "li", "ul", "table", "tr", "td", "button", "div", "h1", "i"]
+    for _ in range(300):
+        page = "".join(
+            rng.choice(("<{}>", "</{}>", "{}")).format(rng.choice(tags)) for _ in range(60)
+        )
+        nodes, _, parent = features(parse(page))
+        found = [(node.tag, node.text, int(up)) for node, up in zip(nodes, parent, strict=True)]
+        names = ["html"]
+        expected = plain_tree(page, names)
+        assert found == expected
+
+
+def plain_tree(page, names):
+    """(tag, text, place of the parent) in page order, by the rules that the parser states."""
+    from barweave.llm.html_dom import BLOCKS, CLOSES, SCOPE
+
+    out, stack, words = [("html", None, -1)], [0], []
+
+    def flush():
+        if "".join(words).strip():
+            out.append((TEXT, " ".join("".join(words).split()), stack[-1]))
+        words.clear()
+
+    def last(wanted, stop=()):
+        for at in range(len(names) - 1, 0, -1):
+            if names[at] in wanted:
+                return at
+            if names[at] in stop:
+                return 0
+        return 0
+
+    def close(at):
+        for name in names[at:]:
+            if name in BLOCKS:
+                stack.pop()
+        del names[at:]
+
+    for mark in re.findall(r"<[^>]*>|[^<]+", page):
+        name = mark.strip("</>")
+        if not mark.startswith("<"):
+            words.append(mark)
+        elif mark.startswith("</"):
+            place = last({name})
+            if name in BLOCKS:
+                flush()
+            if place:
+                close(place)
+        elif name not in BLOCKS:
+            names.append(name)
+        else:
+            flush()
+            for wanted, stop in (({"p"}, {"button", "td", "th", "table", "li"}), (CLOSES.get(name, ()), SCOPE)):
+                if place := last(wanted, stop):
+                    close(place)
+            out.append((name, None, stack[-1]))
+            stack.append(len(out) - 1)
+            names.append(name)
+    flush()
+    return [(tag, text if tag == TEXT else "", up) for tag, text, up in out]
+
+
+def test_an_item_id_on_several_rows_is_one_item(spark):
+    texts = [" ".join(f"{name}{i}" for i in range(20)) for name in "ab"]
+    documents = spark.createDataFrame([(1, " x ".join(texts))], "doc_id bigint, text string")
+    items = spark.createDataFrame([(5, text) for text in texts], "item_id bigint, text string")
+    for block in (1000, 20):
+        found = decontaminate.digests(
+            decontaminate.find_hits(spark, documents, items, block_words=block)
+        ).first()
+        assert found["n_items"] == 1
+        assert found["items_sha256"] == hashlib.sha256(b"5").hexdigest()
+
+
+def plain_hits(documents, items):
+    """The columns of the query for each document, window by window."""
+
+    def words(text):
+        return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lower(text))
+
+    windows = {}
+    for item, text in items:
+        own = words(text)
+        n = min(13, len(own))
+        for k in range(len(own) - n + 1 if n else 0):
+            windows.setdefault(tuple(own[k : k + n]), set()).add(str(item))
+    sizes = {len(w) for w in windows}
+    for doc, text in documents:
+        own = words(text)
+        hit, found = set(), set()
+        for n, k in itertools.product(sizes, range(len(own))):
+            held = windows.get(tuple(own[k : k + n]))
+            if held and k + n <= len(own):
+                found |= held
+                hit.update(range(k, k + n))
+        names = hashlib.sha256(",".join(sorted(found)).encode()).hexdigest()
+        bad = len(hit) > 0 and 20 * len(hit) >= len(own)
+        yield doc, len(own), len(hit), len(found), names, bad
+
+
+def test_hits_equal_brute_force(spark, sf_dir):
+    documents, items = (spark.read.parquet(f"{sf_dir}/{n}.parquet") for n in ("documents", "benchmark"))
+    texts = sorted(map(tuple, documents.select("doc_id", "text").collect()))
+    expected = list(plain_hits(texts, items.select("item_id", "text").collect()))
+    names = ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"]
+    found = QUERIES["op9_decontaminate"](spark, sf_dir).select(*names).collect()
+    assert sorted(map(tuple, found)) == expected
+
+
+def test_rows_without_id_lose_lines_and_none_to_each_other(spark):
+    line, other = "a line that is shared", "another one that is"
+    rows = [(1, line), (None, f"{line}\n{other}"), (None, other), (None, f"{line}\nown"), (None, other)]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    found = sorted(map(tuple, line_dedup.dedup(frame).collect()), key=str)
+    assert found == sorted([(1, line), (None, other), (None, other), (None, "own"), (None, other)], key=str)
+
+
+def test_columns_with_dots_in_their_names(spark, benchmark_items):
+    rows = [(n, "One two three four five six seven eight nine ten.", "en", "s", n) for n in range(30)]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, `a.b` int")
+    for stage in (
+        language.accepted,
+        line_dedup.dedup,
+        lambda d: decontaminate.clean(spark, d, benchmark_items),
+    ):
+        kept = stage(frame)
+        assert kept.columns == frame.columns and kept.collect() is not None
