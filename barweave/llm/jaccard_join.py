@@ -578,7 +578,32 @@ def classes(df: DataFrame) -> DataFrame:
 
 
 def distinct_documents(df: DataFrame) -> DataFrame:
-    """The input's rows without those that link, directly or not, with a smaller doc_id. Of rows
-    that repeat a doc_id all stay or go together; rows without doc_id stay."""
-    going = classes(df).where("component_id < doc_id").select("doc_id").distinct()
-    return df.join(going, "doc_id", "left_anti").select(*df.columns)
+    """One row of each group of rows that link, directly or not: the one of smallest doc_id.
+
+    Every row counts. Of rows that repeat a doc_id some one has the id, and the others come, like
+    rows without doc_id, after all ids: a copy goes, also if it has the id of the row that stays,
+    and a row of another text stays. Rows without words stay. Columns and their order are kept.
+    """
+    number = F.col("doc_id").cast("bigint")
+    own = df.withColumn(_OWN, number)
+    repeated = own.groupBy(_OWN).agg(F.count(F.lit(1)).alias("rows"))
+    repeated = checkpointed(repeated.where(f"{_OWN} IS NULL OR rows > 1").select(_OWN))
+    if not repeated.isEmpty():
+        again = F.broadcast(repeated) if repeated.count() <= SENT_IDS else repeated
+        same = own[_OWN].eqNullSafe(again[_OWN])
+        # Written once: the numbers given to these rows must not change.
+        loose = own.join(again, same, "left_semi").drop(_OWN)
+        loose = checkpointed(loose.withColumn("_row", F.monotonically_increasing_id()))
+        first = loose.where("doc_id IS NOT NULL").groupBy(number.alias("_id"))
+        first = first.agg(F.min("_row").alias("_row"))
+        top = own.agg(F.max(_OWN)).first()[0] or 0
+        named = loose.join(first, "_row", "left").withColumn(
+            _OWN, F.coalesce("_id", F.col("_row") + F.lit(top + 1))
+        )
+        own = own.join(again, same, "left_anti").unionByName(named.drop("_row", "_id"))
+    keys = own.select(F.col(_OWN).alias("doc_id"), "text")
+    going = classes(keys).where("component_id < doc_id").select(F.col("doc_id").alias(_OWN))
+    return own.join(going, _OWN, "left_anti").select(*(F.col(f"`{name}`") for name in df.columns))
+
+
+_OWN = "_own_id"
