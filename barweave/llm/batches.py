@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -66,21 +67,26 @@ def spans(data: np.ndarray, inside: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)  # odd, so it has an inverse modulo 2**64
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
-_POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+#: Powers that a worker keeps, 16 MB of them. A longer text's are made for it alone.
+_KEPT = 1 << 20
 
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    size = 1 << max(21, int(n).bit_length())
-    if size not in _POWERS:
-        if size > 1 << 24:
-            _POWERS.clear()
-        out = []
-        for factor in (_FACTOR, _INVERSE):
-            powers = np.full(size, factor, np.uint64)
-            powers[0] = 1
-            out.append(np.cumprod(powers, dtype=np.uint64))
-        _POWERS[size] = (out[0], out[1])
-    return _POWERS[size]
+    return _kept_powers() if n <= _KEPT else _new_powers(n)
+
+
+@lru_cache(1)
+def _kept_powers() -> tuple[np.ndarray, np.ndarray]:
+    return _new_powers(_KEPT)
+
+
+def _new_powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    out = []
+    for factor in (_FACTOR, _INVERSE):
+        powers = np.full(n, factor, np.uint64)
+        powers[0] = 1
+        out.append(np.cumprod(powers, dtype=np.uint64))
+    return out[0], out[1]
 
 
 def mix(x: np.ndarray) -> np.ndarray:

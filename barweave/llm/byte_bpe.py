@@ -25,8 +25,8 @@ from pyspark.sql import functions as F
 
 from barweave.llm.batches import chunks, mix, ragged, range_hashes
 
-#: Merged pieces kept by a worker before it starts afresh.
-CACHE_PIECES = 1 << 19
+#: Merged pieces kept by a worker before it starts afresh, about 30 MB of them.
+CACHE_PIECES = 1 << 17
 LANE = 128
 
 LETTER, NUMBER, OTHER, SHORT, LONG, SPACE, BLANK, MORE = range(8)
