@@ -23,6 +23,18 @@ def apply_quotes(
     which must be kept for the next batch: a quote that arrived before the stored one is ignored.
     Either way the result does not depend on how quotes are cut into batches.
     """
+    return _merged(current, quotes, last_write_wins, "left")
+
+
+def changed_rows(
+    current: DataFrame, quotes: DataFrame, last_write_wins: bool = False
+) -> DataFrame:
+    """Only the rows of ``apply_quotes`` that a quote changes, whole, as they then are. It has as
+    many rows as the quotes have tickers, at most, however long the table is."""
+    return _merged(current, quotes, last_write_wins, "inner")
+
+
+def _merged(current: DataFrame, quotes: DataFrame, last_write_wins: bool, how: str) -> DataFrame:
     updates = price_updates(quotes)
     if last_write_wins:
         if "arrival" not in quotes.columns:
@@ -52,7 +64,10 @@ def apply_quotes(
     updates["last_updated_datetime"] = F.col("new_time")
     if last_write_wins:
         updates["arrival"] = F.col("new_arrival")
-    return current.join(newest, "ticker", "left").select(
+    rows = current.join(newest, "ticker", how)
+    if how == "inner":
+        rows = rows.filter(accepted)
+    return rows.select(
         *[
             F.when(accepted, updates[name]).otherwise(F.col(name)).alias(name)
             if name in updates

@@ -3,6 +3,7 @@ import os
 from datetime import timedelta
 
 import pytest
+from pyspark.sql import functions as F
 
 from barweave.plans.intraday import apply_quotes
 from barweave.schemas import CURRENT_DAY, METRICS
@@ -57,7 +58,7 @@ def test_any_split_into_batches_gives_the_same_table(spark, tmp_path, current, p
 def test_replaced_versions_go_after_their_time(spark, tmp_path, current):
     write_pages(f"{tmp_path}/quotes", 3)
     initialise(current, f"{tmp_path}/current")
-    run(spark, tmp_path, keep_for=timedelta(0))
+    run(spark, tmp_path, keep_for=timedelta(0), compact_after=0)
     assert len(os.listdir(f"{tmp_path}/current")) == 1
 
 
@@ -149,3 +150,73 @@ def test_a_session_polls_until_its_time_is_up(spark, tmp_path, current):
     run_for(query, minutes=0.02)
     assert not query.isActive
     assert rows(read_current(spark, f"{tmp_path}/current"))[0]["current_price"] == 40.0
+
+
+def folder_sizes(table):
+    """name -> (rows, bytes) of each version and delta, in order."""
+    sizes = {}
+    for name in sorted(os.listdir(table), key=lambda n: int(n[2:].partition("_")[0])):
+        files = [f for f in os.listdir(f"{table}/{name}") if f.endswith(".parquet")]
+        sizes[name] = sum(os.path.getsize(f"{table}/{name}/{file}") for file in files)
+    return sizes
+
+
+@pytest.mark.parametrize("last_write_wins", [False, True])
+@pytest.mark.parametrize("compact_after", [0, 2, 16])
+def test_deltas_give_the_table_of_whole_versions(spark, tmp_path, current, compact_after, last_write_wins):
+    """Seven batches, of which some change nothing and some have unknown tickers only."""
+    os.makedirs(f"{tmp_path}/quotes")
+    for number in range(7):
+        names = [f"T{i}" for i in range(number, 15, 3)] if number != 4 else ["unknown"]
+        bars = {n: {"c": 40 + number, "t": f"2024-06-26T15:{(number * 5) % 7:02d}:00Z"} for n in names}
+        with open(f"{tmp_path}/quotes/page_{number}.json", "w") as file:
+            file.write(json.dumps({"bars": bars}))
+        os.utime(f"{tmp_path}/quotes/page_{number}.json", (1_000_000 + number,) * 2)
+    initialise(current, f"{tmp_path}/current")
+    feed = stream_quotes(
+        spark, f"{tmp_path}/quotes", files_per_batch=1, multi_line=False, arrival=last_write_wins
+    )
+    query = start_updates(
+        feed, f"{tmp_path}/current", f"{tmp_path}/checkpoint", last_write_wins,
+        compact_after=compact_after,
+    )
+    query.awaitTermination(120)
+    assert query.exception() is None
+    at_once = read_quotes(spark, f"{tmp_path}/quotes", False, arrival=last_write_wins)
+    expected = apply_quotes(current, at_once, last_write_wins).drop("arrival")
+    assert rows(read_current(spark, f"{tmp_path}/current")) == rows(expected)
+    kinds = "".join(name[0] for name in folder_sizes(f"{tmp_path}/current"))
+    assert kinds == {0: "vvvvvvvv", 2: "vddvddvd", 16: "vddddddd"}[compact_after]
+
+
+def test_a_batch_writes_what_it_changes(spark, tmp_path):
+    """A table of 200,000 rows and batches of three quotes."""
+    row = dict.fromkeys(CURRENT_DAY.fieldNames())
+    wide = spark.range(200_000).selectExpr(
+        "concat('T', id) AS ticker", *[f"id * 1.5D AS {name}" for name in METRICS]
+    )
+    for name in row.keys() - set(wide.columns):
+        wide = wide.withColumn(name, F.lit(None).cast(CURRENT_DAY[name].dataType))
+    initialise(wide, f"{tmp_path}/current")
+    write_pages(f"{tmp_path}/quotes", 3)
+    run(spark, tmp_path)
+    whole, *deltas = folder_sizes(f"{tmp_path}/current").values()
+    assert len(deltas) == 3 and all(size < whole / 50 for size in deltas)
+    found = read_current(spark, f"{tmp_path}/current")
+    assert found.count() == 200_000
+    assert found.filter("current_price IS NOT NULL").count() == 15
+
+
+def test_a_reader_keeps_its_state_while_the_table_is_compacted(spark, tmp_path, current):
+    write_pages(f"{tmp_path}/quotes", 3)
+    initialise(current, f"{tmp_path}/current")
+    run(spark, tmp_path)
+    reader = read_current(spark, f"{tmp_path}/current")
+    before = rows(reader)
+    write_pages(f"{tmp_path}/quotes", 2, first=10)
+    run(spark, tmp_path, compact_after=1)
+    assert rows(reader) == before
+    write_pages(f"{tmp_path}/quotes", 2, first=20)
+    run(spark, tmp_path, compact_after=0, keep_for=timedelta(0))
+    assert len(os.listdir(f"{tmp_path}/current")) == 1
+    assert rows(read_current(spark, f"{tmp_path}/current")) == before
