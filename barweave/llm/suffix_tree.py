@@ -52,7 +52,8 @@ class Texts(NamedTuple):
     word_doc: np.ndarray
 
 
-def read(column: pa.StringArray) -> Texts:
+def read(column: pa.StringArray, words: bool = True) -> Texts:
+    """Without ``words`` their hashes are left out."""
     raw, starts = joined(column, 0x20)
     raw = LOWER[raw]
     begin, end = spans(raw, WORD)
@@ -70,15 +71,21 @@ def read(column: pa.StringArray) -> Texts:
     real = ragged(places, lengths)
     doc = np.repeat(np.arange(n), lengths)
     word_doc = np.repeat(np.arange(n), np.diff(first))
-    return Texts(data, real, doc, span_hashes(raw, begin, end), word_doc)
+    hashes = span_hashes(raw, begin, end) if words else np.zeros(0, np.uint64)
+    return Texts(data, real, doc, hashes, word_doc)
 
 
 def keys(texts: Texts) -> np.ndarray:
     """For each place its symbol (lowest byte) and the ``DEPTH`` bytes before it, nearest lowest."""
-    out = np.zeros(len(texts.real), np.uint64)
+    data = texts.data
+    if not len(data):
+        return np.zeros(0, np.uint64)
+    # Of every place with DEPTH bytes before it: whole slices, then the places are picked once.
+    out = np.zeros(len(data) - DEPTH, np.uint64)
     for back in range(DEPTH, -1, -1):
-        out = out << np.uint64(8) | texts.data[texts.real - back]
-    return out
+        out <<= np.uint64(8)
+        out |= data[DEPTH - back : len(data) - back]
+    return out[texts.real - DEPTH]
 
 
 class _Sums:
@@ -423,7 +430,8 @@ def _scored(frame: DataFrame, tables: list[DataFrame], part: tuple[int, int], su
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in chunks(batch, "text"):
-                total = sums(shared.value, read(piece.column(1)), piece.num_rows, *part)
+                texts = read(piece.column(1), words=False)
+                total = sums(shared.value, texts, piece.num_rows, *part)
                 yield pa.RecordBatch.from_arrays([piece.column(0), pa.array(total)], ["row", "score"])
 
     found = checkpointed(frame.select("row", "text").mapInArrow(run, "row bigint, score double"))
