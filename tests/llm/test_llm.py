@@ -32,6 +32,7 @@ from barweave.llm.components import components
 from barweave.llm.html_dom import TAGS, TEXT, features, parse
 from barweave.llm.html_samples import Maker
 from barweave.llm.queries import ORACLE, QUERIES
+from barweave.llm.scratch import checkpointed
 
 BPE = public_tokenizers.path("byte_bpe_50k.tiktoken")
 WORDS = public_tokenizers.path("word_bpe_49k.json")
@@ -540,3 +541,35 @@ def test_columns_with_dots_in_their_names(spark, benchmark_items):
     ):
         kept = stage(frame)
         assert kept.columns == frame.columns and kept.collect() is not None
+
+
+def test_exact_columns_of_the_suffix_tree(spark, odd, sf_dir, monkeypatch):
+    """Tokens, known ones and the base score against counts in a dictionary; few words are held."""
+    monkeypatch.setattr(suffix_tree, "HELD_WORDS", 50)
+    given = spark.read.parquet(f"{sf_dir}/documents.parquet").limit(80).select("doc_id", "text")
+    frame = checkpointed(given.unionByName(odd.select("doc_id", "text")))
+    texts = [(row["doc_id"], row["text"]) for row in frame.collect()]
+
+    def tokens(text):
+        return [*re.findall(r"[^\x20\x09-\x0D]+", lower(text)), "\n"]
+
+    def fold(doc):
+        return None if doc is None else zlib.crc32(str(doc).encode()) % 5
+
+    counts = {}
+    for doc, text in texts:
+        if doc is not None and fold(doc) != 1:
+            for token in tokens(text):
+                counts[token] = counts.get(token, 0) + 1
+    whole, distinct = sum(counts.values()), len(counts)
+    expected = []
+    for doc, text in texts:
+        own = tokens(text)
+        logs = [np.log10((counts.get(t, 0) + 0.5) / (whole + 0.5 * (distinct + 1))) for t in own]
+        known = sum(t in counts for t in own)
+        expected.append((str(doc), fold(doc) == 1, len(own), known, whole, round(sum(logs), 6)))
+    found = [
+        (str(r["doc_id"]), r["held_out"], r["n_tokens"], r["n_known"], r["train_tokens"], round(r["base_score"], 6))
+        for r in suffix_tree.score(frame).collect()
+    ]
+    assert sorted(found) == sorted(expected)
