@@ -292,22 +292,22 @@ def digests(hits: DataFrame, key: str = "doc_id") -> DataFrame:
 
 
 def without_spans():
-    """The text without the bytes of its hit spans; what stood between words stays."""
-
-    @F.pandas_udf("string")
-    def cut(text, cuts):
-        def one(value, found):
-            if value is None or not len(found):
-                return value
-            raw, at, out = value.encode(), 0, []
-            for span in found:
-                out.append(raw[at : span["begin"]])
-                at = span["end"]
-            return b"".join([*out, raw[at:]]).decode()
-
-        return text.combine(cuts, one)
-
-    return cut("text", "cuts")
+    """The text without the bytes of its hit spans; what stood between words stays. The pieces
+    between the spans are cut out of the UTF-8 bytes by the JVM: a second Python function in the
+    stage would hold a second set of workers."""
+    raw = F.col("text").cast("binary")
+    count = F.size("cuts")
+
+    def piece(at):
+        begin = F.when(at == 0, F.lit(0)).otherwise(F.try_element_at("cuts", at)["end"])
+        end = F.when(at == count, F.octet_length("text")).otherwise(
+            F.try_element_at("cuts", at + 1)["begin"]
+        )
+        return F.substring(raw, begin + 1, end - begin)
+
+    pieces = F.transform(F.sequence(F.lit(0), count), piece)
+    joined = F.aggregate(pieces, F.lit(b""), lambda out, part: F.concat(out, part))
+    return F.when(count > 0, joined.cast("string")).otherwise(F.col("text"))
 
 
 def clean(spark: SparkSession, df: DataFrame, benchmark: DataFrame) -> DataFrame:
