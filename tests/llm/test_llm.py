@@ -573,3 +573,22 @@ def test_exact_columns_of_the_suffix_tree(spark, odd, sf_dir, monkeypatch):
         for r in suffix_tree.score(frame).collect()
     ]
     assert sorted(found) == sorted(expected)
+
+
+def test_spans_are_cut_by_bytes(spark):
+    rng = random.Random(11)
+    rows = []
+    for _ in range(200):
+        words = rng.choices(["é", "漢字", "😀", "a", "bcd", " ", "\n"], k=rng.randint(0, 12))
+        raw = "".join(words).encode()
+        edges = sorted(rng.sample(range(len(words) + 1), k=min(len(words) + 1, rng.choice([0, 2, 4]))))
+        ends = [len("".join(words[:at]).encode()) for at in edges]
+        cuts = list(zip(ends[0::2], ends[1::2], strict=False))
+        at, left = 0, b""
+        for begin, end in cuts:
+            left, at = left + raw[at:begin], end
+        rows.append((raw.decode(), cuts, (left + raw[at:]).decode()))
+    rows.append((None, [], None))
+    frame = spark.createDataFrame(rows, "text string, cuts array<struct<begin:int,end:int>>, left string")
+    for row in frame.select("left", decontaminate.without_spans().alias("cut")).collect():
+        assert row["cut"] == row["left"]
