@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from datetime import date
 from functools import reduce
 from operator import and_
 
@@ -59,9 +60,11 @@ def positioned_prices(cumulative: DataFrame) -> DataFrame:
     ).select("ticker", "as_of_date", (F.col("pos") + 1).alias("position"), "bar.*")
 
 
-def with_max_date(bars: DataFrame) -> DataFrame:
-    """Attach the newest bar date as ``as_of_date``, by a scalar subquery, not a join."""
-    return bars.withColumn("as_of_date", max_date(bars, "snapshot_date"))
+def with_max_date(bars: DataFrame, newest: date | None = None) -> DataFrame:
+    """Attach the newest bar date as ``as_of_date``, by a scalar subquery, not a join. Where the
+    table's partitions tell it (``sources.tables.newest_date``) the bars are read once."""
+    known = max_date(bars, "snapshot_date") if newest is None else F.lit(newest).cast("date")
+    return bars.withColumn("as_of_date", known)
 
 
 def max_date(table: DataFrame, column: str) -> Column:

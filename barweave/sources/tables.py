@@ -96,6 +96,23 @@ def read_partitions(
     return spark.read.schema(schema).option("basePath", path).parquet(*paths)
 
 
+def newest_date(
+    spark: SparkSession, path: str, schema: StructType, column: str, partition: str = "as_of_date"
+) -> date | None:
+    """The newest value of a date column, None without any. It is the newest partition's name where
+    the table is partitioned by it, and no file is opened; else partitions must ascend with the
+    column (months of days), and only the newest that has a value is scanned, one column of it."""
+    days = partition_dates(spark, path, partition)
+    if column == partition:
+        return days[-1] if days else None
+    for day in reversed(days):
+        rows = read_partition(spark, path, schema, day, partition)
+        found = rows.agg(F.max(column)).first()[0]
+        if found is not None:
+            return found
+    return None
+
+
 def read_bucketed_partition(
     spark: SparkSession,
     path: str,

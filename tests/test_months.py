@@ -2,6 +2,7 @@
 
 import gzip
 import json
+import os
 from datetime import date, timedelta
 
 import pytest
@@ -10,8 +11,8 @@ from conftest import closes, day, nanos
 from barweave.operators.checks import DataQualityError
 from barweave.plans import daily
 from barweave.plans.daily import Feeds, Tables, run_day, stage_months, staged_bars, start_from_files
-from barweave.schemas import BAR_CSV
-from barweave.sources.tables import partition_dates
+from barweave.schemas import BAR_CSV, BARS_BY_MONTH
+from barweave.sources.tables import newest_date, partition_dates
 
 JUNE = date(2000, 6, 1)
 MONTHS = [date(2000, 4, 1), date(2000, 5, 1), JUNE]
@@ -82,6 +83,24 @@ def test_only_the_months_asked_for_are_read(spark, landed):
     assert sorted(r["ticker"] for r in bars.collect()) == ["A", "B"]
 
 
+def test_the_newest_day_is_found_in_the_newest_month(spark, tmp_path, landed):
+    tables, feeds = landed
+    july = date(2000, 7, 1)
+    write_day(tmp_path, july)  # a file without a bar
+    stage_months(spark, tables, feeds.bars, [*MONTHS, july])
+    newest = newest_date(spark, tables.staged_months, BARS_BY_MONTH, "snapshot_date", "month")
+    assert newest == date(2000, 6, 9)
+    assert newest_date(spark, tables.staged_months, BARS_BY_MONTH, "month", "month") == july
+    assert newest_date(spark, f"{tmp_path}/none", BARS_BY_MONTH, "month", "month") is None
+    # Partition names alone: no data file is opened, however broken.
+    for folder, _, files in os.walk(tables.staged_months):
+        for name in files:
+            if name.endswith(".parquet"):
+                with open(f"{folder}/{name}", "w") as file:
+                    file.write("torn")
+    assert newest_date(spark, tables.staged_months, BARS_BY_MONTH, "month", "month") == july
+
+
 def test_history_from_files_and_on(spark, tmp_path, landed):
     tables, feeds = landed
     on, eve = date(2000, 6, 12), date(2000, 6, 9)

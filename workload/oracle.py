@@ -665,6 +665,13 @@ FROM splits WHERE CAST(substr(ticker, 2) AS INTEGER) % 5 <> 0""",
         SPLITS, select="SELECT execution_date, split_from, split_to, ticker, as_of_date FROM splits"
         f" WHERE execution_date <= '{DAY}'",
     ),
+    "attach_staged_max_date": _with(
+        BARS,
+        select=f"""SELECT ticker, snapshot_date, close,
+  (SELECT max(snapshot_date) FROM bars WHERE snapshot_date <= DATE '{EVE}') AS as_of_date
+FROM bars WHERE snapshot_date BETWEEN DATE '{(EVE - timedelta(days=60)).replace(day=1)}'
+  AND DATE '{EVE}'""",
+    ),
     "backfill_from_files": _with(
         *_eve_flat,
         select=_flat("eve", f"DATE '{EVE}'", "(SELECT DISTINCT ticker FROM eve)"),

@@ -26,6 +26,7 @@ from barweave.plans.daily import (
     Tables,
     run_days,
     stage_months,
+    staged_bars,
     start_from_files,
     start_history,
 )
@@ -40,6 +41,7 @@ from barweave.plans.history import (
 from barweave.plans.intraday import apply_quotes
 from barweave.plans.reference_prices import dim_prices, init_current_day
 from barweave.schemas import (
+    BARS_BY_MONTH,
     CUMULATIVE,
     CURRENT_DAY,
     DIM_PRICES,
@@ -60,6 +62,7 @@ from barweave.sources import json_feeds
 from barweave.sources.bars import months_between, read_daily_bars, read_month_bars
 from barweave.sources.landed import landed_files, page_addresses
 from barweave.sources.tables import (
+    newest_date,
     read_newest_partition,
     read_partition,
     read_table,
@@ -693,6 +696,21 @@ def backfill_from_files(spark, sf_dir):
     return _flat(tables.arrays_of(spark, EVE))
 
 
+def attach_staged_max_date(spark, sf_dir):
+    """The newest date of the staged months, found in the newest month alone, beside every bar."""
+    root = work_dir(spark, "newest-date")
+    bars = views.bars(spark, sf_dir).filter(F.col("snapshot_date") <= F.lit(EVE))
+    landing.land_months(bars, f"{root}/bars")
+    tables = Tables(f"{root}/tables")
+    months = months_between(EVE - timedelta(days=60), EVE)
+    stage_months(spark, tables, f"{root}/bars", months, landing.YEAR_MONTH)
+    newest = newest_date(spark, tables.staged_months, BARS_BY_MONTH, "snapshot_date", "month")
+    staged = staged_bars(spark, tables, months[0], EVE)
+    return bar_ops.with_max_date(staged, newest).select(
+        "ticker", "snapshot_date", "close", "as_of_date"
+    )
+
+
 def publish_snapshot(spark, sf_dir):
     """Two days are published, then one is replaced and one emptied; the first state is read after
     that, beside the last."""
@@ -898,6 +916,7 @@ QUERIES: dict[str, Query] = {
     "src_split_documents": src_split_documents,
     "publish_snapshot": publish_snapshot,
     "backfill_from_files": backfill_from_files,
+    "attach_staged_max_date": attach_staged_max_date,
     "stream_current_day": stream_current_day,
     "stream_last_write_wins": stream_last_write_wins,
     "src_daily_among_days": src_daily_among_days,
