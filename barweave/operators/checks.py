@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType
 
@@ -24,22 +25,35 @@ def _none(condition):
     return F.count_if(condition) == 0
 
 
-def check_bars(bars: DataFrame) -> DataFrame:
+def none_missing(name: str) -> Column:
+    return _none(F.col(name).isNull()).alias(f"{name}_is_not_null_check")
+
+
+# The checks that one pass over the rows answers are aggregates, so that a write can measure them
+# (``sinks.tables``); the functions over a frame ask the same of what is there.
+
+
+def bar_checks() -> list[Column]:
     """No NULL in any needed column. An empty input passes."""
-    return bars.agg(
-        *[_none(F.col(name).isNull()).alias(f"{name}_is_not_null_check") for name in BAR_COLUMNS]
-    )
+    return [none_missing(name) for name in BAR_COLUMNS]
 
 
-def check_splits(splits: DataFrame) -> DataFrame:
-    not_null = [
-        _none(F.col(name).isNull()).alias(f"{name}_is_not_null_check") for name in SPLIT_COLUMNS
-    ]
+def check_bars(bars: DataFrame) -> DataFrame:
+    return bars.agg(*bar_checks())
+
+
+def split_checks() -> list[Column]:
+    """No NULL, and ratios above zero."""
+    not_null = [none_missing(name) for name in SPLIT_COLUMNS]
     positive = [
         _none(F.col(name) <= 0).alias(f"{name}_is_positive_check")
         for name in ("split_from", "split_to")
     ]
-    return splits.agg(*not_null, *positive)
+    return [*not_null, *positive]
+
+
+def check_splits(splits: DataFrame) -> DataFrame:
+    return splits.agg(*split_checks())
 
 
 def check_chains(new: DataFrame, known: DataFrame) -> DataFrame:
@@ -64,20 +78,20 @@ def check_growth(staged: DataFrame, previous: DataFrame) -> DataFrame:
     )
 
 
-def check_day(bars: DataFrame, day) -> DataFrame:
+def day_check(day) -> Column:
     """Every bar is dated ``day``; another date would give a ticker two rows in the full join."""
-    return bars.agg(
-        _none(F.col("snapshot_date") != F.lit(day).cast("date")).alias("snapshot_date_is_day_check")
-    )
+    other = F.col("snapshot_date") != F.lit(day).cast("date")
+    return _none(other).alias("snapshot_date_is_day_check")
 
 
-def check_month(bars: DataFrame) -> DataFrame:
+def check_day(bars: DataFrame, day) -> DataFrame:
+    return bars.agg(day_check(day))
+
+
+def month_check() -> Column:
     """Every bar lies in the month of its partition."""
-    return bars.agg(
-        _none(F.trunc("snapshot_date", "month") != F.col("month")).alias(
-            "snapshot_date_is_in_month_check"
-        )
-    )
+    other = F.trunc("snapshot_date", "month") != F.col("month")
+    return _none(other).alias("snapshot_date_is_in_month_check")
 
 
 def check_unique(bars: DataFrame) -> DataFrame:
@@ -113,6 +127,10 @@ def run_checks(*checks: DataFrame) -> None:
     answered = {row["position"] for row in rows}
     if len(answered) < len(checks):
         raise DataQualityError("a check returned no row")
-    failed = sorted({row["check_name"] for row in rows if not row["passed"]})
+    refuse_failed({row["check_name"] for row in rows if not row["passed"]})
+
+
+def refuse_failed(names: Iterable[str]) -> None:
+    failed = sorted(names)
     if failed:
         raise DataQualityError(", ".join(failed))

@@ -180,9 +180,9 @@ def stage_months(
             tables.staged_months,
             BARS_BY_MONTH,
             month,
-            checks=lambda rows: [checks.check_bars(rows), checks.check_month(rows)],
             column="month",
             sort_by=["ticker", "snapshot_date"],
+            measured=[*checks.bar_checks(), checks.month_check()],
         )
     return missing
 
@@ -286,12 +286,15 @@ def run_day(spark: SparkSession, tables: Tables, feeds: Feeds, day: date) -> Non
     leaves that table's published partition as it was."""
     bars = read_daily_bars(spark, feeds.bars, day)
     replace_table(
-        bars, tables.staged_bars, BARS, partition_by=["snapshot_date"], sort_by=["ticker"]
+        bars,
+        tables.staged_bars,
+        BARS,
+        partition_by=["snapshot_date"],
+        sort_by=["ticker"],
+        measured=[*checks.bar_checks(), checks.day_check(day)],
     )
     staged = read_table(spark, tables.staged_bars, BARS)
-    checks.run_checks(
-        checks.check_bars(staged), checks.check_day(staged, day), checks.check_unique(staged)
-    )
+    checks.run_checks(checks.check_unique(staged))
 
     read_new_splits(spark, tables, feeds, day)
     publish_partition(
@@ -299,7 +302,7 @@ def run_day(spark: SparkSession, tables: Tables, feeds: Feeds, day: date) -> Non
         tables.splits,
         SPLITS,
         day,
-        checks=lambda rows: [checks.check_splits(rows)],
+        measured=checks.split_checks(),
     )
 
     before = tables.arrays_of(spark, day - timedelta(days=1))

@@ -6,11 +6,11 @@ import uuid
 from collections.abc import Callable, Sequence
 from datetime import date, timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ..operators.checks import run_checks
+from ..operators.checks import refuse_failed, run_checks
 from ..schemas import without
 from . import folders, versions
 
@@ -43,15 +43,31 @@ def create_if_absent(
     )
 
 
+class _Measured:
+    """A frame whose checks (boolean aggregates) are measured while it is written: no second read."""
+
+    def __init__(self, frame: DataFrame, checks: Sequence[Column]):
+        self.seen = Observation() if checks else None
+        self.frame = frame.observe(self.seen, *checks) if checks else frame
+
+    def refuse_failed(self) -> None:
+        """After the write. A check without an answer has failed."""
+        if self.seen:
+            refuse_failed(name for name, passed in self.seen.get.items() if passed is not True)
+
+
 def replace_table(
     frame: DataFrame,
     path: str,
     schema: StructType,
     partition_by: Sequence[str] = (),
     sort_by: Sequence[str] = (),
+    measured: Sequence[Column] = (),
 ) -> None:
-    """Replace the whole table, also by an empty one."""
-    _writer(frame, schema, partition_by, sort_by).mode("overwrite").parquet(path)
+    """Replace the whole table, also by an empty one; then raise if a ``measured`` check failed."""
+    rows = _Measured(conform(frame, schema), measured)
+    _writer(rows.frame, schema, partition_by, sort_by).mode("overwrite").parquet(path)
+    rows.refuse_failed()
 
 
 def overwrite_partitions(
@@ -130,17 +146,21 @@ def publish_partition(
     sort_by: Sequence[str] = (),
     buckets: int | None = None,
     keep_for: timedelta = timedelta(hours=1),
+    measured: Sequence[Column] = (),
 ) -> None:
-    """Replace the partition of ``day`` by the rows of ``frame`` once ``checks`` pass.
+    """Replace the partition of ``day`` by the rows of ``frame`` once all checks pass.
 
-    The rows are computed and written once, as a version of their own; the checks read it, and one
+    The rows are computed and written once, as a version of their own. The ``measured`` checks,
+    boolean aggregates of the rows, are taken while writing; ``checks`` read the version. One
     entry in the table's log makes it current. Until then, and after any failure, readers find the
     version before. Replaced versions stay for ``keep_for``, for those still reading them. An empty
     frame empties the partition.
     """
     spark = frame.sparkSession
-    staged = stage_partition(frame, table, schema, day, column, sort_by, buckets)
+    rows = _Measured(conform(frame, schema), measured)
+    staged = stage_partition(rows.frame, table, schema, day, column, sort_by, buckets)
     try:
+        rows.refuse_failed()
         if checks:
             run_checks(*checks(read_staged(spark, staged, schema, day, column)))
     except Exception:

@@ -154,3 +154,21 @@ def test_an_entry_is_created_once(spark, tmp_path):
     folders.create(spark, path)
     with pytest.raises(FileExistsError):
         folders.create(spark, path)
+
+
+def test_measured_checks_need_no_second_read(spark, tmp_path, monkeypatch):
+    """The same verdicts as over the stored rows, while nothing is read."""
+    path = str(tmp_path / "t")
+    whole = [checks.none_missing("ticker"), checks.none_missing("close_price_last_day")]
+    monkeypatch.setattr(tables, "read_staged", lambda *_: pytest.fail("read again"))
+    for buckets in (None, 2):
+        rows = prices(spark, MONDAY, "A", "B")
+        tables.publish_partition(rows, path, DIM_PRICES, MONDAY, measured=whole, buckets=buckets)
+        tables.publish_partition(rows.limit(0), path, DIM_PRICES, TUESDAY, measured=whole)
+        broken = rows.union(prices(spark, MONDAY, None))
+        with pytest.raises(checks.DataQualityError, match="^ticker_is_not_null_check$"):
+            tables.publish_partition(broken, path, DIM_PRICES, MONDAY, measured=whole, buckets=buckets)
+        assert stored(spark, path) == [("2000-01-03", "A"), ("2000-01-03", "B")]
+    monkeypatch.undo()
+    with pytest.raises(checks.DataQualityError, match="ticker"):
+        tables.replace_table(prices(spark, MONDAY, None), str(tmp_path / "u"), DIM_PRICES, measured=whole)
