@@ -297,7 +297,7 @@ def test_a_bad_host_goes_whole(spark):
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_equals_its_sql(spark, sf_dir, name):
     connection = duckdb.connect()
-    for table in ("documents", "conversations"):
+    for table in ("documents", "conversations", "embeddings"):
         connection.sql(f"CREATE VIEW {table} AS SELECT * FROM '{sf_dir}/{table}.parquet'")
     frame = QUERIES[name](spark, sf_dir)
     result = connection.execute(ORACLE[name])
