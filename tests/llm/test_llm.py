@@ -592,3 +592,39 @@ def test_spans_are_cut_by_bytes(spark):
     frame = spark.createDataFrame(rows, "text string, cuts array<struct<begin:int,end:int>>, left string")
     for row in frame.select("left", decontaminate.without_spans().alias("cut")).collect():
         assert row["cut"] == row["left"]
+
+
+def plain_bucket(gram):
+    code = len(gram)
+    for byte in gram:
+        code = code << 8 | byte
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        code = ((code ^ (code >> shift)) * factor) % (1 << 64)
+    return (code ^ (code >> 31)) % language.BUCKETS
+
+
+def test_languages_equal_brute_force(spark, sf_dir, odd):
+    """Each text's grams counted one by one and compared with every centroid of the fitted model."""
+    given = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang")
+    frame = checkpointed(given.limit(60).unionByName(odd.select("doc_id", "text", "lang")))
+    model = language.fit(given)
+    found = language.predict(frame, model).select("row.doc_id", "text", "lang_pred", "score").collect()
+    assert len(found) == frame.count()
+    buckets = {}
+    for row in found:
+        text = row["text"]
+        if text is None or not any(map(str.isalpha, text)):
+            assert (row["lang_pred"], row["score"]) == ("und", 0)
+            continue
+        shown = re.sub(rb"[^A-Za-z\x80-\xff]", b" ", text.encode()).lower() + b" "
+        vector = np.zeros(language.BUCKETS)
+        for size in (2, 3):
+            for at in range(len(shown) - size + 1):
+                gram = shown[at : at + size]
+                vector[buckets.setdefault(gram, plain_bucket(gram))] += 1
+        vector = np.log1p(vector) * model.idf
+        cosine = model.centroids @ (vector / np.linalg.norm(vector))
+        best = cosine.max()
+        assert abs(row["score"] - min(max(best, 0), 1)) < 1e-6
+        near = {name for name, c in zip(model.langs, cosine, strict=True) if best - c < 1e-6}
+        assert row["lang_pred"] in near
