@@ -44,11 +44,18 @@ def create_if_absent(
 
 
 class _Measured:
-    """A frame whose checks (boolean aggregates) are measured while it is written: no second read."""
+    """Checks (boolean aggregates) that are measured while rows are written: no second read.
 
-    def __init__(self, frame: DataFrame, checks: Sequence[Column]):
+    The rows are watched behind the write's last shuffle. Of a shuffle without rows adaptive
+    execution drops all that lies before it, and a measure taken there would have no answer.
+    """
+
+    def __init__(self, checks: Sequence[Column]):
+        self.checks = checks
         self.seen = Observation() if checks else None
-        self.frame = frame.observe(self.seen, *checks) if checks else frame
+
+    def watch(self, rows: DataFrame) -> DataFrame:
+        return rows.observe(self.seen, *self.checks) if self.checks else rows
 
     def refuse_failed(self) -> None:
         """After the write. A check without an answer has failed."""
@@ -65,9 +72,9 @@ def replace_table(
     measured: Sequence[Column] = (),
 ) -> None:
     """Replace the whole table, also by an empty one; then raise if a ``measured`` check failed."""
-    rows = _Measured(conform(frame, schema), measured)
-    _writer(rows.frame, schema, partition_by, sort_by).mode("overwrite").parquet(path)
-    rows.refuse_failed()
+    seen = _Measured(measured)
+    _writer(frame, schema, partition_by, sort_by, seen.watch).mode("overwrite").parquet(path)
+    seen.refuse_failed()
 
 
 def overwrite_partitions(
@@ -83,11 +90,12 @@ def overwrite_partitions(
     ).parquet(path)
 
 
-def _writer(frame, schema, partition_by, sort_by):
+def _writer(frame, schema, partition_by, sort_by, watch=lambda rows: rows):
     rows = conform(frame, schema)
     if partition_by:
         # AQE may split a partition value that is too large for one task, and merges small ones.
         rows = rows.hint("rebalance", *partition_by)
+    rows = watch(rows)
     if sort_by:
         rows = rows.sortWithinPartitions(*partition_by, *sort_by)
     return rows.write.partitionBy(*partition_by) if partition_by else rows.write
@@ -157,10 +165,11 @@ def publish_partition(
     frame empties the partition.
     """
     spark = frame.sparkSession
-    rows = _Measured(conform(frame, schema), measured)
-    staged = stage_partition(rows.frame, table, schema, day, column, sort_by, buckets)
+    seen = _Measured(measured)
+    rows = seen.watch(conform(frame, schema))
+    staged = stage_partition(rows, table, schema, day, column, sort_by, buckets)
     try:
-        rows.refuse_failed()
+        seen.refuse_failed()
         if checks:
             run_checks(*checks(read_staged(spark, staged, schema, day, column)))
     except Exception:

@@ -172,3 +172,27 @@ def test_measured_checks_need_no_second_read(spark, tmp_path, monkeypatch):
     monkeypatch.undo()
     with pytest.raises(checks.DataQualityError, match="ticker"):
         tables.replace_table(prices(spark, MONDAY, None), str(tmp_path / "u"), DIM_PRICES, measured=whole)
+
+
+@pytest.mark.parametrize("source", ["rows", "files", "shuffle"])
+def test_checks_of_a_table_without_rows_have_answers(spark, tmp_path, source):
+    """Also where the write shuffles: nothing of an empty shuffle's input runs to its end."""
+    rows = prices(spark, MONDAY)
+    if source == "files":
+        rows.write.parquet(str(tmp_path / "none"))
+        rows = spark.read.schema(DIM_PRICES).parquet(str(tmp_path / "none"))
+    if source == "shuffle":
+        rows = prices(spark, MONDAY, "A").filter("ticker > 'A'").repartition("ticker")
+    whole = [checks.none_missing("ticker")]
+    path, first = str(tmp_path / "t"), prices(spark, MONDAY, "A")
+    for written, found in ((first, ["A"]), (rows, [])):
+        tables.replace_table(
+            written, path, DIM_PRICES, partition_by=["as_of_date"], sort_by=["ticker"], measured=whole
+        )
+        assert [ticker for _, ticker in stored(spark, path)] == found
+    with pytest.raises(checks.DataQualityError, match="ticker_is_not_null_check"):
+        tables.replace_table(
+            prices(spark, MONDAY, None), path, DIM_PRICES, partition_by=["as_of_date"], measured=whole
+        )
+    tables.publish_partition(rows, str(tmp_path / "p"), DIM_PRICES, MONDAY, measured=whole)
+    assert stored(spark, str(tmp_path / "p")) == []
