@@ -314,6 +314,64 @@ def test_rendered_examples(spark):
     assert found[1]["text"].startswith(found[0]["text"]) and found[0]["text"].count("<turn ") == 3
 
 
+def test_expanded_examples_hold_their_contexts(spark, monkeypatch):
+    """Every trained turn becomes a text of its own, with all turns before it, and the results are
+    read from these; ties, repeated rows, nulls, texts beyond a piece, no rows."""
+    long = "é[<" * 300_000
+    rows = [(1, i // 2, ("user", "assistant", None)[i % 3], (long, None, "a & b", "")[i % 4]) for i in range(9)]
+    rows += [(2, 0, "assistant", "x"), (2, 0, "assistant", "x"), (2, None, "user", "first")]
+    rows += [(None, 1, "user", "u"), (None, 0, "assistant", "alone"), (3, 0, "user", ""), (3, 1, "user", "end")]
+    schema = "conv_id bigint, turn bigint, role string, text string, piece int, `a.b` string"
+    turns = spark.createDataFrame([(*row, 7, "r") for row in rows], schema).repartition(3)
+    expanded = chat.expand(chat.segments(turns))
+
+    def marked(role, text):
+        for plain, safe in (("&", "&amp;"), ("<", "&lt;"), ("[", "&#91;")):
+            role, text = role.replace(plain, safe), text.replace(plain, safe)
+        return f"<turn {role}>{text}</turn>\n"
+
+    expected, wholes, digests = [], [], []
+    for conv in (1, 2, 3, None):
+        own = [row[1:] for row in rows if row[0] == conv]
+        own.sort(key=lambda r: [(v is not None, v or 0 if i == 0 else v or "") for i, v in enumerate(r)])
+        own = [(role or "", text or "") for _, role, text in own]
+        texts = [marked(*turn) for turn in own]
+        for i, (role, text) in enumerate(own):
+            if role == "assistant":
+                expected.append((conv, i + 1, "".join(texts[: i + 1]), text))
+        loss = "".join(text for role, text in own if role == "assistant")
+        said = "".join(f"{role}\n{text}\n" for role, text in own)
+        sums = [hashlib.sha256(part.encode()).hexdigest() for part in (said, loss)]
+        wholes.append((conv, "".join(texts)))
+        digests.append((conv, len(own), sums[0], len(loss), sums[1], len("".join(texts))))
+    pieces = sorted(expanded.collect(), key=lambda r: (str(r["conv_id"]), r["position"], r["piece"]))
+    assert max(r["piece"] for r in pieces) > 1
+    found, whole = {}, {}
+    for r in pieces:
+        key = r["conv_id"], r["position"]
+        if r["target_begin"] is not None:
+            text, *_ = found.get(key, ("",))
+            found[key] = text + r["text"], r["target_begin"], r["target_end"]
+        if r["whole"]:
+            whole[r["conv_id"]] = whole.get(r["conv_id"], "") + r["text"]
+    examples = [(*key, text, chat.unescape(text[a:b])) for key, (text, a, b) in found.items()]
+    assert sorted(examples, key=str) == sorted(expected, key=str) and whole == dict(wholes)
+    rendered = [(r["conv_id"], r["position"], r["text"]) for r in chat.render(expanded).collect()]
+    assert sorted(rendered, key=str) == sorted((e[:3] for e in expected), key=str)
+    assert sorted(map(tuple, chat.read_back(expanded).collect()), key=str) == sorted(digests, key=str)
+    untrained = chat.read_back(expanded.filter("target_begin IS NULL OR whole")).collect()
+    assert {r["conv_id"]: r["loss_chars"] for r in untrained} == {1: 0, 2: 1, 3: 0, None: 0}
+    assert chat.read_back(chat.expand(chat.segments(turns.limit(0)))).collect() == []
+
+    monkeypatch.setattr(chat, "PIECE", 5)
+    monkeypatch.setattr(chat, "KEPT", 8)  # the rest lies in a file
+    prefix, parts = chat._Prefix(), ["ab", "é[c", "", "漢字漢字漢字", "x", "yz"]
+    for count, part in enumerate(parts, 1):
+        prefix.add(part)
+        for _ in range(2):
+            assert "".join(prefix.pieces()) == "".join(parts[:count])
+
+
 def test_language_of_held_out_documents(spark, sf_dir):
     documents = spark.read.parquet(f"{sf_dir}/documents.parquet")
     truth = {row["doc_id"]: row["lang"] for row in documents.collect()}
