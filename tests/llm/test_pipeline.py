@@ -38,7 +38,7 @@ def documents():
     for doc in range(40, 60):
         rows[doc][1] += f"\n{line}\nshort"
     rows[60][1] += " " + ITEM  # most of it is the item
-    rows[61][1] += (" " + " ".join(ENGLISH)) * 60 + " " + ITEM[:140]
+    rows[61][1] += (" " + " ".join(ENGLISH)) * 60 + " " + ITEM[:160]  # a window and a word
     rows += [[200, None, "en"], [201, "", "en"], [202, " \n ", None], [203, "12 34", "en"]]
     rows += [list(rows[3]), [None, rows[5][1], "de"], [None, rows[5][1], "de"]]
     return [(doc, text, lang, "s", len(text or ""), "r") for doc, text, lang in rows]
