@@ -349,7 +349,8 @@ def score(
             own = (place >= np.uint64(low)) & (place < np.uint64(high))
             wanted, doc = wanted[own], doc[own]
         distinct, which = np.unique(wanted, return_inverse=True)
-        return np.bincount(doc, log_probabilities(tree, distinct)[which], n)
+        # Where no place is in the range, bincount makes integers whatever its weights are.
+        return np.bincount(doc, log_probabilities(tree, distinct)[which], n).astype(float)
 
     def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tree, known = shared.value

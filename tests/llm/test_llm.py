@@ -411,6 +411,21 @@ def test_a_tree_in_blocks_scores_as_a_whole(spark, sf_dir):
         assert many[doc][5:] == pytest.approx(row[5:], rel=1e-9)
 
 
+def test_texts_without_places_in_a_block(spark, sf_dir):
+    """A task's texts may have no place in a block's range."""
+    documents = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").limit(3)
+    short = spark.createDataFrame([(-1, "a"), (-2, "zz")], documents.schema).repartition(2, "doc_id")
+    frame = documents.unionByName(short)
+    whole, blocks = (
+        {r["doc_id"]: r for r in suffix_tree.score(frame, entries=n).collect()}
+        for n in (10**9, 500)
+    )
+    assert whole.keys() == blocks.keys() and len(whole) == 5
+    for doc_id, row in whole.items():
+        assert blocks[doc_id][:-1] == row[:-1]
+        assert blocks[doc_id]["score"] == pytest.approx(row["score"])
+
+
 def test_probabilities_of_every_block_sum_to_one(spark, sf_dir):
     texts = spark.read.parquet(f"{sf_dir}/documents.parquet").select("text")
     tables = suffix_tree.levels(suffix_tree.count(texts))
