@@ -18,6 +18,13 @@ many entries it shares. Larger entries make no pairs: the sets that such entries
 cluster, its sets are dealt out to blocks, and a task compares two blocks at a time by products of
 their tokens, so a set is sent once for each block of its cluster and not once for each set. Both
 ways give the links of every set; the links connect components.
+
+Most pairs, and most sets of a cluster, share little more than the entries that brought them
+together, and their number grows faster than the input. So a first look compares sketches: one bit a
+token or two, the parity of the set's tokens in each of as many groups. Every group whose parities
+differ holds a token of one set alone, so the sketches bound the common tokens from above, and what
+they rule out does not link. Tokens are made and sent for what is left: pairs one by one, and of a
+cluster the smaller clusters that are left connected.
 """
 
 from __future__ import annotations
@@ -33,7 +40,7 @@ from pyspark.sql import functions as F
 
 from barweave.llm.batches import LOWER, WORD, chunks, joined, mix, ragged, span_hashes, spans
 from barweave.llm.components import components
-from barweave.llm.scratch import checkpointed
+from barweave.llm.scratch import checkpointed, release
 
 SHINGLE = 5
 #: Similarity as a percentage.
@@ -54,6 +61,9 @@ DENSE = 32
 #: Sets, and tokens, in one of the blocks that are compared with each other, about.
 BLOCK_SETS = 1024
 BLOCK_TOKENS = 1 << 17
+#: The same where sketches are compared.
+SKETCH_SETS = 2048
+SKETCH_TOKENS = 1 << 20
 
 _PLACE = mix(np.arange(1, SHINGLE + 2, dtype=np.uint64)) | np.uint64(1)
 
@@ -95,6 +105,59 @@ def set_ids(value: np.ndarray, first: np.ndarray) -> np.ndarray:
     return mix(sums[first[1:]] - sums[first[:-1]]).astype(np.int64)
 
 
+def sketches(value: np.ndarray, first: np.ndarray) -> pa.BinaryArray:
+    """The parities of each set's tokens by their lowest bits: as many groups as the least power of
+    two from the set's size and 64. A sketch folded in half, by exclusive or, is one of half as many
+    groups."""
+    n = np.diff(first)
+    groups = np.maximum(64, 1 << np.ceil(np.log2(np.maximum(n, 1))).astype(np.int64))
+    ends = np.cumsum(groups)
+    place = (value & np.repeat(groups - 1, n).astype(np.uint64)).astype(np.int64)
+    place += np.repeat(ends - groups, n)
+    odd = np.bincount(place, minlength=int(ends[-1]) if len(ends) else 0) & 1
+    data = np.packbits(odd.astype(np.uint8), bitorder="little")
+    offsets = np.concatenate(([0], ends >> 3)).astype(np.int32)
+    buffers = [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(data.tobytes())]
+    return pa.Array.from_buffers(pa.binary(), len(n), buffers)
+
+
+def _folded(own: list[bytes], size: int) -> np.ndarray:
+    """Sketches of one length, a row each, folded to ``size`` bytes."""
+    out = np.frombuffer(b"".join(own), np.uint8).reshape(len(own), -1)
+    while out.shape[1] > size:
+        half = out.shape[1] // 2
+        out = out[:, :half] ^ out[:, half:]
+    return out
+
+
+def _possible(n: np.ndarray, m: np.ndarray, apart: np.ndarray) -> np.ndarray:
+    """Whether sets of n and m tokens can link whose sketches differ in ``apart`` groups."""
+    both = np.minimum((n + m - apart) // 2, np.minimum(n, m))
+    return 100 * both >= PERCENT * (n + m - both)
+
+
+def _near_sketches(
+    left: list[bytes], n: np.ndarray, right: list[bytes], m: np.ndarray
+) -> np.ndarray:
+    """Which sets on the left can link with which on the right."""
+    out = np.zeros((len(left), len(right)), bool)
+    sides = [np.array([len(sketch) for sketch in own]) for own in (left, right)]
+    for a in np.unique(sides[0]):
+        rows = np.flatnonzero(sides[0] == a)
+        for b in np.unique(sides[1]):
+            columns = np.flatnonzero(sides[1] == b)
+            if not _possible(n[rows, None], m[columns], 0).any():
+                continue
+            size = int(min(a, b))
+            x, y = (
+                np.unpackbits(_folded([own[k] for k in at], size), axis=1).astype(np.float32) * 2 - 1
+                for own, at in ((left, rows), (right, columns))
+            )
+            apart = ((8 * size - x @ y.T) / 2).astype(np.int64)
+            out[np.ix_(rows, columns)] = _possible(n[rows, None], m[columns], apart)
+    return out
+
+
 class Order(NamedTuple):
     """Level of each counter (its logarithm, in quarters of a doubling) and the least frequent
     level."""
@@ -168,7 +231,8 @@ def combinations(tokens: np.ndarray, cost: int, scheme: int) -> np.ndarray:
 
 
 def _measure(df: DataFrame) -> DataFrame:
-    """(doc_id, n, set_id) for each document, and (piece, counts) with each task's counters."""
+    """(doc_id, n, set_id, sketch) for each document, and (piece, counts) with each task's
+    counters."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counters = np.zeros(COUNTERS, np.int64)
@@ -184,7 +248,8 @@ def _measure(df: DataFrame) -> DataFrame:
                 none = pa.nulls(part.num_rows, pa.int32())
                 n, ids = pa.array(np.diff(first)), pa.array(set_ids(value, first))
                 blank = pa.nulls(part.num_rows, pa.binary())
-                yield pa.RecordBatch.from_arrays([part.column(0), n, ids, none, blank], names)
+                made = [part.column(0), n, ids, sketches(value, first), none, blank]
+                yield pa.RecordBatch.from_arrays(made, names)
         if waiting:
             counters += np.bincount(np.concatenate(waiting), minlength=COUNTERS)
         for at in range(0, COUNTERS, _PIECE):
@@ -192,11 +257,12 @@ def _measure(df: DataFrame) -> DataFrame:
                 counts = counters[at : at + _PIECE].astype(np.uint32).tobytes()
                 counts = zlib.compress(counts, 1)
                 null = pa.nulls(1, pa.int64())
-                row = [null, null, null, pa.array([at], pa.int32()), pa.array([counts])]
+                piece = [pa.array([at], pa.int32()), pa.array([counts])]
+                row = [null, null, null, pa.nulls(1, pa.binary()), *piece]
                 yield pa.RecordBatch.from_arrays(row, names)
 
-    names = ["doc_id", "n", "set_id", "piece", "counts"]
-    schema = "doc_id bigint, n bigint, set_id bigint, piece int, counts binary"
+    names = ["doc_id", "n", "set_id", "sketch", "piece", "counts"]
+    schema = "doc_id bigint, n bigint, set_id bigint, sketch binary, piece int, counts binary"
     return df.select("doc_id", "text").mapInArrow(run, schema)
 
 
@@ -260,18 +326,16 @@ def _near(frame: DataFrame, names: DataFrame, on: list[str], how: str) -> DataFr
     return frame.join(F.broadcast(names) if small else names.hint("shuffle_hash"), on, how)
 
 
-def _sets(df: DataFrame, wanted: DataFrame, kind: type) -> DataFrame:
-    """(s, doc, tokens) for each of ``wanted`` (set_id, n, doc), made from its document; tokens are
-    cut to the bits of ``kind``."""
+def _sets(df: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(s, doc, tokens) for each of ``wanted`` (set_id, n, doc), made from its document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in chunks(batch, "text"):
                 value, first = shingle_sets(part.column(1))
                 n, ids = pa.array(np.diff(first)), pa.array(set_ids(value, first))
-                cut = value.astype(kind)
                 edges = zip(first[:-1].tolist(), first[1:].tolist(), strict=True)
-                tokens = pa.array([cut[a:b].tobytes() for a, b in edges], pa.binary())
+                tokens = pa.array([value[a:b].tobytes() for a, b in edges], pa.binary())
                 same = pa.compute.and_(
                     pa.compute.equal(ids, part.column(2)), pa.compute.equal(n, part.column(3))
                 )
@@ -286,21 +350,41 @@ def _sets(df: DataFrame, wanted: DataFrame, kind: type) -> DataFrame:
 
 
 def _verified(df: DataFrame, pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """(a, b, u, v): the pairs of set names whose sets link, with the sets' first documents. Equal
-    tokens have equal lowest bits, so a first look at 16 of them, a quarter of the bytes, drops
-    most pairs that do not link and none that do."""
-    near = checkpointed(_linked(df, checkpointed(pairs), classes, np.uint16).select("a", "b"))
-    return checkpointed(_linked(df, near, classes, np.uint64))
+    """(a, b, u, v): the pairs of set names whose sets link, with the sets' first documents. Tokens
+    are compared of the pairs that sketches leave."""
+    return checkpointed(_linked(df, checkpointed(_sketched(pairs, classes)), classes))
+
+
+def _sketched(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """The pairs whose sketches do not rule a link out."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n, m = (batch.column(at).field("n").to_numpy() for at in (0, 1))
+            apart = np.zeros(batch.num_rows, np.int64)
+            both = zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)
+            for at, (x, y) in enumerate(both):
+                size = min(len(x), len(y))
+                x, y = (int.from_bytes(_folded([own], size).tobytes()) for own in (x, y))
+                apart[at] = (x ^ y).bit_count()
+            yield batch.select(["a", "b"]).filter(pa.array(_possible(n, m, apart), pa.bool_()))
+
+    left, right = (
+        classes.selectExpr(f"struct(set_id, n) AS {end}", f"sketch AS {own}")
+        for end, own in (("a", "x"), ("b", "y"))
+    )
+    found = pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y")
+    return found.mapInArrow(run, f"a {_NAME}, b {_NAME}")
 
 
-def _linked(df: DataFrame, pairs: DataFrame, classes: DataFrame, kind: type) -> DataFrame:
-    """The pairs, with their documents, whose tokens in ``kind`` are similar enough."""
+def _linked(df: DataFrame, pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """The pairs, with their documents, whose tokens are similar enough."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             good = []
             for x, y in zip(batch.column(4).to_pylist(), batch.column(5).to_pylist(), strict=True):
-                x, y = np.frombuffer(x, kind), np.frombuffer(y, kind)
+                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
                 both = np.count_nonzero(np.isin(x, y))
                 good.append(100 * both >= PERCENT * (len(x) + len(y) - both))
             yield batch.select(["a", "b", "u", "v"]).filter(pa.array(good, pa.bool_()))
@@ -308,21 +392,23 @@ def _linked(df: DataFrame, pairs: DataFrame, classes: DataFrame, kind: type) ->
     left, right = (pairs.select(F.col(end).alias("s")).distinct() for end in ("a", "b"))
     named = classes.withColumn("s", F.struct("set_id", "n"))
     wanted = named.join(left.union(right).distinct(), "s").select("set_id", "n", "doc")
-    sets = _sets(df, checkpointed(wanted), kind)
+    sets = _sets(df, checkpointed(wanted))
     left = _near(sets, left, ["s"], "left_semi").selectExpr("s AS a", "doc AS u", "tokens AS x")
     right = _near(sets, right, ["s"], "left_semi").selectExpr("s AS b", "doc AS v", "tokens AS y")
     found = pairs.join(left, "a").join(right, "b").select("a", "b", "u", "v", "x", "y")
-    name = "struct<set_id:bigint,n:bigint>"
-    return found.mapInArrow(run, f"a {name}, b {name}, u bigint, v bigint")
+    return found.mapInArrow(run, f"a {_NAME}, b {_NAME}, u bigint, v bigint")
+
+
+_NAME = "struct<set_id:bigint,n:bigint>"
 
 
 class Found(NamedTuple):
     """What the index finds.
 
-    ``documents`` are (doc_id, n, set_id) of all rows, ``classes`` (set_id, n, doc, copies) of all
-    sets with words, with their first documents, ``pairs`` (a, b, u, v) the verified links between
-    sets that no large entries connect, and ``clusters`` (set_id, n, doc, copies, component) the
-    sets to be compared with all others of their component.
+    ``documents`` are (doc_id, n, set_id) of all rows, ``classes`` (set_id, n, doc, copies, sketch)
+    of all sets with words, with their first documents, ``pairs`` (a, b, u, v) the verified links
+    between sets that no large entries connect, and ``clusters`` (set_id, n, doc, copies, component)
+    the sets to be compared with all others of their component.
     """
 
     documents: DataFrame
@@ -336,9 +422,13 @@ def search(df: DataFrame) -> Found:
     measured = checkpointed(_measure(df))
     documents = measured.where("piece IS NULL").select("doc_id", "n", "set_id")
     named = df.where(F.col("doc_id").isNotNull())
-    classes = documents.where("doc_id IS NOT NULL AND n > 0").groupBy("set_id", "n")
+    classes = measured.where("doc_id IS NOT NULL AND n > 0").groupBy("set_id", "n")
     classes = checkpointed(
-        classes.agg(F.min("doc_id").alias("doc"), F.count_distinct("doc_id").alias("copies"))
+        classes.agg(
+            F.min("doc_id").alias("doc"),
+            F.count_distinct("doc_id").alias("copies"),
+            F.min("sketch").alias("sketch"),
+        )
     )
 
     index = checkpointed(_index(named, _order(measured)))
@@ -348,9 +438,12 @@ def search(df: DataFrame) -> Found:
     )
     sizes = sizes.where("low < high").select("entry", "size")
     index = checkpointed(index.join(sizes, "entry").distinct())
+    del sizes
 
     dense = index.where(f"size > {DENSE}").selectExpr("entry", "struct(set_id, n) AS s")
     clusters = _clusters(dense, classes)
+    # What made the index, over twice the input. Right after a job Spark still refers to its shuffles.
+    release(df.sparkSession)
     rare = index.where(f"size <= {DENSE}").selectExpr("entry", "struct(set_id, n) AS s")
     rare = _near(
         rare, clusters.selectExpr("struct(set_id, n) AS s", "component"), ["s"], "left"
@@ -359,7 +452,9 @@ def search(df: DataFrame) -> Found:
     right = rare.selectExpr("entry", "s AS b", "component AS d")
     pairs = left.join(right, "entry").where("a < b AND NOT coalesce(c = d, false)")
     pairs = pairs.where(_fits("a.n", "b.n")).select("a", "b").distinct()
-    return Found(documents, classes, _verified(named, pairs, classes), clusters)
+    verified = _verified(named, pairs, classes)
+    release(df.sparkSession)
+    return Found(documents, classes, verified, _tight(clusters, classes))
 
 
 def _clusters(dense: DataFrame, classes: DataFrame) -> DataFrame:
@@ -378,6 +473,62 @@ def _clusters(dense: DataFrame, classes: DataFrame) -> DataFrame:
     )
 
 
+def _dealt(clusters: DataFrame, sets: int, tokens: int) -> DataFrame:
+    """The clusters' sets with ``blocks``, of about so many sets or tokens each, and ``block``."""
+    size = clusters.groupBy("component").agg(
+        F.count(F.lit(1)).alias("sets"), F.sum("n").alias("all")
+    )
+    size = size.selectExpr(
+        "component", f"ceil(greatest(sets / {sets}, all / {tokens})) AS blocks"
+    )
+    dealt = clusters.join(size, "component")
+    return dealt.withColumn("block", F.expr("pmod(xxhash64(set_id, n), blocks)"))
+
+
+def _met(sets: DataFrame, columns: list[str]) -> DataFrame:
+    """(component, i, j, block and the columns): each set for every two blocks of which its own is
+    one, i the smaller; what meets follows each other."""
+    sets = sets.withColumn("other", F.expr("explode(sequence(0L, blocks - 1))"))
+    sets = sets.selectExpr(
+        "component", "least(block, other) AS i", "greatest(block, other) AS j", "block", *columns
+    )
+    key = ["component", "i", "j"]
+    return sets.repartition(*key).sortWithinPartitions(*key)
+
+
+def _tight(clusters: DataFrame, classes: DataFrame) -> DataFrame:
+    """The clusters, cut up into what is connected by pairs of sets whose sketches do not rule a link
+    out. A set without such a pair links with none of its cluster and is left out."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in _groups(batches):
+            i, j = group["i"][0].as_py(), group["j"][0].as_py()
+            size, doc, block = (group[name].to_numpy() for name in ("n", "doc", "block"))
+            left, right = (np.flatnonzero(block == side) for side in (i, j))
+            if not len(left) or not len(right):
+                continue
+            own = group["sketch"].to_pylist()
+            sides = ([own[k] for k in at] for at in (left, right))
+            near = _near_sketches(next(sides), size[left], next(sides), size[right])
+            if i == j:
+                near = np.triu(near, 1)
+            some = np.concatenate((near.any(axis=1), near.any(axis=0)))
+            at = np.concatenate((left, right))
+            columns = [doc[at[_joined(near)]][some], doc[at][some]]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["u", "v"])
+
+    sets = clusters.join(classes.select("set_id", "n", "sketch"), ["set_id", "n"])
+    met = _met(_dealt(sets, SKETCH_SETS, SKETCH_TOKENS), ["n", "doc", "sketch"])
+    found = components(met.mapInArrow(run, "u bigint, v bigint"))
+    # Two sets of one document have no edge between them, but the document's number.
+    cut = clusters.drop("component").join(found, clusters["doc"] == found["node"], "left")
+    cut = checkpointed(
+        cut.selectExpr("set_id", "n", "doc", "copies", "coalesce(component, doc) AS component")
+    )
+    several = cut.groupBy("component").count().where("count > 1").select("component")
+    return checkpointed(cut.join(several, "component", "left_semi"))
+
+
 def _common(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
     """The number of common tokens of each set on the left with each on the right. Tokens of few
     pairs of sets are counted pair by pair, others by products of matrices."""
@@ -491,32 +642,12 @@ def _compared(df: DataFrame, clusters: DataFrame, pairs: bool) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names)
 
     names = ["u", "v"] if pairs else ["set_id", "n", "links", "u", "v"]
-    size = clusters.groupBy("component").agg(
-        F.count(F.lit(1)).alias("sets"), F.sum("n").alias("all")
-    )
-    size = size.selectExpr(
-        "component", f"ceil(greatest(sets / {BLOCK_SETS}, all / {BLOCK_TOKENS})) AS blocks"
-    )
-    dealt = clusters.join(size, "component")
-    dealt = checkpointed(dealt.withColumn("block", F.expr("pmod(xxhash64(set_id, n), blocks)")))
+    dealt = checkpointed(_dealt(clusters, BLOCK_SETS, BLOCK_TOKENS))
     named = df.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    sets = _sets(named, dealt.select("set_id", "n", "doc"), np.uint64)
+    sets = _sets(named, dealt.select("set_id", "n", "doc"))
     sets = sets.selectExpr("s.set_id", "s.n", "tokens").join(dealt, ["set_id", "n"])
-    sets = sets.withColumn("other", F.expr("explode(sequence(0L, blocks - 1))"))
-    sets = sets.selectExpr(
-        "component",
-        "least(block, other) AS i",
-        "greatest(block, other) AS j",
-        "block",
-        "set_id",
-        "n",
-        "doc",
-        "copies",
-        "tokens",
-    )
-    key = ["component", "i", "j"]
-    sets = sets.repartition(*key).sortWithinPartitions(*key)
-    return sets.mapInArrow(run, ", ".join(f"{name} bigint" for name in names))
+    met = _met(sets, ["set_id", "n", "doc", "copies", "tokens"])
+    return met.mapInArrow(run, ", ".join(f"{name} bigint" for name in names))
 
 
 def links(df: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import gc
+
+from pyspark.sql import DataFrame, SparkSession
 
 from barweave.session import work_dir
 
@@ -14,3 +16,11 @@ def checkpointed(df: DataFrame) -> DataFrame:
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(work_dir(df.sparkSession, "checkpoints"))
     return df.checkpoint()
+
+
+def release(spark: SparkSession) -> None:
+    """Shuffle files and checkpoints that no frame refers to any more are removed now. Spark does so
+    only after the driver has collected its garbage, which may be long after the next ones are
+    written."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()

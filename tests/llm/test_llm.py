@@ -280,6 +280,49 @@ def test_all_links_equal_brute_force(spark, monkeypatch, dense, frequent):
     assert len(pairs) > 40
 
 
+def test_sketches_rule_no_link_out():
+    rng = np.random.default_rng(3)
+    pool = jaccard_join.mix(np.arange(1, 4000, dtype=np.uint64))
+    sets = [np.unique(rng.choice(pool, int(n))) for n in rng.integers(1, 300, 60)]
+    for own in list(sets):
+        share = rng.uniform(0, 0.3)
+        kept = own[rng.random(len(own)) > share]
+        sets.append(np.unique(np.append(kept, rng.choice(pool, 1 + len(own) // 20))))
+    first = np.concatenate(([0], np.cumsum([len(own) for own in sets])))
+    made = jaccard_join.sketches(np.concatenate(sets), first).to_pylist()
+    n = np.diff(first)
+    near = jaccard_join._near_sketches(made, n, made, n)
+    both = np.array([[len(np.intersect1d(x, y)) for y in sets] for x in sets])
+    linked = 100 * both >= jaccard_join.PERCENT * (n[:, None] + n - both)
+    assert linked.sum() > len(sets) and not (linked & ~near).any()
+    assert near.sum() < 1.5 * linked.sum()
+
+
+@pytest.mark.parametrize("dense", [jaccard_join.DENSE, 1000])
+def test_tokens_are_sent_of_near_sets_alone(spark, monkeypatch, dense):
+    """A passage that all texts share brings them together, in a cluster or as pairs. Counters that
+    tell no frequencies are what a large input's are like."""
+    rng = np.random.default_rng(8)
+    word = lambda: "".join(chr(97 + k) for k in rng.integers(0, 26, 7))
+    passage = " ".join(word() for _ in range(30))
+    texts = [f"{passage} {' '.join(word() for _ in range(70))}" for _ in range(40)]
+    texts += [f"{texts[0]} end", f"{texts[1]} end"]
+    wanted = []
+
+    def sets(df, names, *rest, make=jaccard_join._sets):
+        wanted.extend(row["doc"] for row in names.collect())
+        return make(df, names, *rest)
+
+    same = jaccard_join.Order(np.zeros(jaccard_join.COUNTERS, np.uint8), 255)
+    monkeypatch.setattr(jaccard_join, "_order", lambda counted: same)
+    monkeypatch.setattr(jaccard_join, "_sets", sets)
+    monkeypatch.setattr(jaccard_join, "DENSE", dense)
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    found = jaccard_join.links(frame)[1].collect()
+    assert sorted(map(tuple, found)) == [(0, 40), (1, 41)]
+    assert set(wanted) == {0, 1, 40, 41}
+
+
 def test_components_of_a_path(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(20)] + [(30, 31), (31, 31)], "u bigint, v bigint")
     found = {row["node"]: row["component"] for row in components(edges).collect()}
